@@ -1,0 +1,59 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+
+import shop
+from tradewind.plans import orders as jobs
+from tradewind.sources.query import read_query
+
+
+@pytest.fixture
+def data(spark):
+    orders = shop.orders(spark, [
+        (1, 1, 10, "2024-01-01"), (2, 1, 20.01, "2024-01-02", "confirmed"), (3, None, None, "2024-01-03"),
+        (4, 2, 5, "2024-01-04", "cancelled")])
+    items = shop.items(spark, [(1, 101, 2), (1, 102, 1), (2, 101, 4), (3, 101, 1), (4, 101, 9), (1, 199, 3)])
+    return orders, items, *shop.catalog(spark, [(1, "rope", 7), (2, "sail", 8)])
+
+
+def test_overview(data):
+    assert jobs.orders_overview(data[0]).first().asDict() == {
+        "row_count": 4, "min_date": dt.datetime(2024, 1, 1), "max_date": dt.datetime(2024, 1, 4),
+        "min_total": Decimal("5.00"), "max_total": Decimal("20.01"), "avg_total": Decimal("11.67")}
+
+
+def test_overview_of_nothing(data):
+    row = jobs.orders_overview(data[0].limit(0)).first()
+    assert row.row_count == 0 and row.avg_total is None
+
+
+def test_average_is_rounded_once(spark):
+    orders = shop.orders(spark, [(1, 1, 2.01, "2024-01-01"), (2, 1, 0, "2024-01-01")])
+    assert jobs.orders_overview(orders).first().avg_total == Decimal("1.01")
+
+
+def test_valid_orders_keep_all_columns(data):
+    valid = jobs.valid_orders(data[0])
+    assert valid.columns == data[0].columns
+    assert sorted(r.id for r in valid.collect()) == [1, 2, 3]
+
+
+def test_lines(data):
+    rows = jobs.order_lines(*data).select("order_id", "customer_id", "product_id", "product_name",
+                                          "category_id", "quantity")
+    assert sorted(shop.tuples(rows), key=str) == [
+        (1, 1, 1, "rope", 7, 2), (1, 1, 2, "sail", 8, 1), (2, 1, 1, "rope", 7, 4),
+        (3, None, 1, "rope", 7, 1)]
+
+
+def test_row_counts(data):
+    orders, items, variants, products = data
+    row = jobs.row_count_breakdown(products, orders, items, variants).first()
+    assert tuple(row) == (2, 4, 6, 2, 14)
+    assert jobs.row_count_total(products, orders, items, variants).first().total_rows == 14
+
+
+def test_query_source(spark, data):
+    df = read_query(spark, "SELECT customer_id, count(*) AS n FROM {o} GROUP BY 1", o=data[0])
+    assert sorted(shop.tuples(df), key=str) == [(1, 2), (2, 1), (None, 1)]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Products per customer that one join key may hold; larger baskets are split over several keys.
+# Products per slice of a customer's basket; a larger basket is cut into several slices.
 CELL = 512
 
 
@@ -18,47 +18,59 @@ def product_buyers(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("product_id").agg(F.count(F.lit(1)).alias("buyers"))
 
 
-def _placed(pairs: DataFrame, cell: int) -> DataFrame:
+def _sliced(pairs: DataFrame, cell: int) -> DataFrame:
     """Pairs with the product's buyers and the slice of the customer's basket it falls into."""
-    slices = (
+    large = (
         pairs.groupBy("customer_id")
         .agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).alias("slices"))
         .filter(F.col("slices") > 1)
     )
     return (
         pairs.join(product_buyers(pairs), "product_id")
-        .join(slices, "customer_id", "left")
+        .join(large, "customer_id", "left")
         .withColumn("slices", F.coalesce("slices", F.lit(1)))
         .withColumn("slice", F.pmod(F.xxhash64("product_id"), F.col("slices")))
     )
 
 
+def _cells(sliced: DataFrame) -> DataFrame:
+    """One sorted array of products per customer and pair of slices.
+
+    A basket of one slice is one cell. Of a larger basket, cell (r, c) holds the slices r and c, at
+    most about two slices' worth. The work that follows is quadratic in the cell, not in its bytes:
+    the explicit partition count keeps AQE from merging cells into a few tasks by their bytes, and
+    the explicit keys keep a hot customer's cells from staying together.
+    """
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("other")
+    tasks = int(sliced.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        sliced.select("customer_id", "slice", other, F.struct("product_id", "buyers", "slice").alias("p"))
+        .select("customer_id", F.least("slice", "other").alias("r"),
+                F.greatest("slice", "other").alias("c"), "p")
+        .repartition(tasks, "customer_id", "r", "c")
+        .groupBy("customer_id", "r", "c").agg(F.sort_array(F.collect_list("p")).alias("basket"))
+    )
+
+
 def shared_customers(pairs: DataFrame, cell: int = CELL) -> DataFrame:
     """``(product_a, product_b, shared, norm)`` for every pair a < b with a customer in common.
 
-    ``norm`` is the product of both vectors' norms. A customer's basket meets itself on the key
-    (customer, slice, slice): a basket of up to ``cell`` products has one slice and one key, and a
-    larger one spreads over as many keys, hence tasks, as it has pairs of slices. No task holds a
-    whole hot customer, and every pair is still counted exactly once.
+    ``norm`` is the product of both vectors' norms. Each customer's basket is paired with itself in
+    cells of bounded size, so no task holds a whole hot customer; cells off the diagonal pair only
+    products of different slices, so every pair of a customer is counted exactly once.
     """
-    placed = _placed(pairs, cell)
-    upper = placed.select(
-        "customer_id", F.col("slice").alias("row"),
-        F.explode(F.sequence(F.col("slice"), F.col("slices") - 1)).alias("col"),
-        F.col("product_id").alias("p"), F.col("buyers").alias("p_buyers"),
-    )
-    lower = placed.select(
-        "customer_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slice"))).alias("row"),
-        F.col("slice").alias("col"),
-        F.col("product_id").alias("q"), F.col("buyers").alias("q_buyers"),
+    first, second = F.col("first"), F.col("second")
+    met = (
+        _cells(_sliced(pairs, cell))
+        .select("r", "c", "basket", F.posexplode("basket").alias("at", "first"))
+        .select("r", "c", "first", F.explode(
+            F.slice("basket", F.col("at") + 2, F.size("basket"))).alias("second"))
+        .filter((F.col("r") == F.col("c")) | (first["slice"] != second["slice"]))
     )
-    met = upper.join(lower, ["customer_id", "row", "col"]).filter(
-        (F.col("p") < F.col("q")) | ((F.col("row") < F.col("col")) & (F.col("p") != F.col("q"))))
-    norm = F.sqrt(F.col("p_buyers").cast("double") * F.col("q_buyers").cast("double"))
+    norm = F.sqrt(first["buyers"].cast("double") * second["buyers"].cast("double"))
     return (
-        met.select(
-            F.least("p", "q").alias("product_a"), F.greatest("p", "q").alias("product_b"),
-            norm.alias("norm"))
+        met.select(first["product_id"].alias("product_a"), second["product_id"].alias("product_b"),
+                   norm.alias("norm"))
         .groupBy("product_a", "product_b")
         .agg(F.count(F.lit(1)).alias("shared"), F.max("norm").alias("norm"))
     )

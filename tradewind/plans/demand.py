@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.calendar import month_distance, month_of
+from tradewind.operators.joins import join_counted
 from tradewind.operators.series import fill_months, recursive_mean
 from tradewind.plans.orders import VALID_STATUS, order_lines
 
@@ -17,15 +18,20 @@ WINDOW = 3
 HORIZON = 3
 
 
+def _named_variants(product_variants: DataFrame, products: DataFrame,
+                    product_name: str) -> DataFrame:
+    named = products.filter(F.col("name") == product_name).select(F.col("id").alias("product_id"))
+    variants = product_variants.select(F.col("id").alias("product_variant_id"), "product_id")
+    return join_counted(variants, named, "product_id", "left_semi")
+
+
 def product_lines(order_items: DataFrame, product_variants: DataFrame, products: DataFrame,
                   product_name: str) -> DataFrame:
     """Order lines of every product with the given name, whatever the order's state."""
-    named = products.filter(F.col("name") == product_name).select(F.col("id").alias("product_id"))
-    variants = (
-        product_variants.select(F.col("id").alias("product_variant_id"), "product_id")
-        .join(named, "product_id", "left_semi"))
-    return order_items.select("order_id", "product_variant_id", "quantity").join(
-        variants, "product_variant_id").select("order_id", "product_id", "quantity")
+    items = order_items.select("order_id", "product_variant_id", "quantity")
+    variants = _named_variants(product_variants, products, product_name)
+    return join_counted(items, variants, "product_variant_id").select(
+        "order_id", "product_id", "quantity")
 
 
 def monthly_demand(orders: DataFrame, order_items: DataFrame, product_variants: DataFrame,
@@ -33,9 +39,13 @@ def monthly_demand(orders: DataFrame, order_items: DataFrame, product_variants:
                    valid_status: tuple[str, ...] = VALID_STATUS) -> DataFrame:
     """Quantity sold per product name and month, dense from a name's first to its last sale.
 
-    Products that share a name are one series. Without ``product_name`` every name is computed.
+    Products that share a name are one series. Without ``product_name`` every name is computed;
+    with it the order lines are first cut down to that name's.
     """
     if product_name is not None:
+        variants = _named_variants(product_variants, products, product_name)
+        order_items = join_counted(
+            order_items, variants.select("product_variant_id"), "product_variant_id", "left_semi")
         products = products.filter(F.col("name") == product_name)
     lines = order_lines(orders, order_items, product_variants, products, valid_status)
     sold = (

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.operators.joins import join_counted
+from tradewind.operators.lineage import written
 from tradewind.operators.overlap import CELL, product_buyers, shared_customers
 from tradewind.operators.ranking import top_n_per_group
 from tradewind.plans.orders import VALID_STATUS, order_lines
@@ -39,7 +41,8 @@ def user_item_matrix(bought: DataFrame) -> DataFrame:
     )
 
 
-def _pairs(bought: DataFrame) -> DataFrame:
+def known_pairs(bought: DataFrame) -> DataFrame:
+    """Distinct customer and product of every purchase by a known customer."""
     return (
         bought.select("customer_id", "product_id")
         .filter(F.col("customer_id").isNotNull() & F.col("product_id").isNotNull())
@@ -48,7 +51,7 @@ def _pairs(bought: DataFrame) -> DataFrame:
 
 def matrix_shape(bought: DataFrame) -> DataFrame:
     """Rows and columns of the customer x product matrix."""
-    return _pairs(bought).agg(
+    return known_pairs(bought).agg(
         F.count_distinct("customer_id").alias("customers"),
         F.count_distinct("product_id").alias("products"))
 
@@ -62,39 +65,38 @@ def item_cosine(bought: DataFrame, cell: int = CELL) -> DataFrame:
 
     All other pairs have similarity 0 and are left out.
     """
+    pairs = written(known_pairs(bought), "pairs")
     score = _cosine(F.col("shared"), F.col("norm"))
-    return shared_customers(_pairs(bought), cell).select(
+    return shared_customers(pairs, cell).select(
         "product_a", "product_b", F.bround(score, SCORE_DIGITS).alias("cosine_similarity"))
 
 
-def reference_product(bought: DataFrame, product_name: str) -> tuple[int, int]:
-    """Smallest bought product id with this name and its number of customers.
+def reference_product(pairs: DataFrame, products: DataFrame, product_name: str) -> tuple[int, int]:
+    """Smallest product id with this name bought by a known customer, and its customers' number.
 
-    Raises ``ValueError`` when nothing of that name was bought by a known customer.
+    Raises ``ValueError`` when there is none.
     """
-    found = (
-        bought.filter(F.col("product_name") == product_name)
-        .groupBy("product_id").agg(F.count_distinct("customer_id").alias("buyers"))
-        .orderBy("product_id").first())
+    named = products.filter(F.col("name") == product_name).select(
+        F.col("id").alias("product_id")).distinct()
+    found = product_buyers(join_counted(pairs, named, "product_id", "left_semi")).orderBy(
+        "product_id").first()
     if found is None:
-        raise ValueError(f"no purchase of a product named {product_name!r}")
-    if found["buyers"] == 0:
-        raise ValueError(f"product {found['product_id']} has no purchase by a known customer")
+        raise ValueError(f"no known customer bought a product named {product_name!r}")
     return found["product_id"], found["buyers"]
 
 
-def product_scores(bought: DataFrame, product_id: int, buyers: int) -> DataFrame:
+def product_scores(pairs: DataFrame, product_id: int, buyers: int) -> DataFrame:
     """Unrounded similarity of every other product to one product, 0 without a common customer.
 
     One left join marks the purchases of the reference's customers; one aggregation then counts
     each product's customers and the shared ones together. Linear in the purchases.
     """
-    pairs = _pairs(bought)
     audience = pairs.filter(F.col("product_id") == product_id).select(
         "customer_id", F.lit(1).alias("common"))
+    others = pairs.filter(F.col("product_id") != product_id)
     norm = F.sqrt(F.col("buyers").cast("double") * F.lit(float(buyers)))
     return (
-        pairs.filter(F.col("product_id") != product_id).join(audience, "customer_id", "left")
+        join_counted(others, audience, "customer_id", "left", rows=buyers)
         .groupBy("product_id")
         .agg(F.count(F.lit(1)).alias("buyers"), F.count("common").alias("shared"))
         .select("product_id", _cosine(F.col("shared"), norm).alias("score"))
@@ -108,9 +110,10 @@ def similar_products(bought: DataFrame, products: DataFrame, product_name: str,
     The winners are one array of ``top_n`` entries, evaluated once as a scalar subquery: it picks
     their names in a single scan of ``products`` without a shuffle.
     """
-    reference, buyers = reference_product(bought, product_name)
+    pairs = written(known_pairs(bought), "pairs")
+    reference, buyers = reference_product(pairs, products, product_name)
     best = (
-        product_scores(bought, reference, buyers)
+        product_scores(pairs, reference, buyers)
         .orderBy(F.desc("score"), "product_id").limit(top_n)
         .agg(F.sort_array(F.collect_list(
             F.struct((-F.col("score")).alias("below"), "product_id"))).alias("best"))
@@ -135,7 +138,7 @@ def similar_products_all(bought: DataFrame, top_n: int = 5, cell: int = CELL) ->
     first ``top_n + 1`` ids always suffice: besides the product itself and its related products,
     enough of them are left.
     """
-    pairs = _pairs(bought)
+    pairs = written(known_pairs(bought), "pairs")
     scored = shared_customers(pairs, cell).withColumn(
         "score", _cosine(F.col("shared"), F.col("norm")))
     a, b = F.col("product_a"), F.col("product_b")

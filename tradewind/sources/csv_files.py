@@ -10,7 +10,7 @@ import csv
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,17 +56,23 @@ def read_header(spark: SparkSession, path: str) -> list[str] | None:
     return next(csv.reader(line + "\n" for line in lines), None)
 
 
+def open_quote(line: Column) -> Column:
+    """False when a physical line is a complete record by itself.
+
+    Nothing is left of a complete line's quotes after removing doubled quotes and fully quoted
+    fields. Unusual quoting inside a field is reported as open too.
+    """
+    undoubled = F.replace(line, F.lit('""'), F.lit(""))
+    return F.regexp_replace(undoubled, r'(^|,)"[^"]*"(?=,|$)', "$1").contains('"')
+
+
 def has_quoted_line_breaks(spark: SparkSession, path: str) -> bool:
     """False when every physical line is a complete record, so the file can be split safely.
 
-    A line is complete when nothing is left of its quotes after removing doubled quotes and fully
-    quoted fields. Unusual quoting is reported as True, which costs parallelism but not rows.
+    True may be a false alarm, which costs parallelism but no rows.
     """
     line = F.col("value")
-    undoubled = F.replace(line, F.lit('""'), F.lit(""))
-    unquoted = F.regexp_replace(undoubled, r'(^|,)"[^"]*"(?=,|$)', "$1")
-    open_lines = spark.read.text(path).filter(line.contains('"')).filter(unquoted.contains('"'))
-    return not open_lines.isEmpty()
+    return not spark.read.text(path).filter(line.contains('"')).filter(open_quote(line)).isEmpty()
 
 
 def scan_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> CsvScan | None:

@@ -6,6 +6,7 @@ import time
 import uuid
 from dataclasses import astuple, dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,9 @@ REJECTS_SUFFIX = "_rejects"
 BAD = "bad_columns"
 TYPED = "typed "
 
+# What a failed query or job raises.
+SPARK_ERRORS = (PySparkException, Py4JJavaError)
+
 AUDIT_SCHEMA = (
     "table_name string, status string, rows_loaded bigint, rows_rejected bigint,"
     " unmatched array<string>, seconds double, detail string")
@@ -159,7 +163,7 @@ def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "rej
             kept = checked.filter(is_bad).select(*scan.names, BAD)
             _quarantine(spark, database, table, kept)
         refresh.publish()
-    except PySparkException:
+    except SPARK_ERRORS:
         refresh.abandon()
         raise
     return Audit(table, "loaded", counts.get["good"], rejected, unmatched)
@@ -173,7 +177,7 @@ def load_directory(spark: SparkSession, folder: str, database: str, on_error: st
         started = time.monotonic()
         try:
             audit = load_csv(spark, path, database, on_error, multiline)
-        except PySparkException as error:
+        except SPARK_ERRORS as error:
             audit = Audit(table_name(path), "failed", detail=str(error))
         audit.seconds = time.monotonic() - started
         audits.append(astuple(audit))
