@@ -36,7 +36,7 @@ def test_classification(spark):
 
 @pytest.mark.parametrize("text, before, after", [
     ("1234.5", 4, 1), ("007.50", 1, 2), ("-0.001", 0, 3), ("52.", 2, 0), ("1.5e3", 4, 0),
-    ("1.25e-2", 0, 4), ("42", 2, 0),
+    ("1.25e-2", 0, 4), ("42", 2, 0), ("+1.5E3", 4, 0),
 ])
 def test_digits(spark, text, before, after):
     v = F.lit(text)

@@ -22,8 +22,6 @@ BOOLEAN_WORDS = ("true", "false", "t", "f", "yes", "no", "sim", "nao")
 # Spellings accepted when a BOOLEAN column is loaded: the database's input forms plus sim and nao.
 TRUE_WORDS = ("t", "tr", "tru", "true", "y", "ye", "yes", "on", "1", "sim")
 FALSE_WORDS = ("f", "fa", "fal", "fals", "false", "n", "no", "of", "off", "0", "nao")
-# Largest number of digits that still counts as a number rather than a code.
-MAX_INTEGER_DIGITS = 12
 INT_MIN, INT_MAX = -2147483648, 2147483647
 # Characters stripped from both ends of a cell (Unicode white space and the four separators).
 WHITE_SPACE = (
@@ -31,7 +29,8 @@ WHITE_SPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-INTEGER_SHAPE = rf"^-?(0|[1-9][0-9]{{0,{MAX_INTEGER_DIGITS - 1}}})$"
+# Whole numbers: no leading zero, and more than twelve digits are a code rather than a number.
+INTEGER_SHAPE = r"^-?(0|[1-9][0-9]{0,11})$"
 NUMERIC_SHAPE = r"^[+-]?([0-9]+[.][0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 DATE_SHAPE = r"(?!0000)[0-9]{4}-(1[0-2]|0?[1-9])-(3[01]|[12][0-9]|0?[1-9])"
 TIME_SHAPE = r"(2[0-3]|[01]?[0-9]):[0-5]?[0-9]:[0-5]?[0-9]([.][0-9]{1,6})?"
@@ -47,37 +46,46 @@ def type_rank(value: Column) -> Column:
     """Rank of a stripped cell's type; NULL casts no vote.
 
     Digit strings with a leading zero or more than twelve digits are codes, so TEXT; a number
-    needs a decimal point to be NUMERIC; dates and timestamps must exist in the calendar.
+    needs a decimal point to be NUMERIC; dates and timestamps must exist in the calendar. Cheap
+    character tests come before patterns, and casts only see cells of the right shape: a failed
+    cast costs far more than a pattern.
     """
-    as_long = value.try_cast("bigint")
     rank = {name: F.lit(code) for name, code in TYPE_RANK.items()}
+    fits = value.try_cast("bigint").between(INT_MIN, INT_MAX)
+    dated = F.substr(value, F.lit(5), F.lit(1)) == "-"
+    numeric_start = F.ascii(value).between(ord("+"), ord("9"))
     return (
         F.when(value.isNull(), None)
-        .when(value.rlike(INTEGER_SHAPE),
-              F.when(as_long.between(INT_MIN, INT_MAX), rank["INTEGER"]).otherwise(rank["BIGINT"]))
-        .when(value.rlike(NUMERIC_SHAPE), rank["NUMERIC"])
-        .when(F.lower(value).isin(*BOOLEAN_WORDS), rank["BOOLEAN"])
-        .when(value.rlike(rf"^{DATE_SHAPE} {TIME_SHAPE}$")
+        .when(~numeric_start,
+              F.when(F.lower(value).isin(*BOOLEAN_WORDS), rank["BOOLEAN"]).otherwise(rank["TEXT"]))
+        .when(value.rlike(INTEGER_SHAPE), F.when(fits, rank["INTEGER"]).otherwise(rank["BIGINT"]))
+        .when(value.contains(".") & value.rlike(NUMERIC_SHAPE), rank["NUMERIC"])
+        .when(dated & value.rlike(rf"^{DATE_SHAPE} {TIME_SHAPE}$")
               & value.try_cast("timestamp_ntz").isNotNull(), rank["TIMESTAMP"])
-        .when(value.rlike(rf"^{DATE_SHAPE}$") & value.try_cast("date").isNotNull(), rank["DATE"])
+        .when(dated & value.rlike(rf"^{DATE_SHAPE}$") & value.try_cast("date").isNotNull(), rank["DATE"])
         .otherwise(rank["TEXT"])
     )
 
 
-def _exponent(value: Column) -> Column:
-    return F.coalesce(F.regexp_extract(value, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+def _moved(value: Column, written: Column, shift: int) -> Column:
+    """Digits written on one side of the decimal point, moved by the exponent if there is one."""
+    scientific = value.contains("e") | value.contains("E")
+    exponent = F.coalesce(F.regexp_extract(value, r"[eE](.*)$", 1).try_cast("int"), F.lit(0))
+    return F.when(scientific, F.greatest(written + exponent * shift, F.lit(0))).otherwise(written)
 
 
 def integer_digits(value: Column) -> Column:
-    """Digits a number needs before the decimal point."""
-    written = F.length(F.regexp_extract(value, r"^[+-]?0*([0-9]*)", 1))
-    return F.greatest(written + _exponent(value), F.lit(0))
+    """Digits a whole or NUMERIC cell needs before the decimal point."""
+    before = F.substring_index(value, ".", 1)
+    return _moved(value, F.length(F.ltrim(before, F.lit("+-0"))), 1)
 
 
 def fraction_digits(value: Column) -> Column:
-    """Digits a number needs after the decimal point."""
-    written = F.length(F.regexp_extract(value, r"[.]([0-9]*)", 1))
-    return F.greatest(written - _exponent(value), F.lit(0))
+    """Digits a whole or NUMERIC cell needs after the decimal point."""
+    after = F.length(F.regexp_extract(value, r"[.]([0-9]*)", 1))
+    plain = F.length(value) - F.instr(value, ".")
+    scientific = value.contains("e") | value.contains("E")
+    return F.when(~value.contains("."), 0).when(scientific, _moved(value, after, -1)).otherwise(plain)
 
 
 def typed(cell: Column, to: T.DataType) -> Column:
