@@ -52,6 +52,19 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+# Paths handed out so far.
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tradewind/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tradewind/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this process wrote to scratch paths; results that read them become unreadable."""
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

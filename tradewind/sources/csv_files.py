@@ -7,6 +7,8 @@ A CSV source is a single file or a folder of part files, as Spark writes them; b
 from __future__ import annotations
 
 import csv
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
@@ -16,6 +18,8 @@ from pyspark.sql import types as T
 
 from tradewind.functions.names import normalize_header, normalize_name
 
+# CSV sources worked on at the same time, so that small ones do not leave the cluster idle.
+SOURCES_AT_ONCE = 4
 # Physical lines looked at for the header, which may contain quoted line breaks.
 HEADER_LINES = 100
 
@@ -45,6 +49,12 @@ def list_csv(spark: SparkSession, folder: str) -> list[str]:
             if p.getName().lower().endswith(".csv")]
 
 
+def for_each_source(work: Callable[[str], Any], paths: list[str]) -> list[Any]:
+    """Results of ``work`` on every path, in order; a few run at the same time."""
+    with ThreadPoolExecutor(SOURCES_AT_ONCE) as pool:
+        return list(pool.map(work, paths))
+
+
 def table_name(path: str) -> str:
     """Table name of a CSV source: its file name without suffix, normalised."""
     return normalize_name(path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0])

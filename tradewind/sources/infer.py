@@ -10,7 +10,7 @@ from tradewind.functions.cells import (
     TYPE_RANK, fraction_digits, integer_digits, stripped, type_rank,
 )
 from tradewind.functions.names import normalize_header
-from tradewind.sources.csv_files import list_csv, scan_csv, table_name
+from tradewind.sources.csv_files import for_each_source, list_csv, scan_csv, table_name
 
 MAX_PRECISION = 38
 # Decimals up to this precision are stored as a long.
@@ -103,12 +103,13 @@ def infer_schema(rows: DataFrame, names: list[str] | None = None,
 def infer_directory(spark: SparkSession, folder: str, lattice: str = "rank",
                     multiline: bool | None = None) -> dict[str, T.StructType]:
     """Schemas of all CSV sources in a folder by table name. Empty files are left out."""
-    schemas = {}
-    for path in list_csv(spark, folder):
+
+    def infer(path: str) -> tuple[str, T.StructType | None]:
         scan = scan_csv(spark, path, multiline)
-        if scan is not None:
-            schemas[table_name(path)] = infer_schema(scan.rows, scan.names, lattice)
-    return schemas
+        return table_name(path), scan and infer_schema(scan.rows, scan.names, lattice)
+
+    found = for_each_source(infer, list_csv(spark, folder))
+    return {table: schema for table, schema in found if schema is not None}
 
 
 def create_table_sql(table: str, schema: T.StructType) -> str:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.functions.cells import stripped, typed
-from tradewind.sources.csv_files import hadoop_path, list_csv, scan_csv, table_name
+from tradewind.sources.csv_files import for_each_source, hadoop_path, list_csv, scan_csv, table_name
 
 REJECTS_SUFFIX = "_rejects"
 BAD = "bad_columns"
@@ -172,16 +172,17 @@ def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "rej
 def load_directory(spark: SparkSession, folder: str, database: str, on_error: str = "reject",
                    multiline: bool | None = None) -> DataFrame:
     """Load every CSV source of a folder; one audit row per source. An error fails only its source."""
-    audits = []
-    for path in list_csv(spark, folder):
+
+    def load(path: str) -> tuple:
         started = time.monotonic()
         try:
             audit = load_csv(spark, path, database, on_error, multiline)
         except SPARK_ERRORS as error:
             audit = Audit(table_name(path), "failed", detail=str(error))
         audit.seconds = time.monotonic() - started
-        audits.append(astuple(audit))
-    return spark.createDataFrame(audits, AUDIT_SCHEMA)
+        return astuple(audit)
+
+    return spark.createDataFrame(for_each_source(load, list_csv(spark, folder)), AUDIT_SCHEMA)
 
 
 def audit_totals(audit: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ the order states F and O for the states that count as a sale.
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,45 +18,57 @@ CUTOFF = "2000-12"
 PRODUCT_NAME = "blue anvil"
 
 
-class Retail(NamedTuple):
-    customers: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
-    product_variants: DataFrame
-    products: DataFrame
-    categories: DataFrame
-    payments: DataFrame
-
-
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def retail(spark: SparkSession, folder: str) -> Retail:
-    """The canonical tables, as lazy projections of the Parquet files."""
-    orders = read_table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderstatus").alias("status"),
-        F.col("o_orderpriority").alias("channel"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("total"),
-        F.col("o_orderdate").alias("placed_at"),
-        F.col("o_orderdate").alias("created_at"))
-    order_items = read_table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_variant_id"),
-        F.col("l_quantity").cast("bigint").alias("quantity"))
-    part = read_table(spark, folder, "part")
-    return Retail(
-        customers=read_table(spark, folder, "customer").select(F.col("c_custkey").alias("id")),
-        orders=orders,
-        order_items=order_items,
-        product_variants=part.select(
-            F.col("p_partkey").alias("id"), F.col("p_partkey").alias("product_id")),
-        products=part.select(
+class Retail:
+    """The canonical tables as lazy projections; a Parquet file is opened when first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._read = lambda name: read_table(spark, folder, name)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._read("customer").select(F.col("c_custkey").alias("id"))
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._read("orders").select(
+            F.col("o_orderkey").alias("id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderstatus").alias("status"),
+            F.col("o_orderpriority").alias("channel"),
+            F.col("o_totalprice").cast("decimal(18,2)").alias("total"),
+            F.col("o_orderdate").alias("placed_at"),
+            F.col("o_orderdate").alias("created_at"))
+
+    @cached_property
+    def order_items(self) -> DataFrame:
+        return self._read("lineitem").select(
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("product_variant_id"),
+            F.col("l_quantity").cast("bigint").alias("quantity"))
+
+    @cached_property
+    def _part(self) -> DataFrame:
+        return self._read("part")
+
+    @cached_property
+    def product_variants(self) -> DataFrame:
+        return self._part.select(F.col("p_partkey").alias("id"), F.col("p_partkey").alias("product_id"))
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._part.select(
             F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
-            F.col("p_brand").alias("category_id")),
-        categories=part.select(
-            F.col("p_brand").alias("id"), F.col("p_brand").alias("name")).distinct(),
-        payments=read_table(spark, folder, "events").select(F.col("event_id").alias("id")),
-    )
+            F.col("p_brand").alias("category_id"))
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return self._part.select(
+            F.col("p_brand").alias("id"), F.col("p_brand").alias("name")).distinct()
+
+    @cached_property
+    def payments(self) -> DataFrame:
+        return self._read("events").select(F.col("event_id").alias("id"))

@@ -37,7 +37,7 @@ def _chain(t: star.Retail) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
 
 
 def _retail(job: Callable[[star.Retail], DataFrame]) -> Query:
-    return lambda spark, sf_dir: plain(job(star.retail(spark, sf_dir)))
+    return lambda spark, sf_dir: plain(job(star.Retail(spark, sf_dir)))
 
 
 def _bought(job: Callable[[DataFrame], DataFrame]) -> Query:
