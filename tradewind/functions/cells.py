@@ -76,42 +76,43 @@ def type_rank(value: Column) -> Column:
     )
 
 
+def _scientific(value: Column) -> Column:
+    return value.contains("e") | value.contains("E")
+
+
 def _moved(value: Column, written: Column, shift: int) -> Column:
-    """Digits written on one side of the decimal point, moved by the exponent if there is one."""
-    scientific = value.contains("e") | value.contains("E")
+    """Digits written on one side of the decimal point, moved by the exponent."""
     exponent = F.coalesce(F.regexp_extract(value, r"[eE](.*)$", 1).try_cast("int"), F.lit(0))
-    return F.when(scientific, F.greatest(written + exponent * shift, F.lit(0))).otherwise(written)
+    return F.greatest(written + exponent * shift, F.lit(0))
 
 
 def integer_digits(value: Column) -> Column:
     """Digits a whole or NUMERIC cell needs before the decimal point."""
-    before = F.substring_index(value, ".", 1)
-    return _moved(value, F.length(F.ltrim(before, F.lit("+-0"))), 1)
+    written = F.length(F.ltrim(F.substring_index(value, ".", 1), F.lit("+-0")))
+    return F.when(_scientific(value), _moved(value, written, 1)).otherwise(written)
 
 
 def fraction_digits(value: Column) -> Column:
     """Digits a whole or NUMERIC cell needs after the decimal point."""
-    after = F.length(F.regexp_extract(value, r"[.]([0-9]*)", 1))
-    plain = F.length(value) - F.instr(value, ".")
-    scientific = value.contains("e") | value.contains("E")
-    return F.when(~value.contains("."), 0).when(scientific, _moved(value, after, -1)).otherwise(plain)
+    written = F.length(F.regexp_extract(value, r"[.]([0-9]*)", 1))
+    return (
+        F.when(~value.contains("."), 0)
+        .when(_scientific(value), _moved(value, written, -1))
+        .otherwise(F.length(value) - F.instr(value, "."))
+    )
 
 
-def typed(cell: Column, to: T.DataType) -> Column:
-    """The cell as ``to``; NULL when it is blank or has no exact value of that type.
+def typed(value: Column, to: T.DataType) -> Column:
+    """A stripped cell as ``to``; NULL when it has no exact value of that type.
 
-    Text is kept verbatim. A number with more fraction digits than the target holds is not rounded
-    silently but counts as unconvertible.
+    A number with more fraction digits than the target holds is not rounded silently but counts as
+    unconvertible, unless the surplus digits are zeros.
     """
-    if isinstance(to, T.StringType):
-        return cell
-    value = stripped(cell)
     if isinstance(to, T.BooleanType):
         word = F.lower(value)
         return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
     if isinstance(to, T.DecimalType):
-        number = value.try_cast(to)
-        cut = F.when(value.rlike("[eE]"), fraction_digits(value) > to.scale).otherwise(
-            value.rlike(rf"[.][0-9]{{{to.scale}}}0*[1-9]"))
-        return F.when(~cut, number)
+        surplus = value.rlike(rf"[.][0-9]{{{to.scale}}}0*[1-9]")
+        exact = F.when(fraction_digits(value) <= to.scale, True).otherwise(~_scientific(value) & ~surplus)
+        return F.when(exact, value.try_cast(to))
     return value.try_cast(to)

@@ -17,7 +17,8 @@ from tradewind.sources.csv_files import for_each_source, hadoop_path, list_csv,
 
 REJECTS_SUFFIX = "_rejects"
 BAD = "bad_columns"
-TYPED = "typed "
+# Prefixes of helper columns; no normalised name contains a space.
+BARE, TYPED = "bare ", "typed "
 
 # What a failed query or job raises.
 SPARK_ERRORS = (PySparkException, Py4JJavaError)
@@ -50,15 +51,24 @@ def check(rows: DataFrame, schema: T.StructType) -> DataFrame:
     ``bad_columns`` names the columns whose non-blank cell has no value of the declared type.
     Declared columns the source lacks are NULL.
     """
-    raw = {f.name: F.col(f"`{f.name}`") for f in schema if f.name in rows.columns}
-    values = [
-        (typed(raw[f.name], f.dataType) if f.name in raw else F.lit(None).cast(f.dataType))
-        .alias(TYPED + f.name) for f in schema]
-    bad = [
-        F.when(stripped(raw[f.name]).isNotNull() & F.col(f"`{TYPED}{f.name}`").isNull(), f.name)
-        for f in schema if f.name in raw and not isinstance(f.dataType, T.StringType)]
-    return rows.select("*", *values).withColumn(BAD, F.array_compact(
-        F.array(*bad) if bad else F.array().cast("array<string>")))
+    # Text is kept verbatim; every other cell is stripped once before it is converted and checked.
+    cells = {f.name: F.col(f"`{f.name}`") for f in schema if f.name in rows.columns}
+    parsed = [f.name for f in schema if f.name in cells and not isinstance(f.dataType, T.StringType)]
+    bare = {name: F.col(f"`{BARE}{name}`") for name in parsed}
+
+    def value(f: T.StructField) -> Column:
+        if f.name in parsed:
+            return typed(bare[f.name], f.dataType)
+        return cells.get(f.name, F.lit(None).cast(f.dataType))
+
+    bad = [F.when(bare[name].isNotNull() & F.col(f"`{TYPED}{name}`").isNull(), name)
+           for name in parsed]
+    return (
+        rows.select("*", *[stripped(cells[name]).alias(BARE + name) for name in parsed])
+        .select("*", *[value(f).alias(TYPED + f.name) for f in schema])
+        .withColumn(BAD, F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>"))
+        .drop(*[BARE + name for name in parsed])
+    )
 
 
 def _typed_columns(schema: T.StructType) -> list[Column]:
