@@ -51,9 +51,12 @@ def test_digits(spark, text, before, after):
     ("52.", "decimal(18,2)", Decimal("52.00")), ("1.005", "decimal(18,2)", None),
     ("1.500", "decimal(18,2)", Decimal("1.50")), ("1e2", "decimal(18,2)", Decimal("100.00")),
     ("1.5e-3", "decimal(18,2)", None), ("2024-1-5", "date", dt.date(2024, 1, 5)),
-    ("2024-02-30", "date", None), ("", "int", None),
+    ("2024-02-30", "date", None), (" kept ", "string", " kept "), ("", "int", None),
+    ("12.3400", "decimal(18,2)", Decimal("12.34")), ("-.5", "decimal(18,2)", Decimal("-0.50")),
+    (" 7.50\t", "decimal(18,2)", Decimal("7.50")), ("1e-5", "decimal(18,2)", None),
+    ("1.25E1", "decimal(18,2)", Decimal("12.50")), ("7 7", "int", None), (".", "decimal(18,2)", None),
     ("2024-01-05 10:00:00.5", "timestamp_ntz", dt.datetime(2024, 1, 5, 10, 0, 0, 500000)),
 ])
 def test_conversion(spark, text, ddl, value):
     kind = T.StructType.fromDDL(f"x {ddl}")[0].dataType
-    assert spark.createDataFrame([(text,)], "c string").select(typed(stripped(F.col("c")), kind)).first()[0] == value
+    assert spark.createDataFrame([(text,)], "c string").select(typed(F.col("c"), kind)).first()[0] == value

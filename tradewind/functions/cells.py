@@ -102,17 +102,21 @@ def fraction_digits(value: Column) -> Column:
     )
 
 
-def typed(value: Column, to: T.DataType) -> Column:
-    """A stripped cell as ``to``; NULL when it has no exact value of that type.
+def typed(cell: Column, to: T.DataType) -> Column:
+    """A cell as ``to``; NULL when it is blank or has no exact value of that type.
 
-    A number with more fraction digits than the target holds is not rounded silently but counts as
-    unconvertible, unless the surplus digits are zeros.
+    Text is kept verbatim. Casts ignore ASCII white space around a value. A number with more
+    fraction digits than the target holds is not rounded silently but counts as unconvertible,
+    unless the surplus digits are zeros.
     """
+    if isinstance(to, T.StringType):
+        return cell
     if isinstance(to, T.BooleanType):
-        word = F.lower(value)
+        word = F.lower(F.trim(cell))
         return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
+    value = cell.try_cast(to)
     if isinstance(to, T.DecimalType):
-        surplus = value.rlike(rf"[.][0-9]{{{to.scale}}}0*[1-9]")
-        exact = F.when(fraction_digits(value) <= to.scale, True).otherwise(~_scientific(value) & ~surplus)
-        return F.when(exact, value.try_cast(to))
-    return value.try_cast(to)
+        wider = cell.try_cast(T.DecimalType(38, min(38, to.scale + 10)))
+        plain = cell.rlike(rf"^\s*[+-]?[0-9]*([.][0-9]{{0,{to.scale}}}0*)?\s*$")
+        return F.when(plain, value).when(_scientific(cell) & (wider == value), value)
+    return value

@@ -17,8 +17,8 @@ from tradewind.sources.csv_files import for_each_source, hadoop_path, list_csv,
 
 REJECTS_SUFFIX = "_rejects"
 BAD = "bad_columns"
-# Prefixes of helper columns; no normalised name contains a space.
-BARE, TYPED = "bare ", "typed "
+# Prefix of the typed columns beside the raw ones; no normalised name contains a space.
+TYPED = "typed "
 
 # What a failed query or job raises.
 SPARK_ERRORS = (PySparkException, Py4JJavaError)
@@ -51,24 +51,20 @@ def check(rows: DataFrame, schema: T.StructType) -> DataFrame:
     ``bad_columns`` names the columns whose non-blank cell has no value of the declared type.
     Declared columns the source lacks are NULL.
     """
-    # Text is kept verbatim; every other cell is stripped once before it is converted and checked.
     cells = {f.name: F.col(f"`{f.name}`") for f in schema if f.name in rows.columns}
-    parsed = [f.name for f in schema if f.name in cells and not isinstance(f.dataType, T.StringType)]
-    bare = {name: F.col(f"`{BARE}{name}`") for name in parsed}
-
-    def value(f: T.StructField) -> Column:
-        if f.name in parsed:
-            return typed(bare[f.name], f.dataType)
-        return cells.get(f.name, F.lit(None).cast(f.dataType))
-
-    bad = [F.when(bare[name].isNotNull() & F.col(f"`{TYPED}{name}`").isNull(), name)
-           for name in parsed]
-    return (
-        rows.select("*", *[stripped(cells[name]).alias(BARE + name) for name in parsed])
-        .select("*", *[value(f).alias(TYPED + f.name) for f in schema])
-        .withColumn(BAD, F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>"))
-        .drop(*[BARE + name for name in parsed])
-    )
+    values = [
+        (typed(cells[f.name], f.dataType) if f.name in cells else F.lit(None).cast(f.dataType))
+        .alias(TYPED + f.name) for f in schema]
+    if not cells:
+        return rows.select("*", *values).withColumn(BAD, F.array().cast("array<string>"))
+    # Nearly always empty, so whether a suspect cell is only blank is decided on the few that are
+    # in it. One short expression per column keeps the generated code small enough to be compiled.
+    suspects = F.array_compact(F.array(*[
+        F.when(cell.isNotNull() & F.col(f"`{TYPED}{name}`").isNull(),
+               F.struct(F.lit(name).alias("name"), cell.alias("cell")))
+        for name, cell in cells.items()]))
+    bad = F.filter(suspects, lambda s: stripped(s["cell"]).isNotNull())
+    return rows.select("*", *values).withColumn(BAD, F.transform(bad, lambda s: s["name"]))
 
 
 def _typed_columns(schema: T.StructType) -> list[Column]:
