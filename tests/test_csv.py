@@ -1,7 +1,9 @@
 """CSV scanning: quoting, ragged rows, encodings, part files, splitting."""
 
 import csv
+import io
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,6 +61,23 @@ def test_open_quote_never_misses_one(spark):
     assert not [x for x in well_formed if x not in closed]
 
 
+@pytest.mark.parametrize("breaks", [False, True])
+def test_same_rows_as_the_csv_module(spark, tmp_path, breaks):
+    """Any well-formed table, quoted at random, reads as the csv module reads it."""
+    rng = random.Random(breaks)
+    pieces = ["a", "é", '"', '""', ",", " ", "  x ", "\\", "#", "'", "0", ";", "\t", "null", "日本"]
+    pieces += ["\n", "\n\n"] if breaks else []
+    table = [[str(i)] + ["".join(rng.choices(pieces, k=rng.randrange(4))) for _ in range(4)] for i in range(500)]
+    buffer = io.StringIO(newline="")
+    for row in [["id", "b", "c", "d", "e"], *table]:
+        style = rng.choice([csv.QUOTE_MINIMAL, csv.QUOTE_ALL])
+        csv.writer(buffer, quoting=style, lineterminator="\n").writerow(row)
+    path = write(tmp_path, "t.csv", buffer.getvalue())
+    assert has_quoted_line_breaks(spark, path) == breaks
+    expected = [tuple(v or None for v in row) for row in table]
+    assert sorted(scanned(spark, path)) == sorted(expected)
+
+
 def test_folder_of_part_files(spark, tmp_path):
     path = str(tmp_path / "t.csv")
     spark.range(100).select(F.col("id"), F.lit('x "y"').alias("n")).repartition(4).write.csv(

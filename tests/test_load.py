@@ -5,7 +5,7 @@ import itertools
 import pytest
 
 from tradewind.sources.declared import declared_schemas
-from tradewind.sources.infer import create_tables
+from tradewind.sources.infer import create_tables, infer_directory
 from tradewind.sources.load import audit_totals, load_csv, load_directory
 
 NAMES = (f"load_test_{n}" for n in itertools.count())
@@ -92,6 +92,14 @@ def test_error_fails_only_its_source(spark, db, tmp_path):
     assert ids(spark, f"{db}.orders") == []
 
 
+def test_table_named_like_a_keyword(spark, db, tmp_path):
+    path = put(tmp_path, "order.csv", "select,from\n1,x\ny,z\n")
+    create_tables(spark, db, infer_directory(spark, str(tmp_path / "in")))
+    assert load_csv(spark, path, db).status == "loaded"
+    put(tmp_path, "order.csv", "select,from\n1,x\n")
+    assert load_csv(spark, path, db).rows_loaded == 1
+
+
 def test_empty_folder_and_bad_option(spark, db, tmp_path):
     (tmp_path / "in").mkdir()
     assert load_directory(spark, str(tmp_path / "in"), db).count() == 0

@@ -5,6 +5,7 @@ import pytest
 
 import shop
 from tradewind.plans import orders as jobs
+from tradewind.sources import star
 from tradewind.sources.query import read_query
 
 
@@ -57,3 +58,10 @@ def test_row_counts(data):
 def test_query_source(spark, data):
     df = read_query(spark, "SELECT customer_id, count(*) AS n FROM {o} GROUP BY 1", o=data[0])
     assert sorted(shop.tuples(df), key=str) == [(1, 2), (2, 1), (None, 1)]
+
+
+def test_views(spark):
+    star.Retail(spark, "/root/testdata/sf0.001").register()
+    got = read_query(spark, "SELECT count(*) AS n FROM orders o JOIN order_items i ON i.order_id = o.id")
+    assert got.first().n == spark.table("order_items").count() > 0
+    assert spark.table("categories").count() == 25

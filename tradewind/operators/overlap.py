@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.session import shuffle_tasks
+
 # Products per slice of a customer's basket; a larger basket is cut into several slices.
 CELL = 512
 
@@ -42,12 +44,11 @@ def _cells(sliced: DataFrame) -> DataFrame:
     the explicit keys keep a hot customer's cells from staying together.
     """
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("other")
-    tasks = int(sliced.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         sliced.select("customer_id", "slice", other, F.struct("product_id", "buyers", "slice").alias("p"))
         .select("customer_id", F.least("slice", "other").alias("r"),
                 F.greatest("slice", "other").alias("c"), "p")
-        .repartition(tasks, "customer_id", "r", "c")
+        .repartition(shuffle_tasks(sliced.sparkSession), "customer_id", "r", "c")
         .groupBy("customer_id", "r", "c").agg(F.sort_array(F.collect_list("p")).alias("basket"))
     )
 

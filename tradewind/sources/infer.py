@@ -112,6 +112,11 @@ def infer_directory(spark: SparkSession, folder: str, lattice: str = "rank",
     return {table: schema for table, schema in found if schema is not None}
 
 
+def qualified(database: str, table: str) -> str:
+    """Table name for SQL; quoted, because a file may be named like a keyword."""
+    return f"`{database}`.`{table}`"
+
+
 def create_table_sql(table: str, schema: T.StructType) -> str:
     """``CREATE TABLE IF NOT EXISTS`` statement for one schema."""
     columns = ",\n".join(f"    `{f.name}` {f.dataType.simpleString().upper()}" for f in schema)
@@ -127,4 +132,4 @@ def ddl_script(schemas: dict[str, T.StructType]) -> str:
 def create_tables(spark: SparkSession, database: str, schemas: dict[str, T.StructType]) -> None:
     """Create every table that does not exist yet."""
     for table, schema in schemas.items():
-        spark.sql(create_table_sql(f"{database}.{table}", schema))
+        spark.sql(create_table_sql(qualified(database, table), schema))

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tradewind.functions.cells import stripped, typed
 from tradewind.sources.csv_files import for_each_source, hadoop_path, list_csv, scan_csv, table_name
+from tradewind.sources.infer import create_tables, qualified
 
 REJECTS_SUFFIX = "_rejects"
 BAD = "bad_columns"
@@ -102,7 +103,7 @@ class _Refresh:
     FOLDER = "_loads"
 
     def __init__(self, spark: SparkSession, database: str, table: str):
-        self.spark, self.table = spark, f"{database}.{table}"
+        self.spark, self.table = spark, qualified(database, table)
         root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
         self.path = f"{root}/{self.FOLDER}/{table}-{uuid.uuid4().hex}"
 
@@ -123,8 +124,7 @@ class _Refresh:
 def _quarantine(spark: SparkSession, database: str, table: str, rows: DataFrame) -> None:
     """Replace the rejects of a table; its columns are those of the source, so it is made anew."""
     rejects = f"{table}{REJECTS_SUFFIX}"
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    spark.sql(f"CREATE TABLE {database}.{rejects} ({columns}) USING PARQUET")
+    create_tables(spark, database, {rejects: rows.schema})
     refresh = _Refresh(spark, database, rejects)
     refresh.write(rows)
     refresh.publish()
@@ -142,12 +142,12 @@ def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "rej
     if on_error not in ("reject", "quarantine"):
         raise ValueError(f"unknown on_error {on_error!r}")
     table = table_name(path)
-    if not spark.catalog.tableExists(f"{database}.{table}"):
+    if not spark.catalog.tableExists(qualified(database, table)):
         return Audit(table, "skipped_no_table")
     scan = scan_csv(spark, path, multiline)
     if scan is None:
         return Audit(table, "skipped_empty")
-    schema = spark.table(f"{database}.{table}").schema
+    schema = spark.table(qualified(database, table)).schema
     unmatched = [raw for raw, name in zip(scan.header, scan.names) if name not in schema.names]
     if len(unmatched) == len(scan.header):
         return Audit(table, "skipped_no_columns", unmatched=unmatched)
@@ -164,7 +164,7 @@ def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "rej
         if rejected and on_error == "reject":
             refresh.abandon()
             return Audit(table, "rejected", 0, rejected, unmatched)
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{table}{REJECTS_SUFFIX}")
+        spark.sql(f"DROP TABLE IF EXISTS {qualified(database, table + REJECTS_SUFFIX)}")
         if rejected:
             kept = checked.filter(is_bad).select(*scan.names, BAD)
             _quarantine(spark, database, table, kept)

@@ -72,3 +72,9 @@ class Retail:
     @cached_property
     def payments(self) -> DataFrame:
         return self._read("events").select(F.col("event_id").alias("id"))
+
+    def register(self) -> None:
+        """Make the canonical tables temporary views, for use in SQL."""
+        for name in ("customers", "orders", "order_items", "product_variants", "products", "categories",
+                     "payments"):
+            getattr(self, name).createOrReplaceTempView(name)
