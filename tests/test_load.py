@@ -80,6 +80,13 @@ def test_directory_audit(spark, db, tmp_path):
     assert totals["loaded"] == (1, 1) and len(totals) == 4
 
 
+def test_later_source_of_a_table_wins(spark, db, tmp_path):
+    for name, id_ in (("Brands.csv", 1), ("brands.CSV", 2), ("brands.csv", 3)):
+        put(tmp_path, name, BRANDS + f"{id_},a,e,t\n")
+    assert load_directory(spark, str(tmp_path / "in"), db).filter("status = 'loaded'").count() == 3
+    assert ids(spark, f"{db}.brands") == [3]
+
+
 def test_error_fails_only_its_source(spark, db, tmp_path):
     put(tmp_path, "brands.csv", BRANDS + "1,a,e,t\n")
     parts = tmp_path / "in" / "orders.csv"

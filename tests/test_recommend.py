@@ -56,7 +56,7 @@ def test_hot_customer_is_spread(spark):
     from tradewind.operators.overlap import _cells, _sliced
 
     pairs = spark.range(400).select(F.lit(0).alias("customer_id"), F.col("id").alias("product_id"))
-    cells = _cells(_sliced(pairs, 20))
+    cells = _cells(_sliced(pairs, 20), 8)
     sizes = [len(r.basket) for r in cells.collect()]
     assert len(sizes) == 20 * 21 // 2 and max(sizes) < 100
     assert shared_customers(pairs, 20).count() == 400 * 399 // 2

@@ -1,11 +1,13 @@
 """Counting shared customers of product pairs, in sparse form.
 
-The input is a distinct ``(customer_id, product_id)`` relation. The dense customer x product and
+The input is a distinct ``(customer_id, product_id)`` relation, read several times. The dense customer x product and
 product x product matrices are never built.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from tradewind.session import shuffle_tasks
 
 # Products per slice of a customer's basket; a larger basket is cut into several slices.
 CELL = 512
+# Pairs of products one task should form.
+PAIRS_PER_TASK = 4_000_000
 
 
 def product_buyers(pairs: DataFrame) -> DataFrame:
@@ -35,7 +39,18 @@ def _sliced(pairs: DataFrame, cell: int) -> DataFrame:
     )
 
 
-def _cells(sliced: DataFrame) -> DataFrame:
+def _tasks(pairs: DataFrame) -> int:
+    """Tasks for pairing the baskets: by the pairs to form, up to the session's shuffle partitions."""
+    spark = pairs.sparkSession
+    size = F.col("size").cast("double")
+    to_form = (
+        pairs.groupBy("customer_id").agg(F.count(F.lit(1)).alias("size"))
+        .agg(F.sum(size * size / 2)).first()[0] or 0)
+    wanted = max(spark.sparkContext.defaultParallelism, ceil(to_form / PAIRS_PER_TASK))
+    return min(wanted, shuffle_tasks(spark))
+
+
+def _cells(sliced: DataFrame, tasks: int) -> DataFrame:
     """One sorted array of products per customer and pair of slices.
 
     A basket of one slice is one cell. Of a larger basket, cell (r, c) holds the slices r and c, at
@@ -48,7 +63,7 @@ def _cells(sliced: DataFrame) -> DataFrame:
         sliced.select("customer_id", "slice", other, F.struct("product_id", "buyers", "slice").alias("p"))
         .select("customer_id", F.least("slice", "other").alias("r"),
                 F.greatest("slice", "other").alias("c"), "p")
-        .repartition(shuffle_tasks(sliced.sparkSession), "customer_id", "r", "c")
+        .repartition(tasks, "customer_id", "r", "c")
         .groupBy("customer_id", "r", "c").agg(F.sort_array(F.collect_list("p")).alias("basket"))
     )
 
@@ -62,7 +77,7 @@ def shared_customers(pairs: DataFrame, cell: int = CELL) -> DataFrame:
     """
     first, second = F.col("first"), F.col("second")
     met = (
-        _cells(_sliced(pairs, cell))
+        _cells(_sliced(pairs, cell), _tasks(pairs))
         .select("r", "c", "basket", F.posexplode("basket").alias("at", "first"))
         .select("r", "c", "first", F.explode(
             F.slice("basket", F.col("at") + 2, F.size("basket"))).alias("second"))

@@ -49,10 +49,10 @@ def list_csv(spark: SparkSession, folder: str) -> list[str]:
             if p.getName().lower().endswith(".csv")]
 
 
-def for_each_source(work: Callable[[str], Any], paths: list[str]) -> list[Any]:
-    """Results of ``work`` on every path, in order; a few run at the same time."""
+def for_each_source(work: Callable[[Any], Any], sources: list) -> list:
+    """Results of ``work`` on every source, in order; a few run at the same time."""
     with ThreadPoolExecutor(SOURCES_AT_ONCE) as pool:
-        return list(pool.map(work, paths))
+        return list(pool.map(work, sources))
 
 
 def table_name(path: str) -> str:

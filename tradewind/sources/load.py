@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from dataclasses import astuple, dataclass, field
+from itertools import chain
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -188,7 +189,12 @@ def load_directory(spark: SparkSession, folder: str, database: str, on_error: st
         audit.seconds = time.monotonic() - started
         return astuple(audit)
 
-    return spark.createDataFrame(for_each_source(load, list_csv(spark, folder)), AUDIT_SCHEMA)
+    # Sources of the same table replace each other, so they stay in order; others run side by side.
+    by_table: dict[str, list[str]] = {}
+    for path in list_csv(spark, folder):
+        by_table.setdefault(table_name(path), []).append(path)
+    audits = for_each_source(lambda paths: [load(path) for path in paths], list(by_table.values()))
+    return spark.createDataFrame(list(chain.from_iterable(audits)), AUDIT_SCHEMA)
 
 
 def audit_totals(audit: DataFrame) -> DataFrame:
