@@ -16,7 +16,7 @@ from tradewind.session import shuffle_tasks
 # Products per slice of a customer's basket; a larger basket is cut into several slices.
 CELL = 512
 # Pairs of products one task should form.
-PAIRS_PER_TASK = 4_000_000
+PAIRS_PER_TASK = 1_000_000
 
 
 def product_buyers(pairs: DataFrame) -> DataFrame:

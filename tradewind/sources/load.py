@@ -57,14 +57,16 @@ def check(rows: DataFrame, schema: T.StructType) -> DataFrame:
     values = [
         (typed(cells[f.name], f.dataType) if f.name in cells else F.lit(None).cast(f.dataType))
         .alias(TYPED + f.name) for f in schema]
-    if not cells:
+    parsed = {f.name: cells[f.name] for f in schema
+              if f.name in cells and not isinstance(f.dataType, T.StringType)}
+    if not parsed:
         return rows.select("*", *values).withColumn(BAD, F.array().cast("array<string>"))
     # Nearly always empty, so whether a suspect cell is only blank is decided on the few that are
     # in it. One short expression per column keeps the generated code small enough to be compiled.
     suspects = F.array_compact(F.array(*[
         F.when(cell.isNotNull() & F.col(f"`{TYPED}{name}`").isNull(),
                F.struct(F.lit(name).alias("name"), cell.alias("cell")))
-        for name, cell in cells.items()]))
+        for name, cell in parsed.items()]))
     bad = F.filter(suspects, lambda s: stripped(s["cell"]).isNotNull())
     return rows.select("*", *values).withColumn(BAD, F.transform(bad, lambda s: s["name"]))
 
@@ -98,7 +100,8 @@ def _discard(spark: SparkSession, path: str) -> None:
 class _Refresh:
     """A table's next content, written beside the current one and shown by one catalog change.
 
-    Readers see the old rows until then, and a failed or rejected load leaves them in place.
+    Queries planned before that change read the old files, which go with it; a failed or rejected
+    load leaves table and files in place.
     """
 
     FOLDER = "_loads"
@@ -113,7 +116,11 @@ class _Refresh:
 
     def publish(self) -> None:
         previous = _location(self.spark, self.table)
-        self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{self.path}'")
+        try:
+            self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{self.path}'")
+        except SPARK_ERRORS:
+            self.abandon()
+            raise
         self.spark.catalog.refreshTable(self.table)
         if f"/{self.FOLDER}/" in previous:
             _discard(self.spark, previous)
@@ -169,10 +176,10 @@ def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "rej
         if rejected:
             kept = checked.filter(is_bad).select(*scan.names, BAD)
             _quarantine(spark, database, table, kept)
-        refresh.publish()
     except SPARK_ERRORS:
         refresh.abandon()
         raise
+    refresh.publish()
     return Audit(table, "loaded", counts.get["good"], rejected, unmatched)
 
 
