@@ -6,7 +6,7 @@ import pytest
 
 from tradewind.sources.declared import declared_schemas
 from tradewind.sources.infer import create_tables, infer_directory
-from tradewind.sources.load import audit_totals, load_csv, load_directory
+from tradewind.sources.load import audit_totals, ingest_directory, load_csv, load_directory
 
 NAMES = (f"load_test_{n}" for n in itertools.count())
 BRANDS = "id,Name,Extra,is_active\n"
@@ -80,6 +80,19 @@ def test_directory_audit(spark, db, tmp_path):
     assert totals["loaded"] == (1, 1) and len(totals) == 4
 
 
+def test_ingest_creates_missing_tables(spark, db, tmp_path):
+    put(tmp_path, "brands.csv", BRANDS + "1,a,e,t\n")
+    put(tmp_path, "prices.csv", "id,Preço\n1,2.50\n2,30.1\n")
+    put(tmp_path, "empty.csv", "")
+    audit = ingest_directory(spark, str(tmp_path / "in"), db)
+    assert {r.table_name: (r.status, r.rows_loaded) for r in audit.collect()} == {
+        "brands": ("loaded", 1), "prices": ("loaded", 2), "empty": ("skipped_empty", 0)}
+    assert spark.table(f"{db}.brands").schema == declared_schemas()["brands"]
+    assert [(f.name, f.dataType.simpleString()) for f in spark.table(f"{db}.prices").schema] == [
+        ("id", "int"), ("preco", "decimal(18,2)")]
+    assert sorted(float(r.preco) for r in spark.table(f"{db}.prices").collect()) == [2.5, 30.1]
+
+
 def test_later_source_of_a_table_wins(spark, db, tmp_path):
     for name, id_ in (("Brands.csv", 1), ("brands.CSV", 2), ("brands.csv", 3)):
         put(tmp_path, name, BRANDS + f"{id_},a,e,t\n")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import astuple, dataclass, field
 from itertools import chain
 
@@ -14,8 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.functions.cells import stripped, typed
-from tradewind.sources.csv_files import for_each_source, hadoop_path, list_csv, scan_csv, table_name
-from tradewind.sources.infer import create_tables, qualified
+from tradewind.sources.csv_files import (
+    CsvScan, for_each_source, hadoop_path, list_csv, scan_csv, table_name,
+)
+from tradewind.sources.infer import create_tables, infer_schema, qualified
 
 REJECTS_SUFFIX = "_rejects"
 BAD = "bad_columns"
@@ -139,20 +142,21 @@ def _quarantine(spark: SparkSession, database: str, table: str, rows: DataFrame)
 
 
 def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "reject",
-             multiline: bool | None = None) -> Audit:
+             multiline: bool | None = None, scan: CsvScan | None = None) -> Audit:
     """Replace a table's rows by a CSV source, matching columns by normalised name.
 
     ``on_error="reject"`` refuses the whole source when any value does not fit its column;
     ``"quarantine"`` loads the good rows and keeps the bad ones, as text with the names of the bad
     columns, in ``<table>_rejects``. The source is parsed once: rows and bad rows are counted while
-    the typed rows are written. Only a source with bad rows is read again to keep them.
+    the typed rows are written. Only a source with bad rows is read again to keep them. Pass
+    ``scan`` when the source was scanned before.
     """
     if on_error not in ("reject", "quarantine"):
         raise ValueError(f"unknown on_error {on_error!r}")
     table = table_name(path)
     if not spark.catalog.tableExists(qualified(database, table)):
         return Audit(table, "skipped_no_table")
-    scan = scan_csv(spark, path, multiline)
+    scan = scan or scan_csv(spark, path, multiline)
     if scan is None:
         return Audit(table, "skipped_empty")
     schema = spark.table(qualified(database, table)).schema
@@ -183,14 +187,11 @@ def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "rej
     return Audit(table, "loaded", counts.get["good"], rejected, unmatched)
 
 
-def load_directory(spark: SparkSession, folder: str, database: str, on_error: str = "reject",
-                   multiline: bool | None = None) -> DataFrame:
-    """Load every CSV source of a folder; one audit row per source. An error fails only its source."""
-
-    def load(path: str) -> tuple:
+def _load_each(spark: SparkSession, folder: str, load: Callable[[str], Audit]) -> DataFrame:
+    def audited(path: str) -> tuple:
         started = time.monotonic()
         try:
-            audit = load_csv(spark, path, database, on_error, multiline)
+            audit = load(path)
         except SPARK_ERRORS as error:
             audit = Audit(table_name(path), "failed", detail=str(error))
         audit.seconds = time.monotonic() - started
@@ -200,10 +201,36 @@ def load_directory(spark: SparkSession, folder: str, database: str, on_error: st
     by_table: dict[str, list[str]] = {}
     for path in list_csv(spark, folder):
         by_table.setdefault(table_name(path), []).append(path)
-    audits = for_each_source(lambda paths: [load(path) for path in paths], list(by_table.values()))
+    audits = for_each_source(lambda paths: [audited(path) for path in paths], list(by_table.values()))
     return spark.createDataFrame(list(chain.from_iterable(audits)), AUDIT_SCHEMA)
 
 
+def load_directory(spark: SparkSession, folder: str, database: str, on_error: str = "reject",
+                   multiline: bool | None = None) -> DataFrame:
+    """Load every CSV source of a folder; one audit row per source. An error fails only its source."""
+    return _load_each(
+        spark, folder, lambda path: load_csv(spark, path, database, on_error, multiline))
+
+
+def ingest_directory(spark: SparkSession, folder: str, database: str, on_error: str = "reject",
+                     multiline: bool | None = None, lattice: str = "rank") -> DataFrame:
+    """Infer, create and load: like ``load_directory``, but tables that do not exist are created.
+
+    A source is scanned for quoted line breaks once for both inference and load.
+    """
+
+    def ingest(path: str) -> Audit:
+        scan = scan_csv(spark, path, multiline)
+        table = table_name(path)
+        if scan is None:
+            return Audit(table, "skipped_empty")
+        if not spark.catalog.tableExists(qualified(database, table)):
+            create_tables(spark, database, {table: infer_schema(scan.rows, scan.names, lattice)})
+        return load_csv(spark, path, database, on_error, scan=scan)
+
+    return _load_each(spark, folder, ingest)
+
+
 def audit_totals(audit: DataFrame) -> DataFrame:
     """Sources, rows and seconds per status."""
     return audit.groupBy("status").agg(

@@ -194,6 +194,7 @@ ORACLE: dict[str, str] = {
         SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS BIGINT) AS quantity
         FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_name = 'blue anvil')""",
     "monthly_demand": MONTHLY,
+    "product_demand": f"SELECT * FROM ({MONTHLY}) WHERE product_name = 'blue anvil'",
     "ma_forecast": f"{FORECAST_CTES} SELECT product_name, month, forecast FROM long",
     "forecast_eval": f"""{FORECAST_CTES}
         SELECT product_name, month, round_even(forecast, 2) AS forecast, actual,

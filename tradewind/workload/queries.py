@@ -13,9 +13,9 @@ from tradewind.functions.calendar import calendar_dim
 from tradewind.functions.names import normalize_columns
 from tradewind.plans import customers, demand, orders, recommend, sales
 from tradewind.sources import star
-from tradewind.sources.csv_files import list_csv, scan_csv
-from tradewind.sources.infer import column_types, create_tables, infer_schema
-from tradewind.sources.load import load_csv, load_directory
+from tradewind.sources.csv_files import list_csv
+from tradewind.sources.infer import column_types
+from tradewind.sources.load import ingest_directory, load_csv, load_directory
 from tradewind.workload import staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,11 +74,8 @@ def renamed_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def loaded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as CSV, their schema inferred, loaded into a typed table and read back."""
-    (path,) = list_csv(spark, staging.orders_folder(spark, sf_dir))
-    scan = scan_csv(spark, path)
     database = staging.new_database(spark, {})
-    create_tables(spark, database, {"orders": infer_schema(scan.rows, scan.names)})
-    load_csv(spark, path, database)
+    ingest_directory(spark, staging.orders_folder(spark, sf_dir), database)
     loaded = spark.table(f"{database}.orders")
     keys = {c: F.col(c).cast("bigint") for c in ("o_orderkey", "o_custkey")}
     return plain(loaded.withColumns(keys))
@@ -127,6 +124,8 @@ QUERIES: dict[str, Query] = {
     "product_lines": _retail(lambda t: demand.product_lines(
         t.order_items, t.product_variants, t.products, star.PRODUCT_NAME)),
     "monthly_demand": _retail(_monthly),
+    "product_demand": _retail(lambda t: demand.monthly_demand(
+        *_chain(t), product_name=star.PRODUCT_NAME, valid_status=VALID)),
     "ma_forecast": _retail(lambda t: demand.ma_forecast(_monthly(t), star.CUTOFF)),
     "forecast_eval": _retail(lambda t: demand.forecast_eval(_monthly(t), star.CUTOFF)),
     "forecast_metrics": _retail(lambda t: demand.forecast_metrics(_monthly(t), star.CUTOFF)),
