@@ -46,7 +46,7 @@ def test_digits(spark, text, before, after):
 
 @pytest.mark.parametrize("text, ddl, value", [
     (" 7 ", "int", 7), ("7.5", "int", None), ("abc", "int", None), ("2147483648", "int", None),
-    ("2147483648", "bigint", 2147483648), ("sim", "boolean", True), ("NAO", "boolean", False),
+    ("2147483648", "bigint", 2147483648), ("sim", "boolean", True), (" TRUE\t", "boolean", True), ("NAO", "boolean", False),
     ("on", "boolean", True), ("0", "boolean", False), ("maybe", "boolean", None),
     ("52.", "decimal(18,2)", Decimal("52.00")), ("1.005", "decimal(18,2)", None),
     ("1.500", "decimal(18,2)", Decimal("1.50")), ("1e2", "decimal(18,2)", Decimal("100.00")),

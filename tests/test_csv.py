@@ -43,6 +43,8 @@ def test_header(spark, tmp_path):
     path = write(tmp_path, "t.csv", 'a,"b\nc","d ""e"""\n1,2,3\n')
     assert read_header(spark, path) == ["a", "b\nc", 'd "e"']
     assert scan_csv(spark, path).names == ["a", "b_c", "d_e"]
+    long = "line\n" * 25
+    assert read_header(spark, write(tmp_path, "l.csv", f'a,"{long}",b\n1,2,3\n')) == ["a", long, "b"]
     assert scan_csv(spark, write(tmp_path, "empty.csv", "")) is None
     assert scanned(spark, write(tmp_path, "bare.csv", "a,b\n")) == []
 

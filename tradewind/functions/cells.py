@@ -112,7 +112,7 @@ def typed(cell: Column, to: T.DataType) -> Column:
     if isinstance(to, T.StringType):
         return cell
     if isinstance(to, T.BooleanType):
-        word = F.lower(F.trim(cell))
+        word = F.lower(F.btrim(cell, F.lit(" \t\n\r\x0b\x0c")))
         return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
     value = cell.try_cast(to)
     if isinstance(to, T.DecimalType):

@@ -20,8 +20,8 @@ from tradewind.functions.names import normalize_header, normalize_name
 
 # CSV sources worked on at the same time, so that small ones do not leave the cluster idle.
 SOURCES_AT_ONCE = 4
-# Physical lines looked at for the header, which may contain quoted line breaks.
-HEADER_LINES = 100
+# Physical lines first looked at for the header, which may contain quoted line breaks.
+HEADER_LINES = 10
 
 
 @dataclass(frozen=True)
@@ -62,8 +62,14 @@ def table_name(path: str) -> str:
 
 def read_header(spark: SparkSession, path: str) -> list[str] | None:
     """The header cells as written; None for an empty file."""
-    lines = [row.value for row in spark.read.text(path).take(HEADER_LINES)]
-    return next(csv.reader(line + "\n" for line in lines), None)
+    wanted = HEADER_LINES
+    while True:
+        lines = [row.value for row in spark.read.text(path).take(wanted)]
+        reader = csv.reader(line + "\n" for line in lines)
+        header = next(reader, None)
+        if reader.line_num < len(lines) or len(lines) < wanted:
+            return header
+        wanted *= 10  # the header may go on
 
 
 def open_quote(line: Column) -> Column:
