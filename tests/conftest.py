@@ -6,7 +6,7 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from tradewind.session import local_session  # noqa: E402
+from tradewind.session import clear_scratch, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -17,4 +17,5 @@ def spark(tmp_path_factory):
     if session.conf.get("spark.checkpoint.dir", None) is None:
         session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
+    clear_scratch(session)
     session.stop()
