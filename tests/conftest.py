@@ -14,8 +14,6 @@ def spark(tmp_path_factory):
     session = local_session("*", 8, **{
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         "spark.driver.memory": "4g"})
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     clear_scratch(session)
     session.stop()

@@ -1,5 +1,6 @@
 import datetime as dt
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,20 @@ def test_scratch_is_shared_and_cleared(spark):
     assert not path.exists()
 
 
+def session_stub(master, folder=None):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: folder or default),
+        sparkContext=SimpleNamespace(master=master))
+
+
+def test_shared_folder_comes_from_the_session():
+    assert shared_dir(session_stub("yarn", "hdfs://cluster/shared/")) == "hdfs://cluster/shared"
+    own = shared_dir(session_stub("local[8]"))
+    assert Path(own).is_dir() and own == shared_dir(session_stub("local[2]"))
+    with pytest.raises(RuntimeError):
+        shared_dir(session_stub("spark://host:7077"))
+
+
 def test_shuffle_tasks_follow_the_session(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert shuffle_tasks(spark) == 8

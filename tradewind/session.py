@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +43,11 @@ def shuffle_tasks(spark: SparkSession) -> int:
     return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tradewind-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
@@ -53,9 +59,7 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tradewind-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 # Paths handed out so far.
