@@ -105,6 +105,12 @@ def test_listing_and_names(spark, tmp_path):
         list_csv(spark, str(tmp_path / "missing"))
 
 
+def test_odd_file_names(spark, tmp_path):
+    write(tmp_path, "a[1] {x}*.csv", 'id,n\n1,"a\nb"\n')
+    (path,) = list_csv(spark, str(tmp_path))
+    assert table_name(path) == "a_1_x" and scanned(spark, path) == [("1", "a\nb")]
+
+
 def test_typed_scan(spark, tmp_path):
     path = write(tmp_path, "orders.csv", "id,placed_at,other\n1,2024-01-05 10:00:00,x\n2,bad,y\n")
     schema = T.StructType.fromDDL("id int, placed_at timestamp_ntz, total decimal(18,2)")

@@ -7,6 +7,7 @@ A CSV source is a single file or a folder of part files, as Spark writes them; b
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -49,6 +50,11 @@ def list_csv(spark: SparkSession, folder: str) -> list[str]:
             if p.getName().lower().endswith(".csv")]
 
 
+def _literal(path: str) -> str:
+    """The path with the characters escaped that Spark would read as a glob pattern."""
+    return re.sub(r"([][{}*?\\])", r"\\\1", path)
+
+
 def for_each_source(work: Callable[[Any], Any], sources: list) -> list:
     """Results of ``work`` on every source, in order; a few run at the same time."""
     with ThreadPoolExecutor(SOURCES_AT_ONCE) as pool:
@@ -64,7 +70,7 @@ def read_header(spark: SparkSession, path: str) -> list[str] | None:
     """The header cells as written; None for an empty file."""
     wanted = HEADER_LINES
     while True:
-        lines = [row.value for row in spark.read.text(path).take(wanted)]
+        lines = [row.value for row in spark.read.text(_literal(path)).take(wanted)]
         reader = csv.reader(line + "\n" for line in lines)
         header = next(reader, None)
         if reader.line_num < len(lines) or len(lines) < wanted:
@@ -88,7 +94,7 @@ def has_quoted_line_breaks(spark: SparkSession, path: str) -> bool:
     True may be a false alarm, which costs parallelism but no rows.
     """
     line = F.col("value")
-    return not spark.read.text(path).filter(line.contains('"')).filter(open_quote(line)).isEmpty()
+    return not spark.read.text(_literal(path)).filter(line.contains('"')).filter(open_quote(line)).isEmpty()
 
 
 def scan_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> CsvScan | None:
@@ -111,7 +117,7 @@ def scan_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> C
     checked = folder and all(header) and len({h.lower() for h in header}) == len(header)
     fields = header if checked else names
     rows = spark.read.csv(
-        path, schema=T.StructType([T.StructField(f, T.StringType()) for f in fields]),
+        _literal(path), schema=T.StructType([T.StructField(f, T.StringType()) for f in fields]),
         header=True, multiLine=multiline, quote='"', escape='"', encoding="UTF-8",
         mode="PERMISSIVE", enforceSchema=not checked, maxColumns=max(20480, len(header) * 2),
     ).toDF(*names)
