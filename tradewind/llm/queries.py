@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import lines, mixing, quality
-from tradewind.llm.common import table
+from tradewind.llm import bpe, lines, mixing, quality, tokens
+from tradewind.llm.common import table, text_or_empty
 from tradewind.llm.oracle import ORACLE as ORACLE
 
 
@@ -32,8 +33,29 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(docs, removed="n_removed")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    text = text_or_empty(F.col("text"))
+    return docs.select(
+        "doc_id", F.octet_length(text).cast("long").alias("n_bytes"),
+        tokens.token_count(F.col("text"), public_tokenizers.path("byte_bpe_50k.json")).alias("n_tokens"),
+    ).withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoded = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), path).alias("ids"))
+    decoded = encoded.withColumn("text", bpe.decode(F.col("ids"), path))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mix_sources": op2_mix_sources,
     "op4_line_dedup": op4_line_dedup,
+    "op5_token_counts": op5_token_counts,
+    "op6_bpe": op6_bpe,
 }
