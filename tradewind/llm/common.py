@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers that share this machine's files import the package, wherever Python was started.
+    On other machines it has to be installed, or shipped with ``addPyFile``."""
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    root = str(Path(__file__).resolve().parents[2])
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import bpe, lines, mixing, quality, tokens
-from tradewind.llm.common import table, text_or_empty
+from tradewind.llm.common import importable, table, text_or_empty
 from tradewind.llm.oracle import ORACLE as ORACLE
 
 
@@ -52,10 +52,13 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def _query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: build(importable(spark), sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_quality_rules": op1_quality_rules,
-    "op2_mix_sources": op2_mix_sources,
-    "op4_line_dedup": op4_line_dedup,
-    "op5_token_counts": op5_token_counts,
-    "op6_bpe": op6_bpe,
+    build.__name__: _query(build)
+    for build in (
+        op1_quality_rules, op2_mix_sources, op4_line_dedup, op5_token_counts, op6_bpe,
+    )
 }
