@@ -102,8 +102,109 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '')
 FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN cuts USING (doc_id)
 """
 
+WARC = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS bytes, sha1(coalesce(html, '')) AS digest FROM pages
+), same AS (
+  SELECT *, bytes >= 1000 AND page_id IS DISTINCT FROM max(page_id) OVER (PARTITION BY digest) AS again,
+    max(page_id) OVER (PARTITION BY digest) AS largest
+  FROM p
+)
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+  CASE WHEN again AND largest IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN largest END AS refers_to
+FROM same
+"""
+
+TOPK_SEARCH = """
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.row <> c.row AND len(q.x) = len(c.x) WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER o AS INTEGER) AS rank, vec_id, score FROM scored
+WINDOW o AS (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST) QUALIFY row_number() OVER o <= 20
+"""
+
+_TAG = r"(?i)<(?:link|meta)\b[^>]*>"
+_HREF = r"""(?i)\bhref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))"""
+_TARGET = r"""(?i)\bcontent\s*=\s*(?:"[^"]*?url\s*=\s*''?([^"'']*)|''[^'']*?url\s*=\s*"?([^"'']*))"""
+_SCHEME = "[A-Za-z][A-Za-z0-9+.-]*"
+
+
+def _split(url: str) -> str:
+    """SQL for host and path of a URL."""
+    rest = f"CASE WHEN instr({url}, '://') > 0 THEN substr({url}, instr({url}, '://') + 3) ELSE '' END"
+    capitals = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    return (f"translate(regexp_extract({rest}, '^[^/?#]*'), {capitals}) AS host, "
+            f"regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1) AS path, "
+            f"regexp_extract({rest}, '^[^/?#]*([^#]*)', 1) AS after, "
+            f"lower(string_split({url}, '://')[1]) AS scheme")
+
+
+_RULE = """CASE WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END"""
+_VERDICT = "CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END"
+_NODE = "CASE WHEN host <> '' THEN scheme || '://' || host || CASE WHEN after = '' THEN '/' ELSE after END END"
+
+URL_FILTERS = rf"""
+WITH RECURSIVE p AS (
+  SELECT page_id, coalesce(url, '') AS url, html, {_split("coalesce(url, '')")} FROM pages
+), own AS (
+  SELECT page_id, url, html, host, path, {_NODE} AS node, {_RULE} AS rule FROM p
+), tags AS (
+  SELECT url, node, unnest(regexp_extract_all(coalesce(html, ''), '{_TAG}')) AS tag FROM own
+), named AS (
+  SELECT url, node, trim(replace(regexp_extract(tag, '{_HREF}', 1) || regexp_extract(tag, '{_HREF}', 2)
+    || regexp_extract(tag, '{_HREF}', 3), '&amp;', '&'), ' ') AS target
+  FROM tags WHERE regexp_matches(tag, '(?i)\brel\s*=\s*["'']?canonical\b')
+  UNION ALL
+  SELECT url, node, trim(replace(regexp_extract(tag, '{_TARGET}', 1) || regexp_extract(tag, '{_TARGET}', 2), '&amp;', '&'), ' ')
+  FROM tags WHERE regexp_matches(tag, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b')
+), whole AS (
+  SELECT node, CASE
+    WHEN target = '' OR starts_with(target, '#') THEN NULL
+    WHEN regexp_matches(target, '^{_SCHEME}://') THEN target
+    WHEN regexp_matches(target, '^{_SCHEME}:') THEN NULL
+    WHEN starts_with(target, '//') THEN regexp_extract(url, '^({_SCHEME})://', 1) || ':' || target
+    WHEN starts_with(target, '/') THEN regexp_extract(url, '^{_SCHEME}://[^/?#]*') || target
+    WHEN starts_with(target, '?') THEN regexp_extract(url, '^[^?#]*') || target
+    WHEN regexp_matches(url, '^{_SCHEME}://[^/?#]*/') THEN regexp_extract(url, '^({_SCHEME}://[^/?#]*(?:/[^?#]*/|/)?)', 1) || target
+    ELSE regexp_extract(url, '^{_SCHEME}://[^/?#]*') || '/' || target END AS target
+  FROM named
+), ends AS (
+  SELECT node AS a, {_split("target")} FROM whole WHERE target IS NOT NULL
+), edges AS (
+  SELECT a, {_NODE} AS b FROM ends WHERE a IS NOT NULL AND {_NODE} <> a
+), both_ways AS (
+  SELECT a, b FROM edges UNION SELECT b, a FROM edges
+), reach AS (
+  SELECT a AS node, b AS other FROM both_ways
+  UNION
+  SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a
+), others AS (
+  SELECT node, other, {_split("other")} FROM reach
+), judged AS (
+  SELECT node, {_RULE} AS rule FROM others
+), blocked AS (
+  SELECT node FROM judged GROUP BY node
+  HAVING bool_or(({_VERDICT}) = 'block') AND NOT coalesce(bool_or(({_VERDICT}) = 'allow'), false)
+)
+SELECT page_id, host, path, rule,
+  coalesce({_VERDICT}, CASE WHEN node IN (SELECT node FROM blocked) THEN 'block' END, 'allow') AS verdict
+FROM own
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": QUALITY_RULES,
     "op2_mix_sources": MIX_SOURCES,
     "op4_line_dedup": LINE_DEDUP,
+    "op7_warc": WARC,
+    "op8_topk_search": TOPK_SEARCH,
+    "op10_url_filters": URL_FILTERS,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, lines, mixing, quality, tokens
+from tradewind.llm import bpe, lines, mixing, quality, tokens, topk, urls, warc
 from tradewind.llm.common import importable, table, text_or_empty
 from tradewind.llm.oracle import ORACLE as ORACLE
 
@@ -52,6 +52,22 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return warc.read_records(index, with_payload=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged, name = urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return judged.select("page_id", *[f"{name}.{c}" for c in ("host", "path", "rule", "verdict")])
+
+
 def _query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: build(importable(spark), sf_dir)
 
@@ -59,6 +75,7 @@ def _query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     build.__name__: _query(build)
     for build in (
-        op1_quality_rules, op2_mix_sources, op4_line_dedup, op5_token_counts, op6_bpe,
+        op1_quality_rules, op2_mix_sources, op4_line_dedup, op5_token_counts, op6_bpe, op7_warc, op8_topk_search,
+        op10_url_filters,
     )
 }
