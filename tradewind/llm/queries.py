@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, lines, mixing, quality, tokens, topk, urls, warc
+from tradewind.llm import bpe, jaccard, lines, mixing, quality, tokens, topk, urls, warc
 from tradewind.llm.common import importable, table, text_or_empty
 from tradewind.llm.oracle import ORACLE as ORACLE
 
@@ -63,6 +63,11 @@ def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        F.col("id").alias("doc_id"), "class_id", "copy_id", "n_copies", "n_links", "n_texts")
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, name = urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return judged.select("page_id", *[f"{name}.{c}" for c in ("host", "path", "rule", "verdict")])
@@ -75,7 +80,7 @@ def _query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     build.__name__: _query(build)
     for build in (
-        op1_quality_rules, op2_mix_sources, op4_line_dedup, op5_token_counts, op6_bpe, op7_warc, op8_topk_search,
+        op1_quality_rules, op2_mix_sources, op4_line_dedup, op5_token_counts, op6_bpe, op7_warc, op8_topk_search, op9_jaccard_join,
         op10_url_filters,
     )
 }
