@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import lines, mixing, quality
+from tradewind.llm import bpe, jaccard, lines, mixing, quality
 from tradewind.llm.common import column, fresh_name, importable, table
 from tradewind.operators.lineage import written
 
@@ -23,15 +24,32 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one of the smallest id."""
+    return jaccard.keep_one(docs)
+
+
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's weight asks for."""
     return mixing.mix(docs)
 
 
+def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and a digest of the text they decode to. Other columns than those of
+    ``documents`` end here."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    encoded = docs.select("doc_id", "lang", "source", bpe.encode(F.col("text"), vocabulary).alias("token_ids"))
+    return encoded.withColumns({
+        "n_tokens": F.size("token_ids").cast("long"),
+        "decoded_sha256": F.sha2(bpe.decode(F.col("token_ids"), vocabulary).cast("binary"), 256)})
+
+
 STAGES = [
     ("quality rules", keep_good_documents),
     ("line dedup", cut_repeated_lines),
+    ("near duplicates", drop_near_duplicates),
     ("mixing", mix_to_weights),
+    ("BPE", encode_documents),
 ]
 
 # Hash signatures and token merges have no SQL; tests hold the stages against plain versions.

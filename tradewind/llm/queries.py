@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, jaccard, lines, mixing, quality, tokens, topk, urls, warc
+from tradewind.llm import bpe, jaccard, lines, lm, mixing, quality, tokens, topk, urls, warc
 from tradewind.llm.common import importable, table, text_or_empty
 from tradewind.llm.oracle import ORACLE as ORACLE
 
@@ -28,6 +28,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col(f"{name}.size") * F.col(f"{name}.copies")).alias("taken"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored, name = lm.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scored.select("doc_id", *[f"{name}.{c}" for c in ("n_words", "log_prob", "mean_log_prob")])
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs, removed="n_removed")
@@ -80,7 +85,7 @@ def _query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     build.__name__: _query(build)
     for build in (
-        op1_quality_rules, op2_mix_sources, op4_line_dedup, op5_token_counts, op6_bpe, op7_warc, op8_topk_search, op9_jaccard_join,
+        op1_quality_rules, op2_mix_sources, op3_lm_scoring, op4_line_dedup, op5_token_counts, op6_bpe, op7_warc, op8_topk_search, op9_jaccard_join,
         op10_url_filters,
     )
 }
