@@ -52,10 +52,13 @@ def duplicate_lines(lines: Column) -> Column:
 
 def windows_of(words: Column) -> Column:
     """64-bit hashes of every three consecutive words."""
-    return F.when(F.size(words) >= WINDOW, F.transform(
-        F.sequence(F.lit(0), F.size(words) - WINDOW),
-        lambda at: F.xxhash64(*[F.get(words, at + k) for k in range(WINDOW)]))).otherwise(
-            F.array().cast("array<bigint>"))
+    def windows(words: Column) -> Column:
+        return F.when(F.size(words) >= WINDOW, F.transform(
+            F.sequence(F.lit(0), F.size(words) - WINDOW),
+            lambda at: F.xxhash64(*[F.get(words, at + k) for k in range(WINDOW)]))).otherwise(
+                F.array().cast("array<bigint>"))
+
+    return let(words, windows)
 
 
 def _covered(windows: Column) -> Column:
@@ -168,11 +171,10 @@ def keep_good(docs: DataFrame, rules: Sequence[Rule] = BASE_RULES + RULES, text:
               sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of ``docs`` that no rule rejects, with their columns unchanged."""
     ordered = order_rules(docs, rules, text, sample_rows)
-    name = fresh_name(docs, "words")
     body = text_or_empty(column(text))
-    return (
-        docs.withColumn(name, words_of(body))
-        .filter(_first_reason(_Measures(body, column(name)), ordered).isNull()).drop(name))
+    # Bound by ``let``: a filter on a column of words would compute them anew at every use.
+    reason = let(words_of(body), lambda words: _first_reason(_Measures(body, words), ordered))
+    return docs.filter(reason.isNull())
 
 
 def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text",
