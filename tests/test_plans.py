@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
+from tradewind.workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 LARGE = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
@@ -19,7 +19,7 @@ def plan(spark, capsys):
             spark.conf.set(key, value)
         try:
             capsys.readouterr()
-            driver.queries()[name](spark, SF_DIR).explain("formatted")
+            QUERIES[name](spark, SF_DIR).explain("formatted")
             return capsys.readouterr().out
         finally:
             for key in LARGE:
@@ -28,7 +28,7 @@ def plan(spark, capsys):
     return explain
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_join(plan, name):
     text = plan(name, large=True)
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|ArrowEvalPython|BatchEvalPython|MapInPandas", text)
