@@ -1,0 +1,107 @@
+"""Plain versions of the operators, for small inputs."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def base_numbers(text):
+    text = text or ""
+    found = words(text)
+    windows = Counter(zip(found, found[1:], found[2:]))
+    covered = {at + k for at in range(len(found) - 2) if windows[tuple(found[at:at + 3])] > 1 for k in range(3)}
+    lines = [line for line in text.split("\n") if words(line)]
+    return len(found), sum(map(len, found)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered)
+
+
+def keeps(text):
+    n, chars, symbols, repeated_lines, covered = base_numbers(text)
+    lines = sum(1 for line in (text or "").split("\n") if words(line))
+    capitals = sum(c.isupper() for c in text or "")
+    failed = n < 50 or 100 * covered > 50 * n
+    bad = 10 * symbols > n or 10 * capitals > 3 * chars or not 2 * n <= chars <= 15 * n or 2 * repeated_lines > lines
+    return not failed and not bad
+
+
+def cut_lines(docs):
+    """Texts of ``(id, text)`` rows without later occurrences of three-line windows."""
+    seen, out = {}, {}
+    for id_, text in sorted(set(docs), key=lambda d: (d[0] is not None, d[0] or 0, str(d[1]))):
+        lines = (text or "").split("\n")
+        counting = [k for k, line in enumerate(lines) if words(line)]
+        gone = set()
+        for at in range(len(counting) - 2):
+            window = tuple(lines[k] for k in counting[at:at + 3])
+            if seen.setdefault(window, (id_, text, at)) != (id_, text, at):
+                gone.update(range(counting[at], counting[at + 2] + 1))
+        out[id_, text] = None if text is None else "\n".join(line for k, line in enumerate(lines) if k not in gone)
+    return [out[d] for d in docs]
+
+
+def shingles(text, size=5):
+    found = words(text)
+    return frozenset(tuple(found[k:k + size]) for k in range(max(1, len(found) - size + 1))) if found else frozenset()
+
+
+def similar_pairs(texts, threshold=0.8):
+    """Pairs of places whose shingle sets are similar."""
+    sets, holders, shared = [shingles(t) for t in texts], defaultdict(list), Counter()
+    for place, found in enumerate(sets):
+        for one in found:
+            shared.update((other, place) for other in holders[one])
+            holders[one].append(place)
+    return [(a, b) for (a, b), n in shared.items() if n / (len(sets[a]) + len(sets[b]) - n) >= threshold]
+
+
+def groups(count, pairs):
+    root = list(range(count))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    return [find(x) for x in range(count)]
+
+
+def targets(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
+    """Target of each source from its size; null last."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
+    full, everything = set(), sum(sizes.values())
+    while True:
+        rest = min(share, most) * everything - sum(most * sizes[s] for s in full)
+        open_ = sum(weight[s] for s in sizes if s not in full)
+        level = rest / open_ if open_ else 0.0
+        more = {s for s in sizes if s not in full and most * sizes[s] < weight[s] * level}
+        if not more:
+            return {s: most * sizes[s] if s in full else min(most * sizes[s], weight[s] * level) for s in sizes}
+        full |= more
+
+
+def draw(id_, text):
+    seed = f"{'null' if id_ is None else id_}:{hashlib.md5((text or '').encode()).hexdigest()}"
+    return int(hashlib.md5(seed.encode()).hexdigest()[:13], 16) / 16 ** 13
+
+
+def copies(rows):
+    """How often each ``(id, text, source)`` row is taken."""
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += len(words(text))
+    wanted, out = targets(dict(sizes)), []
+    for id_, text, source in rows:
+        rate = wanted[source] / sizes[source] if sizes[source] else 0.0
+        out.append(int(rate) + (draw(id_, text) < rate - int(rate)))
+    return out

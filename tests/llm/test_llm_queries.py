@@ -1,0 +1,115 @@
+"""Every registered query on whole tables: against SQL, or against plain versions and the libraries."""
+
+import hashlib
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+import public_tokenizers
+import pytest
+from plain import copies, cut_lines, groups, keeps, similar_pairs, words
+from tokenizers import Tokenizer
+
+import __spark_entry__ as driver
+import corpus_pipeline
+from conftest import SMALL
+from oracle_check import differences, duck
+from tradewind.llm.queries import ORACLE, QUERIES
+
+
+def rows(table):
+    return duckdb.sql(f"SELECT * FROM '{SMALL}/{table}.parquet'").fetchall()
+
+
+@pytest.fixture(scope="module")
+def documents():
+    return {r[0]: r[1] for r in rows("documents")}
+
+
+def test_queries_are_registered():
+    numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
+    assert numbers == list(range(1, 11))
+    assert {*QUERIES, "pipeline"} <= driver.queries().keys() and ORACLE.keys() <= driver.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_sql(spark, name):
+    ours = QUERIES[name](spark, SMALL).toArrow()
+    assert ours.num_rows > 0
+    assert differences(ours, duck(SMALL).sql(ORACLE[name]).to_arrow_table()) == []
+
+
+def test_url_sql_follows_aliases(spark, tmp_path):
+    """The tables hold no redirects, so a few pages with them are held against the SQL too."""
+    pages = spark.createDataFrame([
+        (1, "http://p.com/1", '<link rel="canonical" href="/2">'), (2, "http://p.com/2#top", "<meta http-equiv=refresh content='0;url=http://bad.net'>"),
+        (3, "http://p.com/3", "<link href=http://p.com/1 rel=canonical>"), (4, "http://f.org/fr/", '<link rel="canonical" href="http://g.net/">'),
+        (5, "http://k.com/1", '<link rel="canonical" href="http://f.org/fr/">'), (6, None, None)], "page_id long, url string, html string")
+    pages.coalesce(1).write.parquet(str(tmp_path / "all"))
+    (part,) = (tmp_path / "all").glob("*.parquet")
+    Path(part).rename(tmp_path / "pages.parquet")
+    ours = QUERIES["op10_url_filters"](spark, str(tmp_path)).toArrow()
+    assert differences(ours, duck(tmp_path).sql(ORACLE["op10_url_filters"]).to_arrow_table()) == []
+    assert Counter(ours["verdict"].to_pylist()) == {"block": 3, "allow": 3}
+
+
+def test_lm_query(spark, documents):
+    found = QUERIES["op3_lm_scoring"](spark, SMALL).collect()
+    assert {r["doc_id"]: r["n_words"] for r in found} == {k: len(words(t)) for k, t in documents.items()}
+    assert all(r["log_prob"] < 0 for r in found if r["n_words"])
+
+
+def test_token_query(spark, documents):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found = {r["doc_id"]: (r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in QUERIES["op5_token_counts"](spark, SMALL).collect()}
+    expected = {k: (len(t.encode()), len(library.encode(t, add_special_tokens=False).ids)) for k, t in documents.items()}
+    assert found == {k: (b, n, n > 512) for k, (b, n) in expected.items()}
+
+
+def lower_ids(text):
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.no_padding()
+    library.no_truncation()
+    ids = library.encode(text, add_special_tokens=False).ids
+    return ids, hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_bpe_query(spark, documents):
+    for row in QUERIES["op6_bpe"](spark, SMALL).collect():
+        ids, decoded = lower_ids(documents[row["doc_id"]])
+        joined = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert (row["n_tokens"], row["ids_sha256"], row["decoded_sha256"]) == (len(ids), joined, decoded)
+
+
+def test_jaccard_query(spark, documents):
+    order = sorted(documents)
+    pairs = similar_pairs([documents[k] for k in order])
+    group, links = groups(len(order), pairs), Counter(k for pair in pairs for k in pair)
+    found = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in QUERIES["op9_jaccard_join"](spark, SMALL).collect()}
+    assert pairs and found == {k: (order[group[at]], links[at]) for at, k in enumerate(order)}
+
+
+def test_pipeline(spark):
+    """All stages against plain versions, one after the other."""
+    docs = [(r[0], r[1], r[2], r[3]) for r in rows("documents") if keeps(r[1])]
+    cut = cut_lines([(d[0], d[1]) for d in docs])
+    docs = [(d[0], t, *d[2:]) for d, t in zip(docs, cut) if t == d[1] or t.strip()]
+    docs.sort()
+    group = groups(len(docs), similar_pairs([d[1] for d in docs]))
+    docs = [d for at, d in enumerate(docs) if group[at] == at]
+    expected = Counter()
+    for d, n in zip(docs, copies([(d[0], d[1], d[3]) for d in docs])):
+        if n:
+            ids, decoded = lower_ids(d[1])
+            expected[d[0], d[2], d[3], tuple(ids), len(ids), decoded] += n
+    found = corpus_pipeline.run(spark, SMALL).collect()
+    assert Counter((r["doc_id"], r["lang"], r["source"], tuple(r["token_ids"]), r["n_tokens"], r["decoded_sha256"]) for r in found) == expected
+
+
+def test_stages_keep_the_columns_of_documents_on_awkward_rows(spark, awkward, nothing):
+    for docs in (awkward, nothing):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            after = stage(spark, docs, SMALL)
+            assert after.columns == docs.columns and after.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+            after.count()
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() == docs.count()

@@ -114,7 +114,7 @@ def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
     at = column(url).cast("string")
     return (
         pages.select(at.alias("url"), F.explode(targets(column(html))).alias("target"))
-        .select(node(F.col("url")).alias("a"), node(resolved(F.col("target"), F.col("url"))).alias("b"))
+        .select(let(F.col("url"), node).alias("a"), let(resolved(F.col("target"), F.col("url")), node).alias("b"))
         .filter("a IS NOT NULL AND b IS NOT NULL AND a != b"))
 
 
@@ -128,7 +128,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, url: str = "url"
     if more_edges is not None:
         edges = edges.union(more_edges.select(node(F.col("a")), node(F.col("b"))).dropna())
     found = written(components(edges), "aliases")
-    ruled = found.withColumn("verdict", longest_rule(host(F.col("node")), path(F.col("node")), rules)["verdict"])
+    ruled = found.withColumn("verdict", let(
+        F.struct(host(F.col("node")).alias("host"), path(F.col("node")).alias("path")),
+        lambda u: longest_rule(u["host"], u["path"], rules))["verdict"])
     verdicts = written(
         ruled.groupBy("component").agg(
             F.bool_or(F.col("verdict") == "allow").alias("allowed"),
@@ -138,8 +140,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, url: str = "url"
     by_node = written(found.join(verdicts, "component").select("node", "blocked"), "by-node").select(
         F.struct("node", "blocked").alias(aliases))
     of = column(aliases)
-    judged = pages.join(by_node, node(at) == of["node"], "left")
-    own = let(F.struct(host(at).alias("host"), path(at).alias("path")), lambda u: F.struct(
+    judged = pages.join(by_node, let(at, node) == of["node"], "left")
+    own = let(let(at, lambda u: F.struct(host(u).alias("host"), path(u).alias("path"))), lambda u: F.struct(
         u["host"].alias("host"), u["path"].alias("path"), longest_rule(u["host"], u["path"], rules).alias("own")))
     judged = judged.withColumn(name, own)
     mine = column(name)
