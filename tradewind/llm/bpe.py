@@ -24,7 +24,7 @@ import json
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 from itertools import islice
 
@@ -36,13 +36,18 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.tokens import SPACE, byte_letters
 
-# Entries of the tables of known words and token pairs, per Python worker; full tables start anew.
-KNOWN_WORDS = 500_000
-KNOWN_PAIRS = 1_000_000
+# Entries of the tables of known runs, words, beginnings of words and token pairs, per Python worker; a full table
+# starts anew.
+KNOWN_RUNS = 400_000
+KNOWN_WORDS = 300_000
+KNOWN_STARTS = 300_000
+KNOWN_PAIRS = 300_000
 # Characters of a text that are normalised at once; cuts fall before white space.
 SLICE = 1 << 16
 INFINITY = float("inf")
 SPACES = re.compile(f"[{SPACE}]+")
+RUNS = re.compile(f"[^{SPACE}]+")
+SEPARATORS = re.compile("[\\x1c-\\x1f]")
 
 
 def _lower(text: str) -> str:
@@ -77,13 +82,21 @@ class Transducer:
         if len(self.parts) < len(pairs):
             raise ValueError(f"{path} makes a token in two ways")
         self.lookahead = max(len((a + b).removesuffix(self.end)) for a, b in pairs)
+        # The longest token that ends in the same three symbols, or in the fewer there are.
+        self.longest: dict[str, int] = {}
+        for token in self.vocab:
+            plain = token.removesuffix(self.end)
+            tail = plain[-3:] + token[len(plain):]
+            self.longest[tail] = max(len(plain), self.longest.get(tail, 0))
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         pattern = before[0]["pattern"]["Regex"].replace(r"\s", SPACE)
         self.words = regex.compile(pattern)
         self.letters = byte_letters()
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, array] = {}
+        self.known_words: dict[str, list[int]] = {}
         self.fits: dict[tuple[str, str], bool] = {}
+        self.states: dict[str, str] = {}
         self.whole: dict[str, bool] = {}
         self.spines: tuple[dict, dict] = {}, {}
 
@@ -132,10 +145,23 @@ class Transducer:
         self.fits[before, token] = found
         return found
 
+    def _last(self, window: str, place: int, ending: str, before: Callable[[int], str]) -> str:
+        """The last token of the encoding of ``window`` up to ``place``; ``before`` has those of the places
+        before it."""
+        fits, vocab = self.fits, self.vocab
+        start = place - self.longest.get(window[max(0, place - 3):place] + ending, 1 if place < 3 else 3)
+        for start in range(max(0, start), place):
+            token = window[start:place] + ending
+            if token in vocab:
+                left = before(start) if start else ""
+                fit = fits.get((left, token))
+                if self._stands(left, token) if fit is None else fit:
+                    return token
+        raise ValueError(f"no token ends at {window[place - 1]!r}")
+
     def tokens(self, symbols: Iterable[str]) -> Iterator[str]:
         """Tokens of one word, given as its symbols; each is emitted once nothing that follows can
         change it."""
-        reach, vocab, fits = self.lookahead, self.vocab, self.fits
         window, last = "", [""]  # symbols since the last final border; the last token up to each place
         source = iter(symbols)
         symbol = next(source, None)
@@ -143,22 +169,8 @@ class Transducer:
             following = next(source, None)
             window += symbol
             ending = self.end if following is None else ""
-            place = len(window)
-            for start in range(max(0, place - reach), place):
-                token = window[start:] + ending
-                if token in vocab:
-                    before = last[start]
-                    fit = fits.get((before, token))
-                    if fit is None:
-                        fit, fits = self._stands(before, token), self.fits
-                    if fit:
-                        last.append(token)
-                        break
-            else:
-                raise ValueError(f"no token ends at {window[-1]!r}")
-            if following is None:
-                break
-            if place >= 4 * reach:
+            last.append(self._last(window, len(window), ending, last.__getitem__))
+            if following is not None and len(window) >= 4 * self.lookahead:
                 border, final = self._agreed(last)
                 yield from final
                 window, last = window[border:], [""] + last[border + 1:]
@@ -166,6 +178,25 @@ class Transducer:
         if window:
             yield from self._chain(last, len(window))[1]
 
+    def _short_word(self, word: str) -> list[str]:
+        """``tokens`` of a word that ends before the window is full, from what is known of its beginning:
+        the last token up to a place depends on nothing behind it."""
+        states, size = self.states, len(word)
+        if len(states) >= KNOWN_STARTS:
+            states = self.states = {}
+        known = size - 1
+        while known and word[:known] not in states:
+            known -= 1
+        for place in range(known + 1, size):
+            states[word[:place]] = self._last(word, place, "", lambda at: states[word[:at]])
+        token = self._last(word, size, self.end, lambda at: states[word[:at]])
+        tokens, place = [token], size + len(self.end) - len(token)
+        while place:
+            token = states[word[:place]]
+            tokens.append(token)
+            place -= len(token)
+        return tokens[::-1]
+
     def _chain(self, last: list[str], place: int) -> tuple[list[int], list[str]]:
         """Borders and tokens of the encoding up to ``place``."""
         borders, tokens = [place], []
@@ -185,9 +216,23 @@ class Transducer:
         border = max(shared)
         return border, self._chain(last, border)[1]
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        symbols = word if word.isascii() and word.isprintable() else map(self.letters.__getitem__, word.encode("utf-8", "replace"))
-        return tuple(map(self.vocab.__getitem__, self.tokens(symbols)))
+    def _word(self, word: str) -> list[int]:
+        if not (word.isascii() and word.isprintable()):
+            word = "".join(map(self.letters.__getitem__, word.encode("utf-8", "replace")))
+        found = self._short_word(word) if len(word) < 4 * self.lookahead else self.tokens(word)
+        return list(map(self.vocab.__getitem__, found))
+
+    def _run(self, run: str) -> array:
+        """Token ids of what stands between white space."""
+        ids = array("i")
+        for word in self.words.findall(run):
+            found = self.known_words.get(word)
+            if found is None:
+                if len(self.known_words) >= KNOWN_WORDS:
+                    self.known_words = {}
+                found = self.known_words[word] = self._word(word)
+            ids.extend(found)
+        return ids
 
     def ids(self, text: str) -> array:
         """Token ids of a whole text."""
@@ -198,12 +243,13 @@ class Transducer:
                 continue
             for piece in _slices(part):
                 normal = _lower(unicodedata.normalize("NFC", piece) if not piece.isascii() else piece)
-                for word in self.words.findall(normal):
-                    found = known.get(word)
+                # No word reaches across white space; ``split`` would also cut at the separators.
+                for run in RUNS.findall(normal) if SEPARATORS.search(normal) else normal.split():
+                    found = known.get(run)
                     if found is None:
-                        if len(known) >= KNOWN_WORDS:
+                        if len(known) >= KNOWN_RUNS:
                             known = self.known = {}
-                        found = known[word] = self._word(word)
+                        found = known[run] = self._run(run)
                     out.extend(found)
         return out
 
