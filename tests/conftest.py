@@ -6,7 +6,8 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from tradewind.session import clear_scratch, local_session  # noqa: E402
+from tradewind.session import local_session  # noqa: E402
+from tradewind.workload.staging import clear  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -15,5 +16,5 @@ def spark(tmp_path_factory):
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         "spark.driver.memory": "4g"})
     yield session
-    clear_scratch(session)
+    clear(session)
     session.stop()

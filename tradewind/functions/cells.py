@@ -34,6 +34,8 @@ INTEGER_SHAPE = r"^-?(0|[1-9][0-9]{0,11})$"
 NUMERIC_SHAPE = r"^[+-]?([0-9]+[.][0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 DATE_SHAPE = r"(?!0000)[0-9]{4}-(1[0-2]|0?[1-9])-(3[01]|[12][0-9]|0?[1-9])"
 TIME_SHAPE = r"(2[0-3]|[01]?[0-9]):[0-5]?[0-9]:[0-5]?[0-9]([.][0-9]{1,6})?"
+# Times accepted when a date or timestamp is loaded: seconds may be left out.
+CLOCK_SHAPE = r"(2[0-3]|[01]?[0-9]):[0-5]?[0-9](:[0-5]?[0-9]([.][0-9]{1,6})?)?"
 # ------------------------------------------------------------------------------------------------
 
 
@@ -102,12 +104,23 @@ def fraction_digits(value: Column) -> Column:
     )
 
 
+def _exact_scale(value: Column) -> Column:
+    """Fraction digits that a number with an exponent needs, zeros at its end not counted."""
+    mantissa = F.regexp_extract(value, r"^\s*[+-]?([0-9]*[.]?[0-9]*)[eE]", 1)
+    exponent = F.regexp_extract(value, r"[eE]([+-]?[0-9]+)\s*$", 1).try_cast("int")
+    digits = F.replace(mantissa, F.lit("."), F.lit(""))
+    some = F.rtrim(digits, F.lit("0"))
+    written = F.length(F.regexp_extract(mantissa, r"[.](.*)$", 1))
+    return F.when(some == "", 0).otherwise(written - exponent - (F.length(digits) - F.length(some)))
+
+
 def typed(cell: Column, to: T.DataType) -> Column:
     """A cell as ``to``; NULL when it is blank or has no exact value of that type.
 
     Text is kept verbatim. Casts ignore ASCII white space around a value. A number with more
     fraction digits than the target holds is not rounded silently but counts as unconvertible,
-    unless the surplus digits are zeros.
+    unless the surplus digits are zeros. Dates need year, month and day; a time behind them must be
+    one, and a date takes no part of it.
     """
     if isinstance(to, T.StringType):
         return cell
@@ -116,7 +129,8 @@ def typed(cell: Column, to: T.DataType) -> Column:
         return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
     value = cell.try_cast(to)
     if isinstance(to, T.DecimalType):
-        wider = cell.try_cast(T.DecimalType(38, min(38, to.scale + 10)))
         plain = cell.rlike(rf"^\s*[+-]?[0-9]*([.][0-9]{{0,{to.scale}}}0*)?\s*$")
-        return F.when(plain, value).when(_scientific(cell) & (wider == value), value)
+        return F.when(plain, value).when(_scientific(cell) & (_exact_scale(cell) <= to.scale), value)
+    if isinstance(to, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.when(cell.rlike(rf"^\s*{DATE_SHAPE}([ T]{CLOCK_SHAPE})?\s*$"), value)
     return value

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -20,14 +21,16 @@ DEFAULTS = {
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tradewind",
                   **conf: str) -> SparkSession:
-    """A local session for tests and ``bench.py``. On a cluster, pass your own session instead."""
+    """A local session for tests and ``bench.py``. On a cluster, pass your own session instead.
+
+    ``conf`` overrides the defaults; set ``spark.driver.memory`` there, to fit the machine.
+    """
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     settings = {
         **DEFAULTS,
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "16g",
         **conf,
     }
     for key, value in settings.items():
@@ -57,7 +60,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return _local_folder()
 

@@ -23,15 +23,19 @@ from tradewind.functions.names import normalize_header, normalize_name
 SOURCES_AT_ONCE = 4
 # Physical lines first looked at for the header, which may contain quoted line breaks.
 HEADER_LINES = 10
+# A header that goes on for longer has a quote that is never closed.
+MOST_HEADER_LINES = 1_000
 
 
 @dataclass(frozen=True)
 class CsvScan:
-    """A scanned CSV: its header as written, its normalised names, and all rows as strings."""
+    """A scanned CSV: its header as written, its normalised names, all rows as strings, and whether
+    quoted line breaks keep its files from being split."""
 
     header: list[str]
     names: list[str]
     rows: DataFrame
+    multiline: bool = False
 
 
 def hadoop_path(spark: SparkSession, path: str) -> tuple[Any, Any]:
@@ -75,17 +79,20 @@ def read_header(spark: SparkSession, path: str) -> list[str] | None:
         header = next(reader, None)
         if reader.line_num < len(lines) or len(lines) < wanted:
             return header
+        if wanted >= MOST_HEADER_LINES:
+            raise csv.Error(f"the header of {path} does not end within {wanted} lines")
         wanted *= 10  # the header may go on
 
 
 def open_quote(line: Column) -> Column:
     """False when a physical line is a complete record by itself.
 
-    Nothing is left of a complete line's quotes after removing doubled quotes and fully quoted
-    fields. Unusual quoting inside a field is reported as open too.
+    Only a field that starts with a quote and does not end with one can go on in the next line; a
+    quote inside an unquoted field is text. Unusual quoting of a field that starts with a quote is
+    reported as open too.
     """
     undoubled = F.replace(line, F.lit('""'), F.lit(""))
-    return F.regexp_replace(undoubled, r'(^|,)"[^"]*"(?=,|$)', "$1").contains('"')
+    return F.regexp_replace(undoubled, r'(^|,)"[^"]*"(?=,|$)', "$1").rlike(r'(^|,)\s*"')
 
 
 def has_quoted_line_breaks(spark: SparkSession, path: str) -> bool:
@@ -121,7 +128,7 @@ def scan_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> C
         header=True, multiLine=multiline, quote='"', escape='"', encoding="UTF-8",
         mode="PERMISSIVE", enforceSchema=not checked, maxColumns=max(20480, len(header) * 2),
     ).toDF(*names)
-    return CsvScan(header, names, rows)
+    return CsvScan(header, names, rows, multiline)
 
 
 def write_text(spark: SparkSession, text: str, path: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import time
 import uuid
 from collections.abc import Callable
@@ -21,12 +22,15 @@ from tradewind.sources.csv_files import (
 from tradewind.sources.infer import create_tables, infer_schema, qualified
 
 REJECTS_SUFFIX = "_rejects"
+# Property of the tables of rejects; a table without it is never touched as one.
+REJECTS_MARK = "tradewind.rejects"
 BAD = "bad_columns"
 # Prefix of the typed columns beside the raw ones; no normalised name contains a space.
 TYPED = "typed "
 
-# What a failed query or job raises.
+# What a failed query or job raises, and what an unreadable header does.
 SPARK_ERRORS = (PySparkException, Py4JJavaError)
+SOURCE_ERRORS = (*SPARK_ERRORS, csv.Error)
 
 AUDIT_SCHEMA = (
     "table_name string, status string, rows_loaded bigint, rows_rejected bigint,"
@@ -38,7 +42,8 @@ class Audit:
     """What happened to one CSV source.
 
     ``status`` is loaded, rejected (bad values, table unchanged), failed (error, table unchanged),
-    skipped_no_table, skipped_empty or skipped_no_columns.
+    skipped_no_table, skipped_empty or skipped_no_columns. ``detail`` has the reason of a failure, or
+    says that quoted line breaks kept the source's files from being split.
     """
 
     table_name: str
@@ -90,9 +95,23 @@ def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType,
     return spark.createDataFrame([], schema) if scan is None else conform(scan.rows, schema)
 
 
-def _location(spark: SparkSession, table: str) -> str:
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    return details.filter("col_name = 'Location'").first()["data_type"]
+def _details(spark: SparkSession, table: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()  # a row per column and property
+    return {row["col_name"]: row["data_type"] for row in rows}
+
+
+def _holds_rejects(spark: SparkSession, table: str) -> bool:
+    return not spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == REJECTS_MARK).isEmpty()
+
+
+def _obstacle(spark: SparkSession, table: str) -> str:
+    """Why a table cannot be refreshed; empty if it can."""
+    if _holds_rejects(spark, table):
+        return f"{table} holds the rejects of another source"
+    details = _details(spark, table)
+    if details.get("Provider", "").lower() != "parquet" or "# Partition Information" in details:
+        return f"{table} is not an unpartitioned Parquet table"
+    return ""
 
 
 def _discard(spark: SparkSession, path: str) -> None:
@@ -113,31 +132,38 @@ class _Refresh:
         self.spark, self.table = spark, qualified(database, table)
         root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
         self.path = f"{root}/{self.FOLDER}/{table}-{uuid.uuid4().hex}"
+        self.first = f"{root}/{table.lower()}"
 
     def write(self, rows: DataFrame) -> None:
         rows.write.parquet(self.path)
 
     def publish(self) -> None:
-        previous = _location(self.spark, self.table)
+        previous = _details(self.spark, self.table)
         try:
             self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{self.path}'")
         except SPARK_ERRORS:
             self.abandon()
             raise
         self.spark.catalog.refreshTable(self.table)
-        if f"/{self.FOLDER}/" in previous:
-            _discard(self.spark, previous)
+        location = previous["Location"].rstrip("/")
+        if f"/{self.FOLDER}/" in location or (previous.get("Type") == "MANAGED" and location == self.first):
+            _discard(self.spark, location)
 
     def abandon(self) -> None:
         _discard(self.spark, self.path)
 
 
-def _quarantine(spark: SparkSession, database: str, table: str, rows: DataFrame) -> None:
-    """Replace the rejects of a table; its columns are those of the source, so it is made anew."""
-    rejects = f"{table}{REJECTS_SUFFIX}"
-    create_tables(spark, database, {rejects: rows.schema})
-    refresh = _Refresh(spark, database, rejects)
-    refresh.write(rows)
+def _drop_rejects(spark: SparkSession, rejects: str) -> None:
+    if spark.catalog.tableExists(rejects) and _holds_rejects(spark, rejects):
+        spark.sql(f"DROP TABLE {rejects}")
+
+
+def _publish_rejects(refresh: _Refresh, database: str, table: str, schema: T.StructType) -> None:
+    """Show the rejects of a table; its columns are those of the source, so it is made anew."""
+    spark = refresh.spark
+    _drop_rejects(spark, refresh.table)
+    create_tables(spark, database, {table: schema})
+    spark.sql(f"ALTER TABLE {refresh.table} SET TBLPROPERTIES ('{REJECTS_MARK}' = 'true')")
     refresh.publish()
 
 
@@ -147,7 +173,8 @@ def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "rej
 
     ``on_error="reject"`` refuses the whole source when any value does not fit its column;
     ``"quarantine"`` loads the good rows and keeps the bad ones, as text with the names of the bad
-    columns, in ``<table>_rejects``. The source is parsed once: rows and bad rows are counted while
+    columns, in ``<table>_rejects``, a table of that name that the loader did not make being an error. The
+    source is parsed once: rows and bad rows are counted while
     the typed rows are written. Only a source with bad rows is read again to keep them. Pass
     ``scan`` when the source was scanned before.
     """
@@ -156,6 +183,8 @@ def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "rej
     table = table_name(path)
     if not spark.catalog.tableExists(qualified(database, table)):
         return Audit(table, "skipped_no_table")
+    if obstacle := _obstacle(spark, qualified(database, table)):
+        return Audit(table, "failed", detail=obstacle)
     scan = scan or scan_csv(spark, path, multiline)
     if scan is None:
         return Audit(table, "skipped_empty")
@@ -169,22 +198,34 @@ def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "rej
     counts = Observation()
     counted = checked.observe(
         counts, F.count_if(~is_bad).alias("good"), F.count_if(is_bad).alias("bad"))
-    refresh = _Refresh(spark, database, table)
+    refresh, name = _Refresh(spark, database, table), table + REJECTS_SUFFIX
+    rejects, kept = _Refresh(spark, database, name), checked.filter(is_bad).select(*scan.names, BAD)
+    detail = "quoted line breaks: each file is read by one task" if scan.multiline else ""
     try:
         refresh.write(counted.filter(~is_bad).select(*_typed_columns(schema)))
         rejected = counts.get["bad"]
         if rejected and on_error == "reject":
             refresh.abandon()
-            return Audit(table, "rejected", 0, rejected, unmatched)
-        spark.sql(f"DROP TABLE IF EXISTS {qualified(database, table + REJECTS_SUFFIX)}")
+            return Audit(table, "rejected", 0, rejected, unmatched, detail=detail)
         if rejected:
-            kept = checked.filter(is_bad).select(*scan.names, BAD)
-            _quarantine(spark, database, table, kept)
+            if spark.catalog.tableExists(rejects.table) and not _holds_rejects(spark, rejects.table):
+                refresh.abandon()
+                return Audit(table, "failed", detail=f"{rejects.table} is a table of its own")
+            rejects.write(kept)
     except SPARK_ERRORS:
         refresh.abandon()
+        rejects.abandon()
         raise
-    refresh.publish()
-    return Audit(table, "loaded", counts.get["good"], rejected, unmatched)
+    try:
+        refresh.publish()
+    except SPARK_ERRORS:
+        rejects.abandon()
+        raise
+    if rejected:
+        _publish_rejects(rejects, database, name, kept.schema)
+    else:
+        _drop_rejects(spark, rejects.table)
+    return Audit(table, "loaded", counts.get["good"], rejected, unmatched, detail=detail)
 
 
 def _load_each(spark: SparkSession, folder: str, load: Callable[[str], Audit]) -> DataFrame:
@@ -192,15 +233,15 @@ def _load_each(spark: SparkSession, folder: str, load: Callable[[str], Audit]) -
         started = time.monotonic()
         try:
             audit = load(path)
-        except SPARK_ERRORS as error:
+        except SOURCE_ERRORS as error:
             audit = Audit(table_name(path), "failed", detail=str(error))
         audit.seconds = time.monotonic() - started
         return astuple(audit)
 
-    # Sources of the same table replace each other, so they stay in order; others run side by side.
+    # Sources of the same table, and of a table and its rejects, stay in order; others run side by side.
     by_table: dict[str, list[str]] = {}
     for path in list_csv(spark, folder):
-        by_table.setdefault(table_name(path), []).append(path)
+        by_table.setdefault(table_name(path).removesuffix(REJECTS_SUFFIX), []).append(path)
     audits = for_each_source(lambda paths: [audited(path) for path in paths], list(by_table.values()))
     return spark.createDataFrame(list(chain.from_iterable(audits)), AUDIT_SCHEMA)
 

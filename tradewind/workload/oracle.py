@@ -267,4 +267,29 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'nation', 'loaded', COUNT(*), 0, 'Observação' FROM nation
         UNION ALL SELECT 'orders', 'loaded', COUNT(*), 0, '' FROM orders
         UNION ALL SELECT 'supplier', 'skipped_no_table', 0, 0, ''""",
+    "csv_bad_values": """
+        WITH o AS (
+          SELECT o_orderkey, o_orderkey % 7 NOT IN (0, 5) AS bad_date, o_orderkey % 5 IN (1, 2) AS bad_amount,
+                 strftime(o_orderdate, '%Y-%m-%d') AS day,
+                 CASE o_orderkey % 5 WHEN 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE)
+                                     WHEN 3 THEN 150.0 WHEN 4 THEN 12.0 END AS amount
+          FROM orders
+        )
+        SELECT o_orderkey, 'loaded' AS outcome, '' AS bad_columns, day AS o_orderdate, amount AS o_totalprice
+        FROM o WHERE NOT bad_date AND NOT bad_amount
+        UNION ALL
+        SELECT o_orderkey, 'rejected', concat_ws(',', CASE WHEN bad_date THEN 'o_orderdate' END,
+                                                      CASE WHEN bad_amount THEN 'o_totalprice' END), NULL, NULL
+        FROM o WHERE bad_date OR bad_amount
+        UNION ALL
+        SELECT -1, 'whole source rejected', CAST(COUNT(*) FILTER (WHERE bad_date OR bad_amount) AS VARCHAR), NULL, NULL
+        FROM o""",
+    "csv_text_load": """
+        SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN lang END AS lang,
+               'say "' || text || '", then' || chr(10) || 'stop' AS text, n_chars
+        FROM documents""",
+    "csv_typed_scan": """
+        SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, CASE WHEN s_suppkey % 3 <> 2 THEN s_name END AS s_name,
+               CASE WHEN s_suppkey % 3 <> 0 THEN CAST(s_nationkey AS INTEGER) END AS s_nationkey
+        FROM supplier""",
 }

@@ -15,7 +15,7 @@ from tradewind.plans import customers, demand, orders, recommend, sales
 from tradewind.sources import star
 from tradewind.sources.csv_files import list_csv
 from tradewind.sources.infer import column_types
-from tradewind.sources.load import ingest_directory, load_csv, load_directory
+from tradewind.sources.load import ingest_directory, load_csv, load_directory, read_typed_csv
 from tradewind.workload import staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,38 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("unmatched", ",").alias("unmatched"))
 
 
+def bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with dates and amounts that only look like ones: kept apart, or refused as a whole."""
+    (path,) = list_csv(spark, staging.doubtful_folder(spark, sf_dir))
+    target = {"orders": "o_orderkey bigint, o_orderdate date, o_totalprice decimal(18,2)"}
+    database = staging.new_database(spark, target)
+    load_csv(spark, path, database, on_error="quarantine")
+    loaded = spark.table(f"{database}.orders").select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.lit("loaded").alias("outcome"), F.lit("").alias("bad_columns"),
+        F.col("o_orderdate").cast("string").alias("o_orderdate"), F.col("o_totalprice").cast("double").alias("o_totalprice"))
+    nothing = (F.lit(None).cast("string").alias("o_orderdate"), F.lit(None).cast("double").alias("o_totalprice"))
+    rejects = spark.table(f"{database}.orders_rejects").select(
+        F.col("o_orderkey").cast("bigint"), F.lit("rejected"), F.array_join("bad_columns", ","), *nothing)
+    audit = load_csv(spark, path, staging.new_database(spark, target), on_error="reject")
+    refused = spark.range(1).select(
+        F.lit(-1).cast("bigint"), F.lit(f"whole source {audit.status}"), F.lit(str(audit.rows_rejected)), *nothing)
+    return loaded.union(rejects).union(refused)
+
+
+def loaded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents through CSV and back: quotes, commas, line breaks and empty cells."""
+    (path,) = list_csv(spark, staging.text_folder(spark, sf_dir))
+    database = staging.new_database(spark, {"documents": "doc_id bigint, lang string, text string, n_chars bigint"})
+    load_csv(spark, path, database)
+    return spark.table(f"{database}.documents")
+
+
+def ragged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers from lines with too few and too many cells, as typed rows."""
+    (path,) = list_csv(spark, staging.ragged_folder(spark, sf_dir))
+    return read_typed_csv(spark, path, T.StructType.fromDDL("s_suppkey bigint, s_name string, s_nationkey int"))
+
+
 QUERIES: dict[str, Query] = {
     # orders
     "orders_overview": _retail(lambda t: orders.orders_overview(t.orders)),
@@ -143,4 +175,7 @@ QUERIES: dict[str, Query] = {
     "csv_load": loaded_orders,
     "csv_rejects": rejected_customers,
     "csv_load_audit": load_audit,
+    "csv_bad_values": bad_values,
+    "csv_text_load": loaded_texts,
+    "csv_typed_scan": ragged_scan,
 }

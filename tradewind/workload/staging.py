@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.session import scratch_path
+from tradewind.session import clear_scratch, scratch_path
 from tradewind.sources.infer import create_tables
 from tradewind.sources.star import read_table
 
@@ -28,10 +28,21 @@ def accounting(amount: Column) -> Column:
         money.cast("string"))
 
 
+_databases: list[str] = []
+
+
+def clear(spark: SparkSession) -> None:
+    """Drop the databases made here, and delete all files of this process below the scratch folder."""
+    while _databases:
+        spark.sql(f"DROP DATABASE IF EXISTS {_databases.pop()} CASCADE")
+    clear_scratch(spark)
+
+
 def new_database(spark: SparkSession, schemas: dict[str, str]) -> str:
     """An empty database of typed tables below the shared scratch folder."""
     name = f"load_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
+    _databases.append(name)
     create_tables(spark, name, {t: T.StructType.fromDDL(ddl) for t, ddl in schemas.items()})
     return name
 
@@ -51,6 +62,44 @@ def ledger_folder(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+def doubtful_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The orders as a CSV folder, some with dates and amounts that only look like ones."""
+    folder, key, day = scratch_path(spark, "csv"), F.col("o_orderkey"), F.col("o_orderdate").cast("string")
+    dates = F.array(day, F.substr(day, F.lit(1), F.lit(4)), F.substr(day, F.lit(1), F.lit(7)), F.concat(day, F.lit(" garbage")),
+                    F.concat(F.substr(day, F.lit(1), F.lit(10)), F.lit("Tfoo")), F.substr(day, F.lit(1), F.lit(10)),
+                    F.concat(F.substr(day, F.lit(1), F.lit(10)), F.lit(" 25:00:00")))
+    amounts = F.array(F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit("1e-13"), F.lit("1.0000000000000001e2"),
+                      F.lit("1.5e2"), F.lit("1200e-2"))
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.get(dates, (key % 7).cast("int")).alias("o_orderdate"),
+        F.get(amounts, (key % 5).cast("int")).alias("o_totalprice"))
+    write_csv(orders, folder, "orders")
+    return folder
+
+
+def text_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The documents as a CSV folder: long text with quotes, commas and line breaks, some cells empty."""
+    folder, key = scratch_path(spark, "csv"), F.col("doc_id")
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(key % 11 != 0, F.col("lang")).alias("lang"),
+        F.concat(F.lit('say "'), F.col("text"), F.lit('", then\nstop')).alias("text"), "n_chars")
+    write_csv(docs, folder, "documents")
+    return folder
+
+
+def ragged_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The suppliers as CSV lines, some cut short and some with cells too many."""
+    folder, key = scratch_path(spark, "csv"), F.col("s_suppkey")
+    supplier = read_table(spark, sf_dir, "supplier")
+    line = F.when(key % 3 == 0, F.concat_ws(",", key.cast("string"), F.col("s_name"))).when(
+        key % 3 == 1, F.concat_ws(",", key.cast("string"), F.col("s_name"), F.col("s_nationkey").cast("string"), F.lit("more"), F.lit("")),
+    ).otherwise(F.concat_ws(",", key.cast("string"), F.lit(""), F.col("s_nationkey").cast("string")))
+    # One column of whole lines, whose name is the header.
+    supplier.select(line.alias("s_suppkey,s_name,s_nationkey")).write.csv(
+        f"{folder}/supplier.csv", header=True, sep="\x01", quote="")
+    return folder
+
+
 def mixed_folder(spark: SparkSession, sf_dir: str) -> str:
     """Five tables: clean, with an unknown column, with bad values, and without a target table."""
     folder = ledger_folder(spark, sf_dir)
