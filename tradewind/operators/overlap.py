@@ -11,7 +11,7 @@ from math import ceil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.session import shuffle_tasks
+from tradewind.operators.lineage import written
 
 # Products per slice of a customer's basket; a larger basket is cut into several slices.
 CELL = 512
@@ -26,13 +26,15 @@ def product_buyers(pairs: DataFrame) -> DataFrame:
 
 def _sliced(pairs: DataFrame, cell: int) -> DataFrame:
     """Pairs with the product's buyers and the slice of the customer's basket it falls into."""
-    large = (
+    # An aggregate on the join key would need no shuffle of its own, and then AQE could not split a hot
+    # key's partition; written and read back, both sides of each join are shuffled and can be split.
+    large = written(
         pairs.groupBy("customer_id")
         .agg(F.ceil(F.count(F.lit(1)) / F.lit(cell)).alias("slices"))
-        .filter(F.col("slices") > 1)
-    )
+        .filter(F.col("slices") > 1), "large-baskets")
+    buyers = written(product_buyers(pairs), "buyers")
     return (
-        pairs.join(product_buyers(pairs), "product_id")
+        pairs.join(buyers, "product_id")
         .join(large, "customer_id", "left")
         .withColumn("slices", F.coalesce("slices", F.lit(1)))
         .withColumn("slice", F.pmod(F.xxhash64("product_id"), F.col("slices")))
@@ -40,14 +42,13 @@ def _sliced(pairs: DataFrame, cell: int) -> DataFrame:
 
 
 def _tasks(pairs: DataFrame) -> int:
-    """Tasks for pairing the baskets: by the pairs to form, up to the session's shuffle partitions."""
+    """Tasks for pairing the baskets: by the pairs to form."""
     spark = pairs.sparkSession
     size = F.col("size").cast("double")
     to_form = (
         pairs.groupBy("customer_id").agg(F.count(F.lit(1)).alias("size"))
         .agg(F.sum(size * size / 2)).first()[0] or 0)
-    wanted = max(spark.sparkContext.defaultParallelism, ceil(to_form / PAIRS_PER_TASK))
-    return min(wanted, shuffle_tasks(spark))
+    return max(spark.sparkContext.defaultParallelism, ceil(to_form / PAIRS_PER_TASK))
 
 
 def _cells(sliced: DataFrame, tasks: int) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.operators.joins import join_counted
 from tradewind.plans.orders import VALID_STATUS, catalog, order_lines, valid_orders
 
 
@@ -59,19 +58,18 @@ def elite_top_category(orders: DataFrame, order_items: DataFrame, product_varian
                        top_n: int = 10) -> DataFrame:
     """The category of which the elite bought most, the elite ranked by unrounded tickets.
 
-    The elite is a report of ``top_n`` rows, so its ids are fetched and pushed into the scan of the
-    orders; the elite's orders then meet the order lines by a counted join.
+    The elite is a report of ``top_n`` rows, so it is broadcast to the orders; whether the elite's
+    orders are broadcast to the order lines is decided by their size, at run time.
     """
     elite = elite_customers(
         orders, order_items, product_variants, products, valid_status=valid_status,
         min_categories=min_categories, top_n=top_n, round_ticket=False).select("customer_id")
-    ids = [row.customer_id for row in elite.collect()]
     their_orders = (
-        valid_orders(orders, valid_status).filter(F.col("customer_id").isin(ids))
+        valid_orders(orders, valid_status).join(F.broadcast(elite), "customer_id", "left_semi")
         .select(F.col("id").alias("order_id")))
     items = order_items.select("order_id", "product_variant_id", "quantity")
     bought = (
-        join_counted(items, their_orders, "order_id")
+        items.join(their_orders, "order_id")
         .join(catalog(product_variants, products), "product_variant_id")
         .groupBy("category_id").agg(F.sum("quantity").alias("quantity")))
     named = categories.select(F.col("id").alias("category_id"), F.col("name").alias("category"))
