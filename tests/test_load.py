@@ -3,7 +3,10 @@
 import itertools
 
 import pytest
+from pyspark.errors import AnalysisException
 
+from tradewind.sources import load
+from tradewind.sources.csv_files import has_quoted_line_breaks, scan_csv
 from tradewind.sources.declared import declared_schemas
 from tradewind.sources.infer import create_tables, infer_directory
 from tradewind.sources.load import audit_totals, ingest_directory, load_csv, load_directory
@@ -125,3 +128,69 @@ def test_empty_folder_and_bad_option(spark, db, tmp_path):
     assert load_directory(spark, str(tmp_path / "in"), db).count() == 0
     with pytest.raises(ValueError):
         load_csv(spark, "x.csv", db, on_error="ignore")
+
+
+def test_a_table_named_like_rejects_is_left_alone(spark, db, tmp_path):
+    create_tables(spark, db, {"brands_rejects": declared_schemas()["brands"]})
+    load_csv(spark, put(tmp_path, "brands_rejects.csv", BRANDS + "7,a,e,t\n"), db)
+    bad = put(tmp_path, "brands.csv", BRANDS + "2,b,e,t\nx,c,e,maybe\n")
+    assert load_csv(spark, bad, db, "quarantine").status == "failed"
+    assert load_csv(spark, bad, db).status == "rejected"
+    assert load_csv(spark, put(tmp_path, "brands.csv", BRANDS + "3,b,e,t\n"), db, "quarantine").status == "loaded"
+    assert (ids(spark, f"{db}.brands"), ids(spark, f"{db}.brands_rejects")) == ([3], [7])
+
+
+def test_rejects_are_no_target(spark, db, tmp_path):
+    load_csv(spark, put(tmp_path, "brands.csv", BRANDS + "x,c,e,t\n"), db, "quarantine")
+    audit = load_csv(spark, put(tmp_path, "brands_rejects.csv", BRANDS + "7,a,e,t\n"), db)
+    assert audit.status == "failed" and "rejects" in audit.detail
+    assert spark.table(f"{db}.brands_rejects").count() == 1
+
+
+def test_a_folder_with_both_names(spark, db, tmp_path):
+    put(tmp_path, "shops.csv", "id,name\n1,a\n2,b\n")
+    put(tmp_path, "shops_rejects.csv", "id,name\n3,c\n")
+    for _ in range(4):
+        audit = ingest_directory(spark, str(tmp_path / "in"), db).collect()
+        assert {r.table_name: (r.status, r.rows_loaded) for r in audit} == {"shops": ("loaded", 2), "shops_rejects": ("loaded", 1)}
+        assert spark.table(f"{db}.shops_rejects").count() == 1
+
+
+def test_only_plain_parquet_tables_are_refreshed(spark, db, tmp_path):
+    spark.sql(f"CREATE TABLE {db}.brands_csv (id INT, name STRING) USING CSV")
+    spark.sql(f"CREATE TABLE {db}.brands_by (id INT, name STRING) USING PARQUET PARTITIONED BY (name)")
+    for table in ("brands_csv", "brands_by"):
+        audit = load_csv(spark, put(tmp_path, f"{table}.csv", "id,name\n1,a\n"), db)
+        assert audit.status == "failed" and "unpartitioned Parquet" in audit.detail
+
+
+def test_a_failed_publish_keeps_table_and_rejects(spark, db, tmp_path, monkeypatch):
+    load_csv(spark, put(tmp_path, "brands.csv", BRANDS + "1,b,e,t\nx,c,e,t\n"), db, "quarantine")
+
+    def fails(self):
+        raise AnalysisException("no catalog")
+
+    monkeypatch.setattr(load._Refresh, "publish", fails)
+    with pytest.raises(AnalysisException):
+        load_csv(spark, put(tmp_path, "brands.csv", BRANDS + "2,b,e,t\n"), db, "quarantine")
+    assert ids(spark, f"{db}.brands") == [1] and spark.table(f"{db}.brands_rejects").count() == 1
+
+
+def test_an_unreadable_header_fails_its_source_only(spark, db, tmp_path):
+    put(tmp_path, "broken.csv", 'id,"name\n' + "1,a\n" * 20_000)
+    put(tmp_path, "whole.csv", "id,name\n1,a\n")
+    audit = ingest_directory(spark, str(tmp_path / "in"), db).collect()
+    assert {r.table_name: r.status for r in audit} == {"broken": "failed", "whole": "loaded"}
+
+
+def test_stray_quotes_do_not_keep_a_file_whole(spark, tmp_path):
+    stray = put(tmp_path, "stray.csv", "id,name\n" + "".join(f'{k},{k}" pipe\n' for k in range(5)))
+    assert not has_quoted_line_breaks(spark, stray) and not scan_csv(spark, stray).multiline
+    assert [tuple(r) for r in scan_csv(spark, stray).rows.collect()][:2] == [("0", '0" pipe'), ("1", '1" pipe')]
+    broken = put(tmp_path, "broken.csv", 'id,name\n1,"a\nb"\n')
+    assert scan_csv(spark, broken).multiline
+
+
+def test_the_audit_tells_of_line_breaks(spark, db, tmp_path):
+    audit = load_csv(spark, put(tmp_path, "brands.csv", BRANDS + '1,"a\nb",e,t\n'), db)
+    assert audit.status == "loaded" and "one task" in audit.detail
