@@ -26,7 +26,7 @@ import unicodedata
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +36,9 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.tokens import SPACE, byte_letters
 
-# Entries of the tables of known runs, words, beginnings of words and token pairs, per Python worker; a full table
+# Entries of the tables of known runs, beginnings of words and token pairs, per Python worker; a full table
 # starts anew.
 KNOWN_RUNS = 400_000
-KNOWN_WORDS = 300_000
 KNOWN_STARTS = 300_000
 KNOWN_PAIRS = 300_000
 # Characters of a text that are normalised at once; cuts fall before white space.
@@ -82,19 +81,12 @@ class Transducer:
         if len(self.parts) < len(pairs):
             raise ValueError(f"{path} makes a token in two ways")
         self.lookahead = max(len((a + b).removesuffix(self.end)) for a, b in pairs)
-        # The longest token that ends in the same three symbols, or in the fewer there are.
-        self.longest: dict[str, int] = {}
-        for token in self.vocab:
-            plain = token.removesuffix(self.end)
-            tail = plain[-3:] + token[len(plain):]
-            self.longest[tail] = max(len(plain), self.longest.get(tail, 0))
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         pattern = before[0]["pattern"]["Regex"].replace(r"\s", SPACE)
         self.words = regex.compile(pattern)
         self.letters = byte_letters()
         self.known: dict[str, array] = {}
-        self.known_words: dict[str, list[int]] = {}
         self.fits: dict[tuple[str, str], bool] = {}
         self.states: dict[str, str] = {}
         self.whole: dict[str, bool] = {}
@@ -147,10 +139,10 @@ class Transducer:
 
     def _last(self, window: str, place: int, ending: str, before: Callable[[int], str]) -> str:
         """The last token of the encoding of ``window`` up to ``place``; ``before`` has those of the places
-        before it."""
+        before it. There is one, so the likely starts are tried first: the last token's, and the symbol's."""
         fits, vocab = self.fits, self.vocab
-        start = place - self.longest.get(window[max(0, place - 3):place] + ending, 1 if place < 3 else 3)
-        for start in range(max(0, start), place):
+        likely = place - 1 - len(before(place - 1)) if place > 1 else 0
+        for start in chain((likely, place - 1), range(max(0, place - self.lookahead), place - 1)):
             token = window[start:place] + ending
             if token in vocab:
                 left = before(start) if start else ""
@@ -216,23 +208,15 @@ class Transducer:
         border = max(shared)
         return border, self._chain(last, border)[1]
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> Iterator[int]:
         if not (word.isascii() and word.isprintable()):
             word = "".join(map(self.letters.__getitem__, word.encode("utf-8", "replace")))
         found = self._short_word(word) if len(word) < 4 * self.lookahead else self.tokens(word)
-        return list(map(self.vocab.__getitem__, found))
+        return map(self.vocab.__getitem__, found)
 
     def _run(self, run: str) -> array:
         """Token ids of what stands between white space."""
-        ids = array("i")
-        for word in self.words.findall(run):
-            found = self.known_words.get(word)
-            if found is None:
-                if len(self.known_words) >= KNOWN_WORDS:
-                    self.known_words = {}
-                found = self.known_words[word] = self._word(word)
-            ids.extend(found)
-        return ids
+        return array("i", [id_ for word in self.words.findall(run) for id_ in self._word(word)])
 
     def ids(self, text: str) -> array:
         """Token ids of a whole text."""
