@@ -10,7 +10,7 @@ from tradewind.functions.cells import (
     TYPE_RANK, fraction_digits, integer_digits, stripped, type_rank,
 )
 from tradewind.functions.names import normalize_header
-from tradewind.sources.csv_files import for_each_source, list_csv, scan_csv, table_name
+from tradewind.sources.csv_files import for_each_source, list_csv, scan_csv, table_name, write_text
 
 MAX_PRECISION = 38
 # Decimals up to this precision are stored as a long.
@@ -129,6 +129,14 @@ def ddl_script(schemas: dict[str, T.StructType]) -> str:
                    for table, schema in schemas.items())
 
 
+def infer_script(spark: SparkSession, folder: str, path: str, lattice: str = "rank",
+                 multiline: bool | None = None) -> dict[str, T.StructType]:
+    """Infer a folder's schemas and write their statements as a script; returns the schemas."""
+    schemas = infer_directory(spark, folder, lattice, multiline)
+    write_text(spark, ddl_script(schemas), path)
+    return schemas
+
+
 def create_tables(spark: SparkSession, database: str, schemas: dict[str, T.StructType]) -> None:
     """Create every table that does not exist yet."""
     for table, schema in schemas.items():
