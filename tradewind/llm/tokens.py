@@ -32,6 +32,8 @@ PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p
 RUNS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 # Entries of the table of known runs, per Python worker; it starts anew when it is full.
 KNOWN_RUNS = 1_000_000
+# Characters of the longest run that is remembered.
+KNOWN_LENGTH = 64
 NONE = np.iinfo(np.int64).max
 
 
@@ -138,7 +140,11 @@ class RankMerger:
             new.update(run for run in runs if run not in self.known)
         if new:
             self.known.update(self._learn(new))
-        return [n + sum(map(self.known.__getitem__, runs)) for n, runs in zip(out, runs_of)]
+        counts = [n + sum(map(self.known.__getitem__, runs)) for n, runs in zip(out, runs_of)]
+        for run in new:
+            if len(run) > KNOWN_LENGTH:
+                del self.known[run]
+        return counts
 
 
 @cache
