@@ -283,7 +283,7 @@ def _links(docs: DataFrame, classes: DataFrame, groups: DataFrame, forest: Fores
     wanted = written(placed.join(sizes, "component").select(
         "key", "component", "copies", "slices", F.col("first.id").alias("wanted"), F.col("first.v1").alias("v1"),
         F.col("first.v2").alias("v2")), "wanted")
-    texts = docs.join(wanted, ["v1", "v2"]).filter(F.col("id").eqNullSafe(F.col("wanted")))
+    texts = docs.join(wanted.hint("merge"), ["v1", "v2"]).filter(F.col("id").eqNullSafe(F.col("wanted")))
     sets = texts.select("key", "component", "copies", "slices", _shingles(F.col("text"), forest.shingle).alias("shingles"))
     return written(dealt(_celled(sets, "component"), "cell").mapInPandas(_verify(forest, depth), VERIFIED), "links")
 
