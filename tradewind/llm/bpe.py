@@ -41,6 +41,8 @@ from tradewind.llm.tokens import SPACE, byte_letters
 KNOWN_RUNS = 400_000
 KNOWN_STARTS = 300_000
 KNOWN_PAIRS = 300_000
+# Characters of the longest run that is remembered.
+KNOWN_LENGTH = 64
 # Characters of a text that are normalised at once; cuts fall before white space.
 SLICE = 1 << 16
 INFINITY = float("inf")
@@ -231,9 +233,11 @@ class Transducer:
                 for run in RUNS.findall(normal) if SEPARATORS.search(normal) else normal.split():
                     found = known.get(run)
                     if found is None:
-                        if len(known) >= KNOWN_RUNS:
-                            known = self.known = {}
-                        found = known[run] = self._run(run)
+                        found = self._run(run)
+                        if len(run) <= KNOWN_LENGTH:
+                            if len(known) >= KNOWN_RUNS:
+                                known = self.known = {}
+                            known[run] = found
                     out.extend(found)
         return out
 
