@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from conftest import prose
 from tradewind.llm import bpe, jaccard, lines, lm, mixing, quality, tokens
+from tradewind.llm.hashing import word_hashes
 
 BYTES, LOWER = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 
@@ -214,3 +215,35 @@ def test_lm_prefers_held_out_text_in_order(spark):
     found = {r["doc_id"]: r[name]["mean_log_prob"] for r in scored.collect()}
     better = sum(found[k] > found[100 + k] for k in range(30))
     assert better >= 27 and np.mean([found[k] for k in range(30)]) > -np.log(128)
+
+
+def test_lm_tells_the_words_of_a_bucket_apart(awkward, awkward_rows, nothing):
+    shape = lm.Shape(classes=3, places=7, width=3, hidden=5, batch=64)
+    scored, name = lm.score_words(awkward, shape=shape, common=40)
+    kept_columns(awkward, scored)
+    assert scored.columns == [*awkward.columns, name]
+    net = lm._views(shape, lm.train(awkward, shape=shape))
+    counts = Counter(w for r in awkward_rows for w in words(r[1]))
+    bucket = {w: int(word_hashes(w.encode())[0]) % shape.buckets for w in counts}
+    totals = Counter()
+    for word, n in counts.items():
+        totals[bucket[word]] += n
+    got = scored.collect()
+    assert len(got) == len(awkward_rows)
+    for row in got:
+        around, found = lm.examples(shape, (row["text"] or "").encode())
+        inside = sum(np.log(counts[w] / (totals[bucket[w]] + 1)) for w in words(row["text"]))
+        one = float(lm._forward(shape, net, around, found).sum()) + inside if len(found) else 0.0
+        assert row[name]["n_words"] == len(found) and abs(row[name]["log_prob"] - one) <= 1e-3 * abs(one)
+        assert (row[name]["mean_log_prob"] is None) == (len(found) == 0)
+    assert lm.score_words(nothing, shape=shape)[0].count() == 0
+
+
+def test_lm_scores_of_unknown_words(spark):
+    """A word that was not trained on shares its bucket's one extra place; the bucket's words are likelier."""
+    schema, shape = "doc_id long, text string", lm.Shape(classes=1, places=1)
+    seen, asked = [(1, "a a a b b c")], [(1, "a"), (2, "b"), (3, "c"), (4, "new"), (5, "a"), (6, None)]
+    scored, name = lm.score_words(
+        spark.createDataFrame(asked, schema), spark.createDataFrame(seen, schema), shape=shape, common=0)
+    found = {r["doc_id"]: r[name]["log_prob"] for r in scored.collect()}
+    assert [round(np.exp(found[k]) * 7, 6) for k in range(1, 7)] == [3, 2, 1, 1, 3, 7]

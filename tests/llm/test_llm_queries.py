@@ -1,6 +1,7 @@
 """Every registered query on whole tables: against SQL, or against plain versions and the libraries."""
 
 import hashlib
+import math
 from collections import Counter
 from pathlib import Path
 
@@ -14,6 +15,8 @@ import __spark_entry__ as driver
 import corpus_pipeline
 from conftest import SMALL
 from oracle_check import differences, duck
+from tradewind.llm import lm
+from tradewind.llm.hashing import word_hashes
 from tradewind.llm.queries import ORACLE, QUERIES
 
 
@@ -59,6 +62,15 @@ def test_lm_query(spark, documents):
     assert all(r["log_prob"] < 0 for r in found if r["n_words"])
 
 
+def test_lm_query_scores_a_rare_word_below_its_buckets_common_one(spark, tmp_path):
+    bucket = lambda word: int(word_hashes(word.encode())[0]) % lm.Shape().buckets
+    junk = next(w for w in (f"junk{k}" for k in range(10**6)) if bucket(w) == bucket("the"))
+    texts = ["the " * 60] * 20 + ["the", junk]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r["doc_id"]: r["log_prob"] for r in QUERIES["op3_lm_scoring"](spark, str(tmp_path)).collect()}
+    assert abs(found[20] - found[21] - math.log(1201)) < 1e-3
+
+
 def test_token_query(spark, documents):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     found = {r["doc_id"]: (r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in QUERIES["op5_token_counts"](spark, SMALL).collect()}

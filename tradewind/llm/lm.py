@@ -4,6 +4,12 @@ A small window network predicts every word of a text from the words on both side
 buckets have a class and a place in the class, so a prediction is two short softmaxes. A document's score is
 the sum of the conditional log-probabilities of its words; the mean compares documents of different length.
 
+``score_documents`` scores the words' buckets. ``score_words`` tells the words of a bucket apart as well: it
+adds the log-probability of each word within its bucket, from the counts of all words that were trained on.
+With ``n`` occurrences of a word among the ``m`` of its bucket that is ``n / (m + 1)``, and ``1 / (m + 1)`` for
+all unknown words together. Words and texts are told apart by 64 bits of hash. The counts of the commonest
+words are broadcast, of the others joined.
+
 Training reads all documents once. Each task trains replicas from one start, each on the next
 ``replica_words`` words of its documents, so the replicas grow with the input; their weights are averaged by
 words, block by block, and only the averaged network, whose size is fixed, passes the driver.
@@ -25,6 +31,12 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.common import column, fresh_name, importable
 from tradewind.llm.hashing import word_hashes
+from tradewind.operators.lineage import written
+
+# Words whose counts are broadcast, at most: a megabyte at any size of the input.
+COMMON = 65_536
+# Words that are counted at once.
+BLOCK = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -77,7 +89,11 @@ def _views(shape: Shape, weights: np.ndarray) -> dict[str, np.ndarray]:
 
 def examples(shape: Shape, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """Each word's neighbours, and the words, as buckets."""
-    words = (word_hashes(text) % np.uint64(shape.buckets)).astype(np.int32)
+    return _examples(shape, word_hashes(text))
+
+
+def _examples(shape: Shape, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    words = (hashes % np.uint64(shape.buckets)).astype(np.int32)
     padded = np.full(len(words) + 2 * shape.side, shape.buckets, dtype=np.int32)
     padded[shape.side:shape.side + len(words)] = words
     offsets = [k for k in range(2 * shape.side + 1) if k != shape.side]
@@ -227,12 +243,110 @@ def train(docs: DataFrame, text: str = "text", shape: Shape = Shape()) -> np.nda
     return np.concatenate([np.frombuffer(blocks[k], dtype=np.float32) for k in range(shape.blocks)])
 
 
-def _held(shape: Shape, texts: pa.Array) -> Iterator[list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
-    """Examples of consecutive texts with the text's place, several batches at a time."""
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``(word, n, step)``, written: hash and occurrences of every word, and a step that grows with ``n``."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, waiting = [], 0
+        for value in (value for batch in batches for value in batch.column(0)):
+            held.append(word_hashes(value.as_py()))
+            waiting += len(held[-1])
+            if waiting >= BLOCK:
+                yield rows(held)
+                held, waiting = [], 0
+        if waiting:
+            yield rows(held)
+
+    def rows(held: list[np.ndarray]) -> pa.RecordBatch:
+        words, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_pydict({"word": words.view(np.int64), "n": n})
+
+    texts = docs.select(column(text).cast("string").cast("binary").alias("text"))
+    return written(
+        texts.mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        .withColumn("step", F.floor(8 * F.log2("n"))), "word-counts")
+
+
+@dataclass(frozen=True)
+class Known:
+    """Hashes of the commonest words in order, the logarithms of their counts, and by bucket the logarithm of
+    all its words' count and one."""
+    words: np.ndarray
+    logs: np.ndarray
+    totals: np.ndarray
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash would stand among the common words, and whether it does."""
+        if not len(self.words):
+            return np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes), dtype=bool)
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        return at, self.words[at] == hashes
+
+    def gained(self, hashes: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+        """Log-probability of each word within its bucket, as if rare words had occurred once."""
+        out = -self.totals[buckets]
+        at, found = self.places(hashes)
+        out[found] += self.logs[at[found]]
+        return out
+
+
+def _known(counts: DataFrame, shape: Shape, common: int) -> tuple[Known, DataFrame]:
+    """What is broadcast of the counts, of bounded size, and the others that are over one."""
+    over_one = counts.filter("n > 1")
+    steps = {r["step"]: r["count"] for r in over_one.groupBy("step").count().collect()}
+    least, taken = max(steps, default=0) + 1, 0
+    for step in sorted(steps, reverse=True):
+        taken += steps[step]
+        if taken > common:
+            break
+        least = step
+    table = over_one.filter(F.col("step") >= least).select("word", "n").toArrow()
+    words = table["word"].to_numpy().view(np.uint64)
+    order = np.argsort(words)
+    # Hashes are unsigned, Spark's longs are not.
+    size, above = shape.buckets, F.when(F.col("word") < 0, F.lit((1 << 64) % shape.buckets)).otherwise(F.lit(0))
+    totals = np.zeros(size)
+    bucket = F.pmod(F.pmod("word", F.lit(size)) + above, F.lit(size))
+    for row in counts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n")).collect():
+        totals[row["bucket"]] = row["n"]
+    known = Known(words[order], np.log(table["n"].to_numpy())[order], np.log1p(totals))
+    return known, over_one.filter(F.col("step") < least)
+
+
+def _rare_sums(docs: DataFrame, counts: DataFrame, text: str, known) -> DataFrame:
+    """``(text, gained)``, written: hash of each text, and the sum of the log-counts of its words in ``counts``,
+    which are not among the broadcast ``known``."""
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, waiting = [], 0
+        for batch in batches:
+            for text, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                hashes = word_hashes(value.as_py())
+                words, n = np.unique(hashes[~known.value.places(hashes)[1]], return_counts=True)
+                held.append((np.full(len(words), text), words.view(np.int64), n))
+                waiting += len(words)
+                if waiting >= BLOCK:
+                    yield rows(held)
+                    held, waiting = [], 0
+        if waiting:
+            yield rows(held)
+
+    def rows(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(dict(zip(("text", "word", "times"), (np.concatenate(p) for p in zip(*held)))))
+
+    body = column(text).cast("string")
+    found = docs.select(F.xxhash64(body).alias("text"), body.cast("binary").alias("body")).mapInArrow(
+        rare, "text long, word long, times long")
+    sums = found.join(counts, "word").groupBy("text").agg(F.sum(F.col("times") * F.log("n")).alias("gained"))
+    copies = docs.groupBy(F.xxhash64(body).alias("text")).agg(F.count(F.lit(1)).alias("copies"))
+    return written(sums.join(copies, "text").select("text", (F.col("gained") / F.col("copies")).alias("gained")), "rare-sums")
+
+
+def _held(shape: Shape, texts: pa.Array) -> Iterator[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]:
+    """Examples of consecutive texts with the text's place and the words' hashes, several batches at a time."""
     held, waiting = [], 0
     for place, value in enumerate(texts):
-        around, words = examples(shape, value.as_py())
-        held.append((around, words, np.full(len(words), place)))
+        hashes = word_hashes(value.as_py())
+        around, words = _examples(shape, hashes)
+        held.append((around, words, np.full(len(words), place), hashes))
         waiting += len(words)
         if waiting >= 8 * shape.batch:
             yield held
@@ -241,33 +355,60 @@ def _held(shape: Shape, texts: pa.Array) -> Iterator[list[tuple[np.ndarray, np.n
         yield held
 
 
-def log_probability(text: Column, weights, shape: Shape) -> Column:
-    """Number of words and the sum of their log-probabilities. ``weights`` is a broadcast network."""
+def log_probability(text: Column, weights, shape: Shape, known=None) -> Column:
+    """Number of words and the sum of their log-probabilities. ``weights`` is a broadcast network; with the
+    broadcast ``known`` words are told apart within their buckets."""
     @F.arrow_udf("struct<n_words: bigint, log_prob: double>")
     def score(texts: pa.Array) -> pa.Array:
         net = _views(shape, np.frombuffer(weights.value, dtype=np.float32))
         counts, sums = [], np.zeros(len(texts))
         for held in _held(shape, texts):
-            around, words, of = (np.concatenate(part) for part in zip(*held))
+            around, words, of, hashes = (np.concatenate(part) for part in zip(*held))
             for at in range(0, len(words), shape.batch):
                 part = slice(at, at + shape.batch)
-                sums += np.bincount(of[part], _forward(shape, net, around[part], words[part]), len(texts))
-            counts += [len(part) for _, part, _ in held]
+                scores = _forward(shape, net, around[part], words[part])
+                if known is not None:
+                    scores += known.value.gained(hashes[part], words[part])
+                sums += np.bincount(of[part], scores, len(texts))
+            counts += [len(part) for _, part, _, _ in held]
         return pa.StructArray.from_arrays(
             [pa.array(counts, pa.int64()), pa.array(sums, pa.float64())], names=["n_words", "log_prob"])
 
     return score(text.cast("string").cast("binary"))
 
 
+def _with_mean(found: Column, log_prob: Column) -> Column:
+    return F.struct(
+        found["n_words"].alias("n_words"), log_prob.alias("log_prob"),
+        F.when(found["n_words"] > 0, log_prob / found["n_words"]).alias("mean_log_prob"))
+
+
 def score_documents(docs: DataFrame, train_on: DataFrame | None = None, text: str = "text",
                     shape: Shape = Shape()) -> tuple[DataFrame, str]:
-    """Every row of ``docs`` with a struct ``(n_words, log_prob, mean_log_prob)``, and its name. The network
-    is trained on ``train_on``, or on ``docs`` itself."""
+    """Every row of ``docs`` with a struct ``(n_words, log_prob, mean_log_prob)`` of its words' buckets, and its
+    name. The network is trained on ``train_on``, or on ``docs`` itself."""
     context = importable(docs.sparkSession).sparkContext
     weights = context.broadcast(train(docs if train_on is None else train_on, text, shape).tobytes())
     name = fresh_name(docs, "lm")
     scored = docs.withColumn(name, log_probability(column(text), weights, shape))
     found = column(name)
-    return scored.withColumn(name, F.struct(
-        found["n_words"].alias("n_words"), found["log_prob"].alias("log_prob"),
-        F.when(found["n_words"] > 0, found["log_prob"] / found["n_words"]).alias("mean_log_prob"))), name
+    return scored.withColumn(name, _with_mean(found, found["log_prob"])), name
+
+
+def score_words(docs: DataFrame, train_on: DataFrame | None = None, text: str = "text",
+                shape: Shape = Shape(), common: int = COMMON) -> tuple[DataFrame, str]:
+    """``score_documents`` with the words of a bucket told apart. Counts of ``common`` words are broadcast."""
+    context = importable(docs.sparkSession).sparkContext
+    read = docs if train_on is None else train_on
+    broadcast, others = _known(word_counts(read, text), shape, common)
+    known = context.broadcast(broadcast)
+    weights = context.broadcast(train(read, text, shape).tobytes())
+    name, key, rare = (fresh_name(docs, n) for n in ("lm", "lm_text", "lm_rare"))
+    scored = docs.withColumns({
+        name: log_probability(column(text), weights, shape, known), key: F.xxhash64(column(text).cast("string"))})
+    # Written, so that a text with many copies can be split.
+    sums = _rare_sums(docs, others, text, known).select(F.struct("text", "gained").alias(rare))
+    of, found = column(rare), column(name)
+    log_prob = found["log_prob"] + F.coalesce(of["gained"], F.lit(0.0))
+    return scored.join(sums, column(key) == of["text"], "left").withColumn(
+        name, _with_mean(found, log_prob)).drop(key, rare), name

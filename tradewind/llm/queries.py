@@ -29,7 +29,7 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored, name = lm.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    scored, name = lm.score_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return scored.select("doc_id", *[f"{name}.{c}" for c in ("n_words", "log_prob", "mean_log_prob")])
 
 
