@@ -247,3 +247,22 @@ def test_lm_scores_of_unknown_words(spark):
         spark.createDataFrame(asked, schema), spark.createDataFrame(seen, schema), shape=shape, common=0)
     found = {r["doc_id"]: r[name]["log_prob"] for r in scored.collect()}
     assert [round(np.exp(found[k]) * 7, 6) for k in range(1, 7)] == [3, 2, 1, 1, 3, 7]
+
+
+def test_lm_learns_more_from_more_input(spark):
+    """Held-out text in the order of a rule gets likelier with the words that are trained on, and rounds grow."""
+    random = np.random.default_rng(5)
+
+    def sentence():
+        at = int(random.integers(50))
+        return " ".join(f"w{(at + 7 * k) % 50}" for k in range(60))
+
+    schema, shape = "doc_id long, text string", lm.Shape(classes=8, places=16, batch=256, replica_words=2000)
+    training = spark.createDataFrame([(k, sentence()) for k in range(2400)], schema).coalesce(2)
+    held = [lm.examples(shape, sentence().encode()) for _ in range(30)]
+    found = []
+    for n in (40, 600, 2400):
+        net = lm._views(shape, lm.train(training.filter(f"doc_id < {n}"), shape=shape))
+        found.append(np.mean([lm._forward(shape, net, *one).mean() for one in held]))
+    assert found[1] > 0.7 * found[0] and found[2] > 0.7 * found[1], found
+    assert [lm.rounds_of(lm.Shape(), n) for n in (0, 2_000_000, 8_000_000, 5_000_000_000)] == [1, 1, 2, 50]

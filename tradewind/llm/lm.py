@@ -10,9 +10,11 @@ With ``n`` occurrences of a word among the ``m`` of its bucket that is ``n / (m
 all unknown words together. Words and texts are told apart by 64 bits of hash. The counts of the commonest
 words are broadcast, of the others joined.
 
-Training reads all documents once. Each task trains replicas from one start, each on the next
-``replica_words`` words of its documents, so the replicas grow with the input; their weights are averaged by
-words, block by block, and only the averaged network, whose size is fixed, passes the driver.
+Training reads all documents once, in rounds over successive shares of them; rounds and replicas a round both
+grow with the square root of the number of words. In a round each task trains replicas from one state, each on
+the next ``replica_words`` words of its documents. Their states (weights, and sums of squares for the step sizes)
+are averaged by words, block by block, and the next round starts from the average. Only the averaged state,
+whose size is fixed, passes the driver.
 
 Null and empty texts have no words, score 0 and mean null; whole texts are read, at the ends padding takes
 the place of words. Repeated rows are trained on as often as they occur and score alike. Without any
@@ -23,15 +25,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import column, fresh_name, importable
+from tradewind.llm.common import column, fresh_name, importable, word_count
 from tradewind.llm.hashing import word_hashes
 from tradewind.operators.lineage import written
+from tradewind.session import scratch_path
 
 # Words whose counts are broadcast, at most: a megabyte at any size of the input.
 COMMON = 65_536
@@ -70,7 +74,7 @@ class Shape:
 
 
 def start(shape: Shape) -> np.ndarray:
-    """The weights all replicas start from."""
+    """The weights the first round's replicas start from."""
     random = np.random.default_rng(1)
     pieces = [
         np.zeros(dims) if name.endswith("bias") else random.normal(0, 0.1 if name == "embedding" else dims[-2] ** -0.5 / 2, dims)
@@ -157,10 +161,10 @@ def _forward(shape: Shape, net: dict[str, np.ndarray], around: np.ndarray, words
 class Replica:
     """A network in training, with step sizes that shrink per weight (Adagrad)."""
 
-    def __init__(self, shape: Shape, weights: np.ndarray):
-        self.shape, self.weights, self.words = shape, weights.copy(), 0
-        self.squares = np.full(len(weights), 1e-6, dtype=np.float32)
-        self.gradient = np.zeros(len(weights), dtype=np.float32)
+    def __init__(self, shape: Shape, state: np.ndarray):
+        self.shape, self.state, self.words = shape, state.copy(), 0
+        self.weights, self.squares = np.split(self.state, 2)
+        self.gradient = np.zeros(len(self.weights), dtype=np.float32)
         self.net, self.learn = _views(shape, self.weights), _views(shape, self.gradient)
         self.held: list[tuple[np.ndarray, np.ndarray]] = []
         self.waiting = 0
@@ -184,19 +188,20 @@ class Replica:
         self.words += len(words)
 
 
-REPLICAS = "block int, words long, weights binary"
+REPLICAS = "block int, words long, state binary"
 
 
 def _rows(replica: Replica) -> pa.RecordBatch:
-    parts = np.array_split(replica.weights, replica.shape.blocks)
+    parts = np.array_split(replica.state, replica.shape.blocks)
     return pa.RecordBatch.from_pydict({
         "block": pa.array(range(len(parts)), pa.int32()), "words": pa.array([replica.words] * len(parts), pa.int64()),
-        "weights": pa.array([p.tobytes() for p in parts], pa.binary())})
+        "state": pa.array([p.tobytes() for p in parts], pa.binary())})
 
 
-def _trainer(shape: Shape, weights: np.ndarray):
+def _trainer(shape: Shape, state):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        replica = Replica(shape, weights)
+        begin = np.frombuffer(state.value, dtype=np.float32)
+        replica = Replica(shape, begin)
         for batch in batches:
             for value in batch.column(0):
                 around, words = examples(shape, value.as_py())
@@ -208,7 +213,7 @@ def _trainer(shape: Shape, weights: np.ndarray):
                     if replica.words + replica.waiting >= shape.replica_words:
                         replica.train()
                         yield _rows(replica)
-                        replica = Replica(shape, weights)
+                        replica = Replica(shape, begin)
         replica.train()
         if replica.words:
             yield _rows(replica)
@@ -220,27 +225,50 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     words: dict[int, int] = {}
     for batch in batches:
-        for block, count, weights in zip(*(batch.column(k) for k in range(3))):
+        for block, count, state in zip(*(batch.column(k) for k in range(3))):
             block, count = block.as_py(), count.as_py()
-            part = np.frombuffer(weights.as_py(), dtype=np.float32).astype(np.float64) * count
+            part = np.frombuffer(state.as_py(), dtype=np.float32).astype(np.float64) * count
             sums[block] = sums[block] + part if block in sums else part
             words[block] = words.get(block, 0) + count
     for block, total in sums.items():
         yield pa.RecordBatch.from_pydict({
             "block": pa.array([block], pa.int32()), "words": pa.array([words[block]], pa.int64()),
-            "weights": pa.array([(total / words[block]).astype(np.float32).tobytes()], pa.binary())})
+            "state": pa.array([(total / words[block]).astype(np.float32).tobytes()], pa.binary())})
 
 
-def train(docs: DataFrame, text: str = "text", shape: Shape = Shape()) -> np.ndarray:
-    """Weights of the network after reading all texts of ``docs``."""
-    begin = start(shape)
+def rounds_of(shape: Shape, words: int) -> int:
+    """Rounds for so many words: as many as there are replicas in each."""
+    return max(1, ceil(sqrt(words / shape.replica_words)))
+
+
+def _shares(texts: DataFrame, rounds: int) -> Iterator[DataFrame]:
+    """The texts, dealt in turn to as many shares and written, so that a round reads its own only."""
+    if rounds == 1:
+        yield texts
+        return
+    spark, path = texts.sparkSession, scratch_path(texts.sparkSession, "lm-shares")
+    texts.withColumn("share", F.pmod(F.monotonically_increasing_id(), F.lit(rounds))).write.partitionBy("share").parquet(path)
+    for share in [r["share"] for r in spark.read.parquet(path).select("share").distinct().orderBy("share").collect()]:
+        yield spark.read.schema("text binary").parquet(f"{path}/share={share}")
+
+
+def train(docs: DataFrame, text: str = "text", shape: Shape = Shape(), words: int | None = None) -> np.ndarray:
+    """Weights of the network after reading all texts of ``docs``, which have so many ``words`` (counted if
+    not given)."""
+    context = importable(docs.sparkSession).sparkContext
+    if words is None:
+        words = docs.select(F.sum(word_count(column(text).cast("string")))).first()[0] or 0
+    state = np.concatenate([start(shape), np.full(shape.size, 1e-6, dtype=np.float32)])
     texts = docs.select(column(text).cast("string").cast("binary").alias("text"))
-    replicas = texts.mapInArrow(_trainer(shape, begin), REPLICAS)
-    averaged = replicas.repartition(shape.blocks, "block").mapInArrow(_average, REPLICAS)
-    blocks = {row["block"]: row["weights"] for row in averaged.collect()}  # one network, of fixed size
-    if not blocks:
-        return begin
-    return np.concatenate([np.frombuffer(blocks[k], dtype=np.float32) for k in range(shape.blocks)])
+    for share in _shares(texts, rounds_of(shape, words)):
+        begin = context.broadcast(state.tobytes())
+        replicas = share.mapInArrow(_trainer(shape, begin), REPLICAS)
+        averaged = replicas.repartition(shape.blocks, "block").mapInArrow(_average, REPLICAS)
+        blocks = {row["block"]: row["state"] for row in averaged.collect()}  # one state, of fixed size
+        if blocks:
+            state = np.concatenate([np.frombuffer(blocks[k], dtype=np.float32) for k in range(shape.blocks)])
+        begin.unpersist()
+    return state[:shape.size]
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -289,8 +317,8 @@ class Known:
         return out
 
 
-def _known(counts: DataFrame, shape: Shape, common: int) -> tuple[Known, DataFrame]:
-    """What is broadcast of the counts, of bounded size, and the others that are over one."""
+def _known(counts: DataFrame, shape: Shape, common: int) -> tuple[Known, DataFrame, int]:
+    """What is broadcast of the counts, of bounded size, the others that are over one, and the sum of all."""
     over_one = counts.filter("n > 1")
     steps = {r["step"]: r["count"] for r in over_one.groupBy("step").count().collect()}
     least, taken = max(steps, default=0) + 1, 0
@@ -304,12 +332,12 @@ def _known(counts: DataFrame, shape: Shape, common: int) -> tuple[Known, DataFra
     order = np.argsort(words)
     # Hashes are unsigned, Spark's longs are not.
     size, above = shape.buckets, F.when(F.col("word") < 0, F.lit((1 << 64) % shape.buckets)).otherwise(F.lit(0))
-    totals = np.zeros(size)
+    totals = np.zeros(size, dtype=np.int64)
     bucket = F.pmod(F.pmod("word", F.lit(size)) + above, F.lit(size))
     for row in counts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n")).collect():
         totals[row["bucket"]] = row["n"]
     known = Known(words[order], np.log(table["n"].to_numpy())[order], np.log1p(totals))
-    return known, over_one.filter(F.col("step") < least)
+    return known, over_one.filter(F.col("step") < least), int(totals.sum())
 
 
 def _rare_sums(docs: DataFrame, counts: DataFrame, text: str, known) -> DataFrame:
@@ -400,9 +428,9 @@ def score_words(docs: DataFrame, train_on: DataFrame | None = None, text: str =
     """``score_documents`` with the words of a bucket told apart. Counts of ``common`` words are broadcast."""
     context = importable(docs.sparkSession).sparkContext
     read = docs if train_on is None else train_on
-    broadcast, others = _known(word_counts(read, text), shape, common)
+    broadcast, others, total = _known(word_counts(read, text), shape, common)
     known = context.broadcast(broadcast)
-    weights = context.broadcast(train(read, text, shape).tobytes())
+    weights = context.broadcast(train(read, text, shape, total).tobytes())
     name, key, rare = (fresh_name(docs, n) for n in ("lm", "lm_text", "lm_rare"))
     scored = docs.withColumns({
         name: log_probability(column(text), weights, shape, known), key: F.xxhash64(column(text).cast("string"))})
