@@ -124,6 +124,18 @@ def test_url_rules_and_aliases(spark):
     assert verdicts[14, "http://r.com/a/b"] == verdicts[15, "http://r.com/a/c&d"] == "allow"
 
 
+def test_unquoted_refresh_and_further_rel_tokens(spark):
+    tags = {
+        1: "<meta http-equiv=refresh content=0;url=http://x.net/>", 2: "<META content=5;URL=http://x.net/a http-equiv=refresh>",
+        3: '<link rel="nofollow canonical" href="http://x.net/">', 4: "<link href=http://x.net/ rel='alternate\tCANONICAL x'>",
+        5: "<link rel=nofollow href=http://x.net/canonical>", 6: '<link rel="nofollow" title="a canonical" href="http://x.net/">',
+        7: "<meta http-equiv=refresh content=5>", 8: "<link rel='x-canonical' href=http://x.net/>",
+        9: "<meta http-equiv=refresh content='0; url=http://x.net/'>", 10: "<link rel=canonical href=http://x.net/>"}
+    judged, name = urls.judge_urls(pages_of(spark, [(k, f"http://p{k}.com/", tag) for k, tag in tags.items()]))
+    found = {r["page_id"]: r[name]["verdict"] for r in judged.collect()}
+    assert {k for k, v in found.items() if v == "block"} == {1, 2, 3, 4, 9, 10}
+
+
 def test_more_redirects(spark):
     more = spark.createDataFrame([("http://a.com/1", "http://z.net/"), (None, "http://a.com/2")], "a string, b string")
     rows = [(1, "http://a.com/1", ""), (2, "http://a.com/2", "")]

@@ -38,10 +38,10 @@ RULES = (
     Rule("block", "example.com/de/"), Rule("allow", "org/fr/"),
 )
 _LINK = r"(?i)<(?:link|meta)\b[^>]*>"
-_CANONICAL = r"""(?i)\brel\s*=\s*["']?canonical\b"""
+_CANONICAL = r"""(?i)\brel\s*=\s*(?:"(?:[^"]*\s)?|'(?:[^']*\s)?)?canonical\b"""
 _HREF = r"""(?i)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 _REFRESH = r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b"""
-_TARGET = r"""(?i)\bcontent\s*=\s*(?:"[^"]*?url\s*=\s*'?([^"']*)|'[^']*?url\s*=\s*"?([^"']*))"""
+_TARGET = r"""(?i)\bcontent\s*=\s*(?:"[^"]*?url\s*=\s*'?([^"']*)|'[^']*?url\s*=\s*"?([^"']*)|[^\s"'>]*?url=["']?([^\s"'>]+))"""
 
 
 def _rest(url: Column) -> Column:
@@ -76,7 +76,7 @@ def _group(text: Column, pattern: str, groups: int) -> Column:
 def targets(html: Column) -> Column:
     """Where canonical links and refresh redirects of a page lead, as written."""
     links = F.transform(F.filter(_tags(html), lambda t: t.rlike(_CANONICAL)), lambda t: _group(t, _HREF, 3))
-    refresh = F.transform(F.filter(_tags(html), lambda t: t.rlike(_REFRESH)), lambda t: _group(t, _TARGET, 2))
+    refresh = F.transform(F.filter(_tags(html), lambda t: t.rlike(_REFRESH)), lambda t: _group(t, _TARGET, 3))
     return F.concat(links, refresh)
 
 
