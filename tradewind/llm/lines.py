@@ -2,7 +2,8 @@
 
 Every three consecutive lines that hold a word are a window. Windows that occur more than once anywhere
 are found by one aggregation over their hashes; the first occurrence, by document id and line, stays, and
-the lines that later ones cover (blank lines between them included) are cut from their documents.
+the lines that later ones cover (blank lines between them included) are cut from their documents. A later
+occurrence that overlaps the first one cuts the lines they share: of four equal lines one is left.
 
 Lines are compared exactly, windows by 128 bits of hash. Rows with equal id and text count as one document
 and are treated alike. Null ids come first. Null texts stay null, empty texts and texts of fewer than
