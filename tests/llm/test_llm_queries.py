@@ -31,7 +31,7 @@ def documents():
 
 def test_queries_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= driver.queries().keys() and ORACLE.keys() <= driver.oracle_sql().keys()
 
 

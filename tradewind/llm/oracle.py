@@ -200,6 +200,80 @@ SELECT page_id, host, path, rule,
 FROM own
 """
 
+# CRC-32 bit by bit, lowest bit of each byte first; the polynomial is a fixed value.
+_CRC32 = """xor(4294967295, list_reduce(flatten(list_transform(range(octet_length(encode(seed))),
+    lambda i: list_transform(range(8), lambda k: (('0x' || substr(hex(encode(seed)), 2 * i + 1, 2))::BIGINT >> k) & 1))),
+    lambda c, bit: xor(c >> 1, 3988292384 * (xor(c, bit) & 1)), 4294967295))"""
+
+SPELLING_VARIANTS = rf"""
+WITH RECURSIVE found AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+  FROM documents
+), counted AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS seed, run, count(*) AS n FROM found WHERE length(run) >= 5 GROUP BY ALL
+), seeded AS (
+  SELECT run, n, {_CRC32} AS h FROM counted
+), planted AS (
+  SELECT n, CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM seeded
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM planted WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), gaps AS (
+  SELECT word, unnest(range(1, length(word) + 1)) AS pos FROM v
+), shorter AS (
+  SELECT word, pos, word[:pos - 1] || word[pos + 1:] AS rest FROM gaps
+), near AS (
+  SELECT a.word AS word, b.word AS other FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.pos = b.pos AND a.word <> b.word
+  UNION SELECT a.word, a.rest FROM shorter a JOIN v ON v.word = a.rest
+  UNION SELECT a.rest, a.word FROM shorter a JOIN v ON v.word = a.rest
+), best AS (
+  SELECT near.word, other, count(*) OVER (PARTITION BY near.word) AS n_near, o.n AS other_n
+  FROM near JOIN v o ON o.word = other
+  QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) = 1
+), formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * v.n THEN other END AS form,
+    CASE WHEN other_n >= 2 * v.n THEN other_n END AS form_n
+  FROM v LEFT JOIN best USING (word)
+), chains AS (
+  SELECT word, word AS tail, form FROM formed
+  UNION ALL
+  SELECT chains.word, formed.word, formed.form FROM chains JOIN formed ON formed.word = chains.form
+)
+SELECT formed.word, n, CAST(n_near AS BIGINT) AS n_near, formed.form, form_n, chains.tail AS root
+FROM formed JOIN chains ON chains.word = formed.word AND chains.form IS NULL
+"""
+
+_ITEM_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+DECONTAMINATE = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce({_ITEM_WORDS}, []) AS words FROM documents
+), items AS (
+  SELECT item_id, {_ITEM_WORDS} AS words FROM benchmark
+), cut AS (
+  SELECT item_id, words, least(10, len(words)) AS size, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS first
+  FROM items WHERE len(words) > 0
+), grams AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[first:first + size - 1], ' ') AS gram FROM cut
+), sizes AS (
+  SELECT DISTINCT size FROM grams
+), windows AS (
+  SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS first FROM d, sizes WHERE len(words) >= size
+), hits AS (
+  SELECT doc_id, first, w.size, item_id
+  FROM (SELECT doc_id, first, size, array_to_string(words[first:first + size - 1], ' ') AS gram FROM windows) w
+  JOIN grams ON grams.size = w.size AND grams.gram = w.gram
+), covered AS (
+  SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(first, first + size)) AS pos FROM hits) GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM hits GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(listed.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": QUALITY_RULES,
     "op2_mix_sources": MIX_SOURCES,
@@ -207,4 +281,6 @@ ORACLE: dict[str, str] = {
     "op7_warc": WARC,
     "op8_topk_search": TOPK_SEARCH,
     "op10_url_filters": URL_FILTERS,
+    "op11_spelling_variants": SPELLING_VARIANTS,
+    "op12_decontaminate": DECONTAMINATE,
 }

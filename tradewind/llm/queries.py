@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import bpe, jaccard, lines, lm, mixing, quality, tokens, topk, urls, warc
+from tradewind.llm import (
+    bpe, decontaminate, jaccard, lines, lm, mixing, quality, spelling, tokens, topk, urls, warc, whitening,
+)
 from tradewind.llm.common import importable, table, text_or_empty
 from tradewind.llm.oracle import ORACLE as ORACLE
 
@@ -78,6 +80,23 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", *[f"{name}.{c}" for c in ("host", "path", "rule", "verdict")])
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.vocabulary(table(spark, sf_dir, "documents").select("doc_id", "text"), misspell=97))
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, name = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    of = F.col(name)
+    return found.select(
+        "doc_id", of["n_words"].alias("n_words"), of["n_hit"].alias("n_hit"), F.size(of["items"]).cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", of["items"]).cast("binary"), 256).alias("items_sha256"), (of["n_hit"] > 0).alias("contaminated"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def _query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: build(importable(spark), sf_dir)
 
@@ -86,6 +105,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     build.__name__: _query(build)
     for build in (
         op1_quality_rules, op2_mix_sources, op3_lm_scoring, op4_line_dedup, op5_token_counts, op6_bpe, op7_warc, op8_topk_search, op9_jaccard_join,
-        op10_url_filters,
+        op10_url_filters, op11_spelling_variants, op12_decontaminate, op13_whitening,
     )
 }
