@@ -225,7 +225,7 @@ def _bloom(grams: DataFrame, bits: int) -> np.ndarray:
         for batch in batches:
             place = np.unique(np.concatenate(_places(batch["hash"].to_numpy(dtype=np.int64), bits)))
             word, mask = place >> 6, np.left_shift(np.uint64(1), (place & 63).astype(np.uint64))
-            first = np.flatnonzero(np.diff(word, prefix=-1))
+            first = np.flatnonzero(np.diff(word, prepend=-1))
             yield pd.DataFrame({"word": word[first], "mask": np.bitwise_or.reduceat(mask, first).view(np.int64)} if len(word)
                                else {"word": [], "mask": []})
 

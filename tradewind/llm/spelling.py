@@ -94,7 +94,8 @@ def _lists(rows: DataFrame) -> DataFrame:
 
 def _halves(lo: Column, hi: Column) -> Column:
     half = F.floor((lo + hi) / 2).cast("int")
-    return F.explode(F.array(F.struct(lo.alias("lo"), half.alias("hi")), F.struct(half.alias("lo"), hi.alias("hi"))))
+    both = F.array(F.struct(lo.alias("lo"), half.alias("hi")), F.struct(half.alias("lo"), hi.alias("hi")))
+    return F.explode(F.filter(both, lambda part: part["lo"] < part["hi"]))
 
 
 def _first_lists(words: DataFrame, shortest: int) -> DataFrame:
