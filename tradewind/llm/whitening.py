@@ -5,8 +5,8 @@ sums S and its scatter, the sum of the products of (n * x - S) / n, come from on
 the sums of the tasks are added by key, a line of the matrix being a key. The scatter matrix, whose size is set by the vectors' length
 alone, is factored in one task: Cholesky with the largest remaining diagonal entry as pivot gives a triangular L, and plane
 rotations of its columns make them orthogonal. Their squared norms over n are the eigenvalues of the covariance, the columns
-over their norms its eigenvectors. Every row is then projected by expressions, and the covariance of the whitened fit list
-is measured in the same way against the identity.
+over their norms its eigenvectors. The covariance of the whitened fit list is measured in the same way against the identity.
+Vectors are packed some hundreds to a row, so what is joined to them, a model per length, is moved once for all of a pack.
 
 Null vectors, those with a null or non-finite entry, empty ones, and those with an entry beyond ``LARGEST`` after scaling
 (its double is no exact integer) take no part. Vectors of each length are a table of their own, with its own n, components and
@@ -18,14 +18,16 @@ an empty table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tradewind.llm.common import column, let
+from tradewind.llm.common import column
 from tradewind.operators.lineage import written
 
 SCALE, OFFSET, COMPONENTS = 64, 1_000_000, 16
@@ -34,9 +36,10 @@ LARGEST = float(1 << 53)
 RANK_TOLERANCE = 1e-13
 # Rotations end when no two columns' cosine is above this, or after so many sweeps.
 ANGLE, SWEEPS = 1e-15, 60
-# Numbers that a task adds up in memory before it sends them on.
-MOST_HELD = 1 << 22
+# Numbers of a row of packed vectors, and those that a task adds up in memory before it sends them on.
+PACK, MOST_HELD = 1 << 16, 1 << 22
 LINES = "dim int, line int, sums array<double>"
+RESULT = "component int, n long, deviation long, whitened double, explained double, identity_error double"
 BASIS = "dim int, component int, direction array<double>, eigenvalue double, explained double"
 
 
@@ -48,24 +51,81 @@ def integers(vector: Column, scale: float = SCALE, offset: int = OFFSET) -> Colu
     return F.when(usable, F.transform(scaled, lambda c: c + F.lit(offset).cast("long")))
 
 
-def _lines(rows: DataFrame, products: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """``(dim, line, sums)``: matrices ``products(vectors)`` of all rows ``(dim, y)``, added up per ``dim``."""
+def _arrays(rows: np.ndarray) -> pa.Array:
+    """Rows of a matrix as lists."""
+    ends = np.arange(0, rows.size + 1, max(rows.shape[1], 1), dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.reshape(-1)))
+
+
+def packed(rows: DataFrame, id_type: T.DataType) -> DataFrame:
+    """Vectors ``(id, dim, x)`` of a length side by side, at most ``PACK`` numbers or one vector to a row ``(dim, ids, x)``. What
+    is joined to a row is then moved once for many vectors."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column("dim").to_numpy(zero_copy_only=False)
+            for dim in np.unique(dims).tolist():
+                some = batch.filter(pa.array(dims == dim))
+                step = max(1, PACK // dim)
+                for start in range(0, len(some), step):
+                    part = some.slice(start, step)
+                    ids, x = part.column("id"), part.column("x")
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([dim], pa.int32()), _one(ids), _one(x.flatten())], names=["dim", "ids", "x"])
+
+    schema = T.StructType().add("dim", T.IntegerType()).add("ids", T.ArrayType(id_type)).add("x", T.ArrayType(T.LongType()))
+    return rows.select("dim", "id", "x").mapInArrow(pack, schema)
+
+
+def _one(values: pa.Array) -> pa.Array:
+    """All values as one list."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, Any]]:
+    """Packed rows with ``x`` as a matrix, ``off`` as the exact n * x - S and ``y`` as off / n."""
+    for batch in batches:
+        for row in range(len(batch)):
+            pack = {c: batch.column(c)[row] for c in batch.schema.names}
+            dim, n = pack["dim"].as_py(), pack["n"].as_py()
+            x = pack["x"].values.to_numpy(zero_copy_only=False).reshape(-1, dim)
+            sums = [int(s) for s in pack["sums"].as_py()]
+            fits = n * int(np.abs(x).max()) + max(map(abs, sums)) < 1 << 63
+            kind = np.int64 if fits else object
+            off = n * x.astype(kind) - np.array(sums, dtype=kind)
+            yield {**pack, "dim": dim, "n": n, "off": off, "y": (off / n).astype(np.float64)}
+
+
+def _deviation(off: np.ndarray) -> list[int | None]:
+    """Sum of squares of each row; null if it does not fit a long."""
+    if float(np.abs(off).max()) ** 2 * off.shape[1] < 2.0 ** 62:
+        return (off.astype(np.int64) ** 2).sum(axis=1).tolist()
+    exact = [sum(int(o) ** 2 for o in row) for row in off]
+    return [e if e < 1 << 63 else None for e in exact]
+
+
+def _whitened(pack: dict[str, Any]) -> np.ndarray:
+    """Projections of the vectors on the components, over the roots of their eigenvalues."""
+    basis = pack["basis"].as_py()
+    directions = np.array([one["direction"] for one in basis])
+    return pack["y"] @ directions.T / np.sqrt([one["eigenvalue"] for one in basis])
+
+
+def _lines(packs: DataFrame, matrix: Callable[[dict[str, Any]], np.ndarray]) -> DataFrame:
+    """``(dim, line, sums)``: the matrices made of all packs, added up per ``dim``."""
     def send(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for dim, matrix in held.items():
-            for start in range(0, len(matrix), max(1, MOST_HELD // max(1, matrix.shape[1]) // 8)):
-                part = matrix[start:start + max(1, MOST_HELD // max(1, matrix.shape[1]) // 8)]
+        for dim, made in held.items():
+            step = max(1, PACK // made.shape[1])
+            for start in range(0, len(made), step):
+                part = made[start:start + step]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(part), dim, dtype=np.int32)), pa.array(np.arange(start, start + len(part), dtype=np.int32)),
-                    pa.array(list(part), pa.list_(pa.float64()))], names=["dim", "line", "sums"])
+                    _arrays(part)], names=["dim", "line", "sums"])
 
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            dims = batch.column("dim").to_numpy(zero_copy_only=False)
-            for dim in np.unique(dims).tolist():
-                picked = batch.column("y").filter(pa.array(dims == dim))
-                made = products(picked.flatten().to_numpy(zero_copy_only=False).reshape(len(picked), -1))
-                held[dim] = held[dim] + made if dim in held else made
+        for pack in _packs(batches):
+            made, dim = matrix(pack), pack["dim"]
+            held[dim] = held[dim] + made if dim in held else made
             if sum(m.size for m in held.values()) > MOST_HELD:
                 yield from send(held)
                 held = {}
@@ -74,15 +134,15 @@ def _lines(rows: DataFrame, products: Callable[[np.ndarray], np.ndarray]) -> Dat
     def of_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for dim, line, sums in zip(*(batch.column(c).to_pylist() for c in ("dim", "line"))
-                                       , (np.asarray(s.values) for s in batch.column("sums"))):
-                held[dim, line] = held[dim, line] + sums if (dim, line) in held else sums
+            keys = zip(batch.column("dim").to_pylist(), batch.column("line").to_pylist())
+            for key, sums in zip(keys, batch.column("sums")):
+                made = sums.values.to_numpy()
+                held[key] = held[key] + made if key in held else made
         for (dim, line), sums in held.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([dim], pa.int32()), pa.array([line], pa.int32()), pa.array([sums], pa.list_(pa.float64()))],
-                names=["dim", "line", "sums"])
+                [pa.array([dim], pa.int32()), pa.array([line], pa.int32()), _arrays(sums[None, :])], names=["dim", "line", "sums"])
 
-    return rows.select("dim", "y").mapInArrow(of_task, LINES).repartition("dim", "line").mapInArrow(of_key, LINES)
+    return packs.mapInArrow(of_task, LINES).repartition("dim", "line").mapInArrow(of_key, LINES)
 
 
 def _scatter(rows: np.ndarray) -> np.ndarray:
@@ -149,70 +209,63 @@ def _basis(lines: DataFrame, counts: DataFrame, components: int) -> DataFrame:
         norm = np.sqrt((rotated ** 2).sum(axis=0))
         return pd.DataFrame({
             "dim": np.full(len(norm), len(scatter), dtype=np.int32), "component": np.arange(1, len(norm) + 1, dtype=np.int32),
-            "direction": list((rotated / norm).T), "eigenvalue": norm ** 2 / n, "explained": norm ** 2 / scatter.trace()})
+            "direction": pd.Series(list((rotated / norm).T), dtype=object), "eigenvalue": norm ** 2 / n, "explained": norm ** 2 / scatter.trace()})
 
     return lines.join(counts.select("dim", "n"), "dim").groupBy("dim").applyInPandas(factor, BASIS)
 
 
-def _centred(x: Column, n: Column, sums: Column) -> Column:
-    """(n * x - S) / n, from exact integers."""
-    whole = lambda v, s: n.cast("decimal(20,0)") * v.cast("decimal(17,0)") - s
-    quick = lambda v, s: F.try_subtract(F.try_multiply(n, v), s.try_cast("long"))
-    return F.zip_with(x, sums, lambda v, s: F.coalesce(quick(v, s).cast("double"), whole(v, s).cast("double")) / n.cast("double"))
+def _sums(fit: DataFrame) -> DataFrame:
+    """``(dim, n, sums)``: vectors of the packed fit list and their exact sums."""
+    entries = fit.select("dim", F.posexplode("x").alias("at", "v")).select("dim", (F.col("at") % F.col("dim")).alias("at"), "v")
+    sums = entries.groupBy("dim", "at").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("v").cast("decimal(28,0)")).alias("sum"))
+    entry = F.struct("at", "sum")
+    return sums.groupBy("dim").agg(
+        F.max("n").alias("n"), F.transform(F.sort_array(F.collect_list(entry)), lambda s: s["sum"]).alias("sums"))
 
 
-def _deviation(x: Column, n: Column, sums: Column) -> Column:
-    """Sum of (n * x - S) ** 2; null if it does not fit a long."""
-    off = F.zip_with(x, sums, lambda v, s: F.try_subtract(F.try_multiply(n, v), s.try_cast("long")))
-    return F.aggregate(off, F.lit(0).cast("long"), lambda total, o: F.try_add(total, F.try_multiply(o, o)))
+def _identity_error(fit: DataFrame) -> DataFrame:
+    """``(dim, identity_error)``: largest entry, whatever its sign, of the whitened fit list's covariance minus the identity.
+    ``fit`` has the packed fit list with its model."""
+    means = written(
+        _lines(fit, lambda pack: _whitened(pack).sum(axis=0, keepdims=True))
+        .select("dim", F.col("sums").alias("totals")), "whitened-sums")
 
+    def centred(pack: dict[str, Any]) -> np.ndarray:
+        return _scatter(_whitened(pack) - np.array(pack["totals"].as_py()) / pack["n"])
 
-def _whitened(y: Column, basis: Column) -> Column:
-    """Projections of a centred vector on the components, over the roots of their eigenvalues."""
-    def project(one: Column) -> Column:
-        products = F.zip_with(y, one["direction"], lambda a, b: a * b)
-        return F.aggregate(products, F.lit(0.0), lambda total, p: total + p) / F.sqrt(one["eigenvalue"])
-    return F.transform(basis, project)
+    lines = _lines(fit.join(means, "dim"), centred).join(fit.groupBy("dim").agg(F.max("n").alias("n")), "dim")
+    off = F.transform("sums", lambda s, at: F.abs(s / F.col("n") - (at == F.col("line")).cast("double")))
+    return written(lines.groupBy("dim").agg(F.max(F.array_max(off)).alias("identity_error")), "identity-error")
 
 
 def whiten(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding", components: int = COMPONENTS,
            scale: float = SCALE, offset: int = OFFSET) -> DataFrame:
     """``(<id>, component, n, deviation, whitened, explained, identity_error)`` for each row and component."""
-    rows = written(
+    id_type = vectors.schema[id_column].dataType
+    rows = (
         vectors.select(column(id_column).alias("id"), integers(column(vector), scale, offset).alias("x"))
-        .filter("x IS NOT NULL").withColumn("dim", F.size("x")), "vectors")
+        .filter("x IS NOT NULL").withColumn("dim", F.size("x")))
     # Equal vectors meet on the map side first, so however many there are, a task sends one.
-    fit = written(rows.select("dim", "x").distinct(), "fit")
-    counts = fit.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
-    entries = fit.select("dim", F.posexplode("x").alias("at", "v"))
-    sums = entries.groupBy("dim", "at").agg(F.sum(F.col("v").cast("decimal(28,0)")).alias("sum"))
-    sums = sums.groupBy("dim").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "sum"))), lambda s: s["sum"]).alias("sums"))
-    counts = written(counts.join(sums, "dim"), "fit-sums")
-
-    # One small row per length of vectors; both sides are read from files, so a common length's partition can be split.
-    centred = fit.join(counts, "dim").select("dim", _centred(F.col("x"), F.col("n"), F.col("sums")).alias("y"))
-    basis = written(_basis(_lines(centred, _scatter), counts, components), "basis")
+    distinct = rows.select("dim", "x").distinct().withColumn("id", F.lit(None).cast(id_type))
+    fit = written(packed(distinct, id_type), "fit")
+    counts = written(_sums(fit), "fit-sums")
+    # One small row per length of vectors, joined to packs.
+    lines = _lines(fit.join(counts, "dim"), lambda pack: _scatter(pack["y"]))
     one = F.struct("component", "direction", "eigenvalue", "explained")
-    model = written(counts.join(basis.groupBy("dim").agg(F.sort_array(F.collect_list(one)).alias("basis")), "dim"), "model")
-
-    def projected(some: DataFrame) -> DataFrame:
-        y = _centred(F.col("x"), F.col("n"), F.col("sums"))
-        return some.join(model, "dim").withColumn("w", let(y, lambda bound: _whitened(bound, F.col("basis"))))
-
-    error = _identity_error(written(projected(fit).select("dim", "n", F.col("w").alias("y")), "fit-whitened"))
-    out = projected(rows).join(error, "dim").withColumn("deviation", _deviation(F.col("x"), F.col("n"), F.col("sums")))
-    return out.select(
-        F.col("id").alias(id_column), "n", "deviation", "identity_error", F.explode(F.arrays_zip("w", "basis")).alias("c"),
-    ).select(id_column, F.col("c.basis.component").alias("component"), "n", "deviation", F.col("c.w").alias("whitened"),
-             F.col("c.basis.explained").alias("explained"), "identity_error")
-
-
-def _identity_error(whitened: DataFrame) -> DataFrame:
-    """``(dim, identity_error)``: largest entry of the covariance of ``y`` minus the identity, whichever its sign."""
-    means = _lines(whitened, lambda y: y.sum(axis=0, keepdims=True)).select("dim", F.col("sums").alias("sum"))
-    means = written(means, "whitened-sums")
-    centred = whitened.join(means, "dim").select(
-        "dim", "n", F.zip_with("y", "sum", lambda a, s: a - s / F.col("n")).alias("y"))
-    lines = _lines(centred, _scatter).join(whitened.groupBy("dim").agg(F.max("n").alias("n")), "dim")
-    off = F.transform("sums", lambda s, at: F.abs(s / F.col("n") - (at == F.col("line")).cast("double")))
-    return written(lines.groupBy("dim").agg(F.max(F.array_max(off)).alias("identity_error")), "identity-error")
+    basis = _basis(lines, counts, components).groupBy("dim").agg(F.sort_array(F.collect_list(one)).alias("basis"))
+    model = written(counts.join(basis, "dim"), "whitening-model")
+    model = model.join(_identity_error(fit.join(model, "dim")), "dim")
+
+    def results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pack in _packs(batches):
+            made, basis = _whitened(pack), pack["basis"].as_py()
+            each = pa.array(np.repeat(np.arange(len(made)), len(basis)))
+            yield pa.RecordBatch.from_arrays([
+                pack["ids"].values.take(each), pa.array(np.tile(np.arange(1, len(basis) + 1, dtype=np.int32), len(made))),
+                pa.array(np.full(made.size, pack["n"])), pa.array(_deviation(pack["off"]), pa.int64()).take(each), pa.array(made.reshape(-1)),
+                pa.array(np.tile([b["explained"] for b in basis], len(made))), pa.array(np.full(made.size, pack["identity_error"].as_py())),
+            ], names=names)
+
+    schema = T.StructType([T.StructField(id_column, id_type), *T.StructType.fromDDL(RESULT)])
+    names = schema.fieldNames()
+    return packed(rows, id_type).join(model, "dim").mapInArrow(results, schema)
