@@ -4,6 +4,7 @@ import csv
 import io
 import itertools
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from tradewind.sources.csv_files import (
     has_quoted_line_breaks, list_csv, open_quote, read_header, scan_csv, table_name, write_text,
 )
 from tradewind.sources.load import SPARK_ERRORS, read_typed_csv
+from tradewind.sources.records import physical_lines, with_effect
 
 
 def write(folder, name, content):
@@ -80,6 +82,78 @@ def test_same_rows_as_the_csv_module(spark, tmp_path, breaks):
     assert sorted(scanned(spark, path)) == sorted(expected)
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Splits of some records, so that records are cut by their borders."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in zip(names, ("600", "100")):
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+CELLS = ("x", "", '"q"', '"a\nb"', '"a,b"', '"say ""hi"""', '"""start"', '"end"""', '""', '5" pipe', '"l1\nl2\n\nl4"', '"\n"', '"""\n"""', '"é\n😀"', " sp ")
+
+
+def random_csv(seed, rows):
+    rng = random.Random(seed)
+    lines = [",".join(rng.choices(CELLS, k=rng.choice((1, 2, 3, 3, 3, 4)))) + "\n" * rng.choice((1, 1, 1, 2)) for _ in range(rows)]
+    return "a,b,c\n" + "".join(lines)
+
+
+def by_one_task(spark, path):
+    rows = spark.read.csv(path, schema="a string, b string, c string", header=True, multiLine=True, quote='"', escape='"')
+    return Counter(tuple(r) for r in rows.collect())
+
+
+@pytest.mark.parametrize("content", [
+    random_csv(1, 150), random_csv(2, 150).rstrip("\n"), random_csv(3, 120).replace("\n", "\r\n"),
+    'a,b,c\n1,"' + "over many splits\n" * 300 + '",2\n' + "1,2,3\n" * 40 + '4,"' + "z\n" * 500 + '",5\n',
+    '"a","b\n\nb",c\n' + '1,2,3\n' * 200 + '"x\ny",2,3\n'], ids=["lf", "no end", "crlf", "long records", "header"])
+def test_files_are_read_in_splits(spark, tmp_path, small_splits, content):
+    path = write(tmp_path, "t.csv", content)
+    scan = scan_csv(spark, path)
+    assert not scan.multiline and physical_lines(spark, path).rdd.getNumPartitions() > 3
+    assert Counter(tuple(r) for r in scan.rows.collect()) == by_one_task(spark, path)
+
+
+@pytest.mark.parametrize("content", [
+    "a,b,c\n" + '1,"x" y,2\n' * 100 + '"p\nq",2,3\n', "a,b,c\n" + '1,2,"x\ny"\n' * 80 + '1,2,"never\ncloses\n' + "1,2,3\n" * 50,
+    "a,b,c\n" + '1,"x\ny",2\r\n' * 80, "a,b,c\n" + '1, "x\ny",2\n' * 80], ids=["text behind", "unclosed", "both breaks", "blank before"])
+def test_unusual_quotes_are_left_to_one_task(spark, tmp_path, small_splits, content):
+    path = write(tmp_path, "t.csv", content)
+    scan = scan_csv(spark, path)
+    assert scan.multiline and Counter(tuple(r) for r in scan.rows.collect()) == by_one_task(spark, path)
+
+
+def test_part_files_are_read_in_splits(spark, tmp_path, small_splits):
+    folder = tmp_path / "t.csv"
+    folder.mkdir()
+    for k in range(3):
+        write(folder, f"part-{k}.csv", random_csv(10 + k, 60))
+    scan = scan_csv(spark, str(folder))
+    assert not scan.multiline and Counter(tuple(r) for r in scan.rows.collect()) == by_one_task(spark, str(folder))
+    write(folder, "part-9.csv", "a,c,b\n" + '1,"x\ny",2\n' * 80)
+    with pytest.raises(csv.Error):
+        scan_csv(spark, str(folder))
+
+
+def test_every_line_has_the_csv_modules_effect(spark):
+    """Every line over the alphabet up to length 7 that fits the grammar, begun outside and inside of a quoted cell."""
+    lines = ["".join(p) for n in range(8) for p in itertools.product('a",', repeat=n)]
+    found = with_effect(spark.createDataFrame([(x,) for x in lines], "line string")).collect()
+
+    def runs_on(*lines):
+        return len(list(csv.reader([*(line + "\n" for line in lines), "z\n"]))) < 2
+
+    assert not [r.line for r in found if not r.odd_outside and r.outside != runs_on(r.line)]
+    assert not [r.line for r in found if not r.odd_inside and r.inside != runs_on('"', r.line)]
+    fits = {r.line for r in found if not r.odd_outside}
+    assert {'"a"', '"a","a"', '""', 'a,"a,a"', '"a""a"', '""""', '"a', 'a,"', 'a"a', 'a",a'} <= fits
+
+
 def test_folder_of_part_files(spark, tmp_path):
     path = str(tmp_path / "t.csv")
     spark.range(100).select(F.col("id"), F.lit('x "y"').alias("n")).repartition(4).write.csv(

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.functions.names import normalize_header, normalize_name
+from tradewind.sources.records import split_rows
 
 # CSV sources worked on at the same time, so that small ones do not leave the cluster idle.
 SOURCES_AT_ONCE = 4
@@ -104,13 +105,23 @@ def has_quoted_line_breaks(spark: SparkSession, path: str) -> bool:
     return not spark.read.text(_literal(path)).filter(line.contains('"')).filter(open_quote(line)).isEmpty()
 
 
+def has_large_files(spark: SparkSession, path: str) -> bool:
+    """Whether any file of a source is larger than what one task should read."""
+    target, fs = hadoop_path(spark, path)
+    status = fs.getFileStatus(target)
+    files = fs.listStatus(target) if status.isDirectory() else [status]
+    most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return any(f.getLen() > most for f in files if not f.getPath().getName().startswith(("_", ".")))
+
+
 def scan_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> CsvScan | None:
     """Scan one CSV source; None when it is empty.
 
     Quotes are escaped by doubling, short rows are padded with NULL, extra cells are ignored, empty
-    cells are NULL, undecodable bytes become U+FFFD, and blank lines are dropped. Records with
-    quoted line breaks force Spark to read each file in one task, so ``multiline=None`` looks for
-    them first and splits the files when there are none.
+    cells are NULL, undecodable bytes become U+FFFD, and blank lines are dropped. Spark's reader takes a
+    file with quoted line breaks in one task, so ``multiline=None`` looks for them first and splits the files when there
+    are none. Files with them that are larger than ``spark.sql.files.maxPartitionBytes`` are read in splits too, and their
+    records put together (see ``records``), unless quotes are used in a way that leaves the end of a record open.
     """
     header = read_header(spark, path)
     if not header:
@@ -123,10 +134,16 @@ def scan_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> C
     # Part files must agree on the header; Spark checks that by name when names are unambiguous.
     checked = folder and all(header) and len({h.lower() for h in header}) == len(header)
     fields = header if checked else names
+    columns = max(20480, len(header) * 2)
+    if multiline and has_large_files(spark, path):
+        options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true", "maxColumns": str(columns)}
+        rows = split_rows(spark, _literal(path), header, names, checked, options)
+        if rows is not None:
+            return CsvScan(header, names, rows)
     rows = spark.read.csv(
         _literal(path), schema=T.StructType([T.StructField(f, T.StringType()) for f in fields]),
         header=True, multiLine=multiline, quote='"', escape='"', encoding="UTF-8",
-        mode="PERMISSIVE", enforceSchema=not checked, maxColumns=max(20480, len(header) * 2),
+        mode="PERMISSIVE", enforceSchema=not checked, maxColumns=columns,
     ).toDF(*names)
     return CsvScan(header, names, rows, multiline)
 

@@ -288,6 +288,10 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN lang END AS lang,
                'say "' || text || '", then' || chr(10) || 'stop' AS text, n_chars
         FROM documents""",
+    "csv_split_records": """
+        SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN lang END AS lang,
+               'say "' || text || '", then' || chr(10) || 'stop' AS text, n_chars
+        FROM documents""",
     "csv_typed_scan": """
         SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, CASE WHEN s_suppkey % 3 <> 2 THEN s_name END AS s_name,
                CASE WHEN s_suppkey % 3 <> 0 THEN CAST(s_nationkey AS INTEGER) END AS s_nationkey

@@ -16,6 +16,7 @@ from tradewind.sources import star
 from tradewind.sources.csv_files import list_csv
 from tradewind.sources.infer import column_types
 from tradewind.sources.load import ingest_directory, load_csv, load_directory, read_typed_csv
+from tradewind.sources.records import split_rows
 from tradewind.workload import staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,6 +126,15 @@ def loaded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.documents")
 
 
+def split_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents through CSV, whose records go over line breaks, read in splits and put together again."""
+    (path,) = list_csv(spark, staging.text_folder(spark, sf_dir))
+    names = ["doc_id", "lang", "text", "n_chars"]
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}
+    rows = split_rows(spark, path, names, names, True, options)
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text", F.col("n_chars").cast("long").alias("n_chars"))
+
+
 def ragged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers from lines with too few and too many cells, as typed rows."""
     (path,) = list_csv(spark, staging.ragged_folder(spark, sf_dir))
@@ -177,5 +187,6 @@ QUERIES: dict[str, Query] = {
     "csv_load_audit": load_audit,
     "csv_bad_values": bad_values,
     "csv_text_load": loaded_texts,
+    "csv_split_records": split_texts,
     "csv_typed_scan": ragged_scan,
 }
