@@ -5,11 +5,12 @@ import itertools
 import pytest
 from pyspark.errors import AnalysisException
 
-from tradewind.sources import load
+from tradewind.sources import publish
 from tradewind.sources.csv_files import has_quoted_line_breaks, scan_csv
 from tradewind.sources.declared import declared_schemas
 from tradewind.sources.infer import create_tables, infer_directory
 from tradewind.sources.load import audit_totals, ingest_directory, load_csv, load_directory
+from tradewind.sources.publish import recover_database, sweep
 
 NAMES = (f"load_test_{n}" for n in itertools.count())
 BRANDS = "id,Name,Extra,is_active\n"
@@ -164,16 +165,103 @@ def test_only_plain_parquet_tables_are_refreshed(spark, db, tmp_path):
         assert audit.status == "failed" and "unpartitioned Parquet" in audit.detail
 
 
-def test_a_failed_publish_keeps_table_and_rejects(spark, db, tmp_path, monkeypatch):
-    load_csv(spark, put(tmp_path, "brands.csv", BRANDS + "1,b,e,t\nx,c,e,t\n"), db, "quarantine")
+OLD = BRANDS + "1,b,e,t\nx,c,e,t\n"
+NEW = {"other rejects": "id,name,more\n2,b,e\ny,c,e\nz,d,e\n", "no rejects": BRANDS + "2,b,e,t\n"}
+
+
+def state(spark, db):
+    """Rows of the table and of its rejects, with their columns."""
+    rejects = spark.table(f"{db}.brands_rejects") if spark.catalog.tableExists(f"{db}.brands_rejects") else None
+    return ids(spark, f"{db}.brands"), rejects and (rejects.columns, sorted(r.id for r in rejects.collect()))
+
+
+class Crash(BaseException):
+    """The end of the process, which nothing handles."""
+
+
+def break_off(monkeypatch, step, error, before):
+    """Let the publication fail at one of its steps; returns the list of steps that were begun."""
+    begun = []
+    for name in ("_run", "_put", "_delete"):
+        def work(*args, real=getattr(publish, name)):
+            begun.append(real.__name__)
+            if len(begun) == step and before:
+                raise error
+            real(*args)
+            if len(begun) == step:
+                raise error
+        monkeypatch.setattr(publish, name, work)
+    return begun
+
+
+def start_over(spark, db, tmp_path):
+    load_csv(spark, put(tmp_path, "brands.csv", OLD), db, "quarantine")
+    assert state(spark, db) == ([1], (["id", "name", "extra", "is_active", "bad_columns"], ["x"]))
+
+
+@pytest.mark.parametrize("kind, before", [("other rejects", True), ("other rejects", False), ("no rejects", False)])
+def test_a_load_that_breaks_off_leaves_both_tables_old_or_new(spark, db, tmp_path, monkeypatch, kind, before):
+    new = ([2], (["id", "name", "more", "bad_columns"], ["y", "z"]) if kind == "other rejects" else None)
+    start_over(spark, db, tmp_path)
+    old, outcomes = state(spark, db), []
+    for step in itertools.count(1):
+        path = put(tmp_path, "brands.csv", NEW[kind])
+        with monkeypatch.context() as patch:
+            begun = break_off(patch, step, Crash(), before)
+            try:
+                load_csv(spark, path, db, "quarantine")
+            except Crash:
+                pass
+            ended = len(begun) < step
+        recover_database(spark, db)
+        assert state(spark, db) in (old, new) and sweep(spark, db) == []
+        outcomes.append(state(spark, db) == new)
+        if ended:
+            break
+        start_over(spark, db, tmp_path)
+    # Old up to the commit, new from there on.
+    assert outcomes == sorted(outcomes) and not outcomes[0] and outcomes[-1] and len(outcomes) > 7
+    left = [p.name for p in (tmp_path / db / "_loads").iterdir() if not p.name.startswith(".")]
+    assert len(left) == (2 if kind == "other rejects" else 1) and not [n for n in left if "json" in n]
+
+
+@pytest.mark.parametrize("step", range(1, 6))
+def test_an_error_while_publishing_keeps_table_and_rejects(spark, db, tmp_path, monkeypatch, step):
+    start_over(spark, db, tmp_path)
+    old = state(spark, db)
+    with monkeypatch.context() as patch:
+        break_off(patch, step, AnalysisException("no catalog"), True)
+        try:
+            failed = load_csv(spark, put(tmp_path, "brands.csv", NEW["other rejects"]), db, "quarantine").status != "loaded"
+        except AnalysisException:
+            failed = True
+    recover_database(spark, db)
+    assert (state(spark, db) == old) == failed
+    assert load_csv(spark, put(tmp_path, "brands.csv", BRANDS + "7,b,e,t\n"), db, "quarantine").status == "loaded"
+    assert state(spark, db) == ([7], None) and sweep(spark, db) == []
+
+
+def test_a_committed_load_is_shown_by_the_next_recovery(spark, db, tmp_path):
+    start_over(spark, db, tmp_path)
+    assert load_csv(spark, put(tmp_path, "brands.csv", NEW["other rejects"]), db, "quarantine", publish=False).status == "committed"
+    assert ids(spark, f"{db}.brands") == [1]
+    assert [tuple(r) for r in recover_database(spark, db).collect()] == [("brands", "finished")]
+    assert ids(spark, f"{db}.brands") == [2] and spark.table(f"{db}.brands_rejects").count() == 2
+
+
+def test_stray_folders_are_swept(spark, db, tmp_path):
+    load_csv(spark, put(tmp_path, "brands.csv", OLD), db, "quarantine")
+    (tmp_path / db / "_loads" / "brands-left").mkdir()
+    assert sweep(spark, db) == ["brands-left"] and state(spark, db)[0] == [1]
 
-    def fails(self):
-        raise AnalysisException("no catalog")
 
-    monkeypatch.setattr(load._Refresh, "publish", fails)
-    with pytest.raises(AnalysisException):
-        load_csv(spark, put(tmp_path, "brands.csv", BRANDS + "2,b,e,t\n"), db, "quarantine")
-    assert ids(spark, f"{db}.brands") == [1] and spark.table(f"{db}.brands_rejects").count() == 1
+def test_a_folder_with_a_quote_in_its_name(spark, tmp_path):
+    name, folder = next(NAMES), tmp_path / "it's"
+    spark.sql(f'CREATE DATABASE {name} LOCATION "{folder}"')
+    create_tables(spark, name, {"brands": declared_schemas()["brands"]})
+    for text in (OLD, NEW["other rejects"], OLD):
+        assert load_csv(spark, put(tmp_path, "brands.csv", text), name, "quarantine").status == "loaded"
+    assert state(spark, name)[0] == [1]
 
 
 def test_an_unreadable_header_fails_its_source_only(spark, db, tmp_path):

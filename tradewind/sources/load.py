@@ -4,22 +4,18 @@ from __future__ import annotations
 
 import csv
 import time
-import uuid
 from collections.abc import Callable
 from dataclasses import astuple, dataclass, field
 from itertools import chain
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.functions.cells import stripped, typed
-from tradewind.sources.csv_files import (
-    CsvScan, for_each_source, hadoop_path, list_csv, scan_csv, table_name,
-)
+from tradewind.sources.csv_files import CsvScan, for_each_source, list_csv, scan_csv, table_name
 from tradewind.sources.infer import create_tables, infer_schema, qualified
+from tradewind.sources.publish import SPARK_ERRORS, Change, Content, Publication, details, has_mark, recover, recover_database
 
 REJECTS_SUFFIX = "_rejects"
 # Property of the tables of rejects; a table without it is never touched as one.
@@ -29,7 +25,6 @@ BAD = "bad_columns"
 TYPED = "typed "
 
 # What a failed query or job raises, and what an unreadable header does.
-SPARK_ERRORS = (PySparkException, Py4JJavaError)
 SOURCE_ERRORS = (*SPARK_ERRORS, csv.Error)
 
 AUDIT_SCHEMA = (
@@ -42,7 +37,7 @@ class Audit:
     """What happened to one CSV source.
 
     ``status`` is loaded, rejected (bad values, table unchanged), failed (error, table unchanged),
-    skipped_no_table, skipped_empty or skipped_no_columns. ``detail`` has the reason of a failure, or
+    skipped_no_table, skipped_empty or skipped_no_columns; committed is one that is not shown yet. ``detail`` has the reason of a failure, or
     says that quoted line breaks kept the source's files from being split.
     """
 
@@ -95,100 +90,54 @@ def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType,
     return spark.createDataFrame([], schema) if scan is None else conform(scan.rows, schema)
 
 
-def _details(spark: SparkSession, table: str) -> dict[str, str]:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()  # a row per column and property
-    return {row["col_name"]: row["data_type"] for row in rows}
-
-
 def _holds_rejects(spark: SparkSession, table: str) -> bool:
-    return not spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == REJECTS_MARK).isEmpty()
+    return has_mark(spark, table, REJECTS_MARK)
 
 
 def _obstacle(spark: SparkSession, table: str) -> str:
     """Why a table cannot be refreshed; empty if it can."""
     if _holds_rejects(spark, table):
         return f"{table} holds the rejects of another source"
-    details = _details(spark, table)
-    if details.get("Provider", "").lower() != "parquet" or "# Partition Information" in details:
+    found = details(spark, table)
+    if found.get("Provider", "").lower() != "parquet" or "# Partition Information" in found:
         return f"{table} is not an unpartitioned Parquet table"
     return ""
 
 
-def _discard(spark: SparkSession, path: str) -> None:
-    target, fs = hadoop_path(spark, path)
-    fs.delete(target, True)
-
-
-class _Refresh:
-    """A table's next content, written beside the current one and shown by one catalog change.
-
-    Queries planned before that change read the old files, which go with it; a failed or rejected
-    load leaves table and files in place.
-    """
-
-    FOLDER = "_loads"
-
-    def __init__(self, spark: SparkSession, database: str, table: str):
-        self.spark, self.table = spark, qualified(database, table)
-        root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
-        self.path = f"{root}/{self.FOLDER}/{table}-{uuid.uuid4().hex}"
-        self.first = f"{root}/{table.lower()}"
-
-    def write(self, rows: DataFrame) -> None:
-        rows.write.parquet(self.path)
-
-    def publish(self) -> None:
-        previous = _details(self.spark, self.table)
-        try:
-            self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{self.path}'")
-        except SPARK_ERRORS:
-            self.abandon()
-            raise
-        self.spark.catalog.refreshTable(self.table)
-        location = previous["Location"].rstrip("/")
-        if f"/{self.FOLDER}/" in location or (previous.get("Type") == "MANAGED" and location == self.first):
-            _discard(self.spark, location)
-
-    def abandon(self) -> None:
-        _discard(self.spark, self.path)
-
-
-def _drop_rejects(spark: SparkSession, rejects: str) -> None:
-    if spark.catalog.tableExists(rejects) and _holds_rejects(spark, rejects):
-        spark.sql(f"DROP TABLE {rejects}")
-
-
-def _publish_rejects(refresh: _Refresh, database: str, table: str, schema: T.StructType) -> None:
-    """Show the rejects of a table; its columns are those of the source, so it is made anew."""
-    spark = refresh.spark
-    _drop_rejects(spark, refresh.table)
-    create_tables(spark, database, {table: schema})
-    spark.sql(f"ALTER TABLE {refresh.table} SET TBLPROPERTIES ('{REJECTS_MARK}' = 'true')")
-    refresh.publish()
+def _rejects_change(spark: SparkSession, table: str, path: str, kept: DataFrame | None) -> Change:
+    """The table of rejects before and after a load; its columns are those of the source, so it is made anew."""
+    before = None
+    if spark.catalog.tableExists(table) and _holds_rejects(spark, table):
+        before = Content(details(spark, table)["Location"], spark.table(table).schema.json(), REJECTS_MARK)
+    after = None if kept is None else Content(path, kept.schema.json(), REJECTS_MARK)
+    return Change(table, before, after, made=True)
 
 
 def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "reject",
-             multiline: bool | None = None, scan: CsvScan | None = None) -> Audit:
+             multiline: bool | None = None, scan: CsvScan | None = None, publish: bool = True) -> Audit:
     """Replace a table's rows by a CSV source, matching columns by normalised name.
 
     ``on_error="reject"`` refuses the whole source when any value does not fit its column;
     ``"quarantine"`` loads the good rows and keeps the bad ones, as text with the names of the bad
     columns, in ``<table>_rejects``, a table of that name that the loader did not make being an error. The
     source is parsed once: rows and bad rows are counted while
-    the typed rows are written. Only a source with bad rows is read again to keep them. Pass
-    ``scan`` when the source was scanned before.
+    the typed rows are written. Only a source with bad rows is read again to keep them. Table and rejects change
+    together (see ``publish``); a load of the table that was broken off is ended first. Pass ``scan`` when the source was
+    scanned before, and ``publish=False`` to commit the load but leave the showing to ``publish.recover``.
     """
     if on_error not in ("reject", "quarantine"):
         raise ValueError(f"unknown on_error {on_error!r}")
     table = table_name(path)
-    if not spark.catalog.tableExists(qualified(database, table)):
+    target = qualified(database, table)
+    if not spark.catalog.tableExists(target):
         return Audit(table, "skipped_no_table")
-    if obstacle := _obstacle(spark, qualified(database, table)):
+    if obstacle := _obstacle(spark, target):
         return Audit(table, "failed", detail=obstacle)
+    recover(spark, database, table)
     scan = scan or scan_csv(spark, path, multiline)
     if scan is None:
         return Audit(table, "skipped_empty")
-    schema = spark.table(qualified(database, table)).schema
+    schema = spark.table(target).schema
     unmatched = [raw for raw, name in zip(scan.header, scan.names) if name not in schema.names]
     if len(unmatched) == len(scan.header):
         return Audit(table, "skipped_no_columns", unmatched=unmatched)
@@ -198,37 +147,34 @@ def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "rej
     counts = Observation()
     counted = checked.observe(
         counts, F.count_if(~is_bad).alias("good"), F.count_if(is_bad).alias("bad"))
-    refresh, name = _Refresh(spark, database, table), table + REJECTS_SUFFIX
-    rejects, kept = _Refresh(spark, database, name), checked.filter(is_bad).select(*scan.names, BAD)
+    kept, rejects = checked.filter(is_bad).select(*scan.names, BAD), qualified(database, table + REJECTS_SUFFIX)
     detail = "quoted line breaks: each file is read by one task" if scan.multiline else ""
+    publication = Publication(spark, database, table)
     try:
-        refresh.write(counted.filter(~is_bad).select(*_typed_columns(schema)))
+        path, rejects_path = publication.begin(table, table + REJECTS_SUFFIX)
+        counted.filter(~is_bad).select(*_typed_columns(schema)).write.parquet(path)
         rejected = counts.get["bad"]
         if rejected and on_error == "reject":
-            refresh.abandon()
+            publication.undo()
             return Audit(table, "rejected", 0, rejected, unmatched, detail=detail)
         if rejected:
-            if spark.catalog.tableExists(rejects.table) and not _holds_rejects(spark, rejects.table):
-                refresh.abandon()
-                return Audit(table, "failed", detail=f"{rejects.table} is a table of its own")
-            rejects.write(kept)
-    except SPARK_ERRORS:
-        refresh.abandon()
-        rejects.abandon()
-        raise
-    try:
-        refresh.publish()
+            if spark.catalog.tableExists(rejects) and not _holds_rejects(spark, rejects):
+                publication.undo()
+                return Audit(table, "failed", detail=f"{rejects} is a table of its own")
+            kept.write.parquet(rejects_path)
+        before = Content(details(spark, target)["Location"])
+        changes = [Change(target, before, Content(path)), _rejects_change(spark, rejects, rejects_path, kept if rejected else None)]
     except SPARK_ERRORS:
-        rejects.abandon()
+        publication.undo()
         raise
-    if rejected:
-        _publish_rejects(rejects, database, name, kept.schema)
-    else:
-        _drop_rejects(spark, rejects.table)
+    if not publish:
+        publication.commit(changes)
+        return Audit(table, "committed", counts.get["good"], rejected, unmatched, detail=detail)
+    publication.publish(changes)
     return Audit(table, "loaded", counts.get["good"], rejected, unmatched, detail=detail)
 
 
-def _load_each(spark: SparkSession, folder: str, load: Callable[[str], Audit]) -> DataFrame:
+def _load_each(spark: SparkSession, folder: str, database: str, load: Callable[[str], Audit]) -> DataFrame:
     def audited(path: str) -> tuple:
         started = time.monotonic()
         try:
@@ -238,6 +184,7 @@ def _load_each(spark: SparkSession, folder: str, load: Callable[[str], Audit]) -
         audit.seconds = time.monotonic() - started
         return astuple(audit)
 
+    recover_database(spark, database)
     # Sources of the same table, and of a table and its rejects, stay in order; others run side by side.
     by_table: dict[str, list[str]] = {}
     for path in list_csv(spark, folder):
@@ -250,7 +197,7 @@ def load_directory(spark: SparkSession, folder: str, database: str, on_error: st
                    multiline: bool | None = None) -> DataFrame:
     """Load every CSV source of a folder; one audit row per source. An error fails only its source."""
     return _load_each(
-        spark, folder, lambda path: load_csv(spark, path, database, on_error, multiline))
+        spark, folder, database, lambda path: load_csv(spark, path, database, on_error, multiline))
 
 
 def ingest_directory(spark: SparkSession, folder: str, database: str, on_error: str = "reject",
@@ -269,7 +216,7 @@ def ingest_directory(spark: SparkSession, folder: str, database: str, on_error:
             create_tables(spark, database, {table: infer_schema(scan.rows, scan.names, lattice)})
         return load_csv(spark, path, database, on_error, scan=scan)
 
-    return _load_each(spark, folder, ingest)
+    return _load_each(spark, folder, database, ingest)
 
 
 def audit_totals(audit: DataFrame) -> DataFrame:

@@ -288,6 +288,10 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN lang END AS lang,
                'say "' || text || '", then' || chr(10) || 'stop' AS text, n_chars
         FROM documents""",
+    "csv_interrupted_load": """
+        SELECT 'committed' AS moment, CASE WHEN c_acctbal >= 0 THEN 'loaded' ELSE 'rejected' END AS outcome, c_custkey FROM customer
+        UNION ALL
+        SELECT 'recovered', CASE WHEN c_acctbal <= 0 THEN 'loaded' ELSE 'rejected' END, c_custkey FROM customer""",
     "csv_split_records": """
         SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN lang END AS lang,
                'say "' || text || '", then' || chr(10) || 'stop' AS text, n_chars

@@ -11,11 +11,13 @@ from pyspark.sql import types as T
 
 from tradewind.functions.calendar import calendar_dim
 from tradewind.functions.names import normalize_columns
+from tradewind.operators.lineage import written
 from tradewind.plans import customers, demand, orders, recommend, sales
 from tradewind.sources import star
 from tradewind.sources.csv_files import list_csv
 from tradewind.sources.infer import column_types
 from tradewind.sources.load import ingest_directory, load_csv, load_directory, read_typed_csv
+from tradewind.sources.publish import recover_database
 from tradewind.sources.records import split_rows
 from tradewind.workload import staging
 
@@ -126,6 +128,28 @@ def loaded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.documents")
 
 
+def interrupted_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and their rejects while a second load is committed but not shown, and after its recovery."""
+    database = staging.new_database(spark, {"customer": staging.TARGETS["customer"]})
+
+    def load(sign: int, publish: bool) -> None:
+        (path,) = list_csv(spark, staging.ledger_folder(spark, sf_dir, sign))
+        load_csv(spark, path, database, on_error="quarantine", publish=publish)
+
+    def seen(moment: str) -> DataFrame:
+        tables = {"loaded": "customer", "rejected": "customer_rejects"}
+        rows = [spark.table(f"{database}.{table}").select(
+            F.lit(moment).alias("moment"), F.lit(outcome).alias("outcome"), F.col("c_custkey").cast("long").alias("c_custkey"))
+            for outcome, table in tables.items()]
+        return written(reduce(DataFrame.unionByName, rows), "seen")  # the files change with the next load
+
+    load(1, True)
+    load(-1, False)
+    before = seen("committed")
+    recover_database(spark, database)
+    return before.unionByName(seen("recovered"))
+
+
 def split_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents through CSV, whose records go over line breaks, read in splits and put together again."""
     (path,) = list_csv(spark, staging.text_folder(spark, sf_dir))
@@ -187,6 +211,7 @@ QUERIES: dict[str, Query] = {
     "csv_load_audit": load_audit,
     "csv_bad_values": bad_values,
     "csv_text_load": loaded_texts,
+    "csv_interrupted_load": interrupted_load,
     "csv_split_records": split_texts,
     "csv_typed_scan": ragged_scan,
 }

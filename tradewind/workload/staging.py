@@ -54,11 +54,11 @@ def orders_folder(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
-def ledger_folder(spark: SparkSession, sf_dir: str) -> str:
-    """The customers as a CSV folder, negative balances in parentheses."""
+def ledger_folder(spark: SparkSession, sf_dir: str, sign: int = 1) -> str:
+    """The customers as a CSV folder, their balances times ``sign``, negative ones in parentheses."""
     folder = scratch_path(spark, "csv")
     customer = read_table(spark, sf_dir, "customer")
-    write_csv(customer.withColumn("c_acctbal", accounting(F.col("c_acctbal"))), folder, "customer")
+    write_csv(customer.withColumn("c_acctbal", accounting(F.col("c_acctbal") * sign)), folder, "customer")
     return folder
 
 
