@@ -1,7 +1,9 @@
-"""Schema inference: one distributed aggregation per table."""
+"""Schema inference: one distributed aggregation for all sources."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,25 +14,43 @@ from tradewind.functions.cells import (
 from tradewind.functions.names import normalize_header
 from tradewind.sources.csv_files import for_each_source, list_csv, scan_csv, table_name, write_text
 
+# Sources whose types are told by one job.
+SOURCES_PER_JOB = 32
 MAX_PRECISION = 38
 # Decimals up to this precision are stored as a long.
 COMPACT_PRECISION = 18
 
 
-def profile(rows: DataFrame) -> DataFrame:
-    """``(position, seen, int_digits, frac_digits)`` per column of a DataFrame of strings.
+def _met(sources: list[DataFrame]) -> DataFrame:
+    """All rows. Those of sources that few tasks read (files that are not cut) are dealt to all cores: telling the type of a
+    cell costs far more than moving it. Sources with enough splits stay where they are."""
+    tasks = sources[0].sparkSession.sparkContext.defaultParallelism
+    few = [2 * rows.rdd.getNumPartitions() <= tasks for rows in sources]
+    parts = [rows for rows, is_few in zip(sources, few) if not is_few]
+    if any(few):
+        # By number, as rows dealt in turn are sorted first.
+        rows = reduce(DataFrame.unionByName, [rows for rows, is_few in zip(sources, few) if is_few])
+        parts.append(rows.withColumn("at", F.monotonically_increasing_id()).repartition(tasks, "at").drop("at"))
+    return reduce(DataFrame.unionByName, parts)
+
 
-    ``seen`` has one bit per type rank found. Cells are unpivoted, so one compact expression serves
-    any number of columns, and aggregated on the map side: a task ships one row per column.
+def profile(sources: dict[str, DataFrame]) -> DataFrame:
+    """``(source, position, seen, int_digits, frac_digits)`` per column of DataFrames of strings.
+
+    ``seen`` has one bit per type rank found. The rows of all sources meet as arrays of cells and are unpivoted together, so one
+    compact piece of code, compiled once, serves any number of sources and columns, in one job. It is aggregated on the
+    map side: a task ships one row per column.
     """
-    cells = F.array(*[F.col(f"`{name}`") for name in rows.columns])
+    arrays = [
+        rows.select(F.lit(source).alias("source"), F.array(*[F.col(f"`{name}`") for name in rows.columns]).alias("cells"))
+        for source, rows in sources.items()]
     value = F.col("value")
     numeric = F.col("kind").isin(*[TYPE_RANK[t] for t in ("NUMERIC", "BIGINT", "INTEGER")])
     return (
-        rows.select(F.posexplode(cells).alias("position", "cell"))
-        .select("position", stripped(F.col("cell")).alias("value"))
-        .select("position", "value", type_rank(value).alias("kind"))
-        .groupBy("position")
+        _met(arrays).select("source", F.posexplode("cells").alias("position", "cell"))
+        .select("source", "position", stripped(F.col("cell")).alias("value"))
+        .select("source", "position", "value", type_rank(value).alias("kind"))
+        .groupBy("source", "position")
         .agg(
             F.bit_or(F.expr("shiftleft(1, kind)")).alias("seen"),
             F.max(F.when(numeric, integer_digits(value))).alias("int_digits"),
@@ -66,16 +86,16 @@ def merged_type(seen: Column, lattice: str = "rank") -> Column:
     )
 
 
-def column_types(rows: DataFrame, names: list[str] | None = None,
+def column_types(sources: dict[str, DataFrame], names: dict[str, list[str]] | None = None,
                  lattice: str = "rank") -> DataFrame:
-    """``(position, column_name, type, int_digits, frac_digits)``, one row per column."""
-    names = names or normalize_header(rows.columns)
-    columns = rows.sparkSession.range(len(names)).select(
-        F.col("id").cast("int").alias("position"),
-        F.element_at(F.array(*map(F.lit, names)), F.col("id").cast("int") + 1).alias("column_name"))
-    return columns.join(profile(rows), "position", "left").select(
-        "position", "column_name", merged_type(F.col("seen"), lattice).alias("type"),
-        "int_digits", "frac_digits")
+    """``(source, position, column_name, type, int_digits, frac_digits)``, one row per column of each source."""
+    names = names or {source: normalize_header(rows.columns) for source, rows in sources.items()}
+    spark = next(iter(sources.values())).sparkSession
+    columns = spark.createDataFrame(
+        [(source, position, name) for source, of in names.items() for position, name in enumerate(of)],
+        "source string, position int, column_name string")
+    return columns.join(profile(sources), ["source", "position"], "left").select(
+        "source", "position", "column_name", merged_type(F.col("seen"), lattice).alias("type"), "int_digits", "frac_digits")
 
 
 def _spark_type(kind: str, int_digits: int | None, frac_digits: int | None) -> T.DataType:
@@ -91,25 +111,35 @@ def _spark_type(kind: str, int_digits: int | None, frac_digits: int | None) -> T
     }[kind]
 
 
+def infer_schemas(sources: dict[str, DataFrame], names: dict[str, list[str]] | None = None,
+                  lattice: str = "rank") -> dict[str, T.StructType]:
+    """The typed schemas of DataFrames of strings, some of them at a time in one job. Collects one row per column."""
+    found: dict[str, T.StructType] = {}
+    keys = list(sources)
+    for start in range(0, len(keys), SOURCES_PER_JOB):
+        some = {key: sources[key] for key in keys[start:start + SOURCES_PER_JOB]}
+        rows = sorted(column_types(some, names and {key: names[key] for key in some}, lattice).collect())
+        for key in some:
+            found[key] = T.StructType([
+                T.StructField(c.column_name, _spark_type(c.type, c.int_digits, c.frac_digits)) for c in rows if c.source == key])
+    return found
+
+
 def infer_schema(rows: DataFrame, names: list[str] | None = None,
                  lattice: str = "rank") -> T.StructType:
-    """The typed schema of a DataFrame of strings. Collects one row per column."""
-    found = sorted(column_types(rows, names, lattice).collect())
-    return T.StructType([
-        T.StructField(c.column_name, _spark_type(c.type, c.int_digits, c.frac_digits))
-        for c in found])
+    """The typed schema of one DataFrame of strings."""
+    return infer_schemas({"": rows}, names and {"": names}, lattice)[""]
 
 
 def infer_directory(spark: SparkSession, folder: str, lattice: str = "rank",
                     multiline: bool | None = None) -> dict[str, T.StructType]:
-    """Schemas of all CSV sources in a folder by table name. Empty files are left out."""
-
-    def infer(path: str) -> tuple[str, T.StructType | None]:
-        scan = scan_csv(spark, path, multiline)
-        return table_name(path), scan and infer_schema(scan.rows, scan.names, lattice)
-
-    found = for_each_source(infer, list_csv(spark, folder))
-    return {table: schema for table, schema in found if schema is not None}
+    """Schemas of all CSV sources in a folder by table name; of sources with one name the last. Empty files are left out."""
+    paths = list_csv(spark, folder)
+    scans = {path: scan for path, scan in zip(paths, for_each_source(lambda p: scan_csv(spark, p, multiline), paths)) if scan}
+    if not scans:
+        return {}
+    schemas = infer_schemas({p: s.rows for p, s in scans.items()}, {p: s.names for p, s in scans.items()}, lattice)
+    return {table_name(path): schema for path, schema in schemas.items()}
 
 
 def qualified(database: str, table: str) -> str:

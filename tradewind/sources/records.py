@@ -162,7 +162,7 @@ def split_rows(spark: SparkSession, path: str, header: list[str], names: list[st
     if not regular:
         return None
     records = _records(written(_parts(lines, starts), "csv-record-parts")).filter("text != ''")
-    heads = records.groupBy("file").agg(F.min(F.struct("block", "first", "text")).alias("head")).select("file", "head.*")
+    heads = written(records.groupBy("file").agg(F.min(F.struct("block", "first", "text")).alias("head")).select("file", "head.*"), "csv-heads")
     if check_header:
         found = F.from_csv("text", _fields([f"c{k}" for k in range(len(header) + 1)]), options)
         cells = F.array(*[F.lower(found[f"c{k}"]) for k in range(len(header) + 1)])

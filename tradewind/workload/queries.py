@@ -63,11 +63,8 @@ def _similar(t: star.Retail) -> DataFrame:
 
 def infer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inferred types of the tables' columns, every cell taken as text."""
-    found = [
-        column_types(staging.as_text(star.read_table(spark, sf_dir, table)))
-        .select(F.lit(table).alias("table_name"), "column_name", "type")
-        for table in INFERRED_TABLES]
-    return reduce(DataFrame.unionByName, found)
+    tables = {table: staging.as_text(star.read_table(spark, sf_dir, table)) for table in INFERRED_TABLES}
+    return column_types(tables).select(F.col("source").alias("table_name"), "column_name", "type")
 
 
 def renamed_part(spark: SparkSession, sf_dir: str) -> DataFrame:
