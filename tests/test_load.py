@@ -4,12 +4,13 @@ import itertools
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tradewind.sources import publish
 from tradewind.sources.csv_files import has_quoted_line_breaks, scan_csv
 from tradewind.sources.declared import declared_schemas
 from tradewind.sources.infer import create_tables, infer_directory
-from tradewind.sources.load import audit_totals, ingest_directory, load_csv, load_directory
+from tradewind.sources.load import Layout, audit_totals, ingest_directory, load_csv, load_directory
 from tradewind.sources.publish import recover_database, sweep
 
 NAMES = (f"load_test_{n}" for n in itertools.count())
@@ -282,3 +283,34 @@ def test_stray_quotes_do_not_keep_a_file_whole(spark, tmp_path):
 def test_the_audit_tells_of_line_breaks(spark, db, tmp_path):
     audit = load_csv(spark, put(tmp_path, "brands.csv", BRANDS + '1,"a\nb",e,t\n'), db)
     assert audit.status == "loaded" and "one task" in audit.detail
+
+
+def rows_read(df):
+    """Rows that the scan of a query returned."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan
+    while not plan.nodeName().startswith("Scan"):
+        plan = plan.children().head()
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_filters_skip_files_of_a_laid_out_table(spark, db, tmp_path):
+    lines = "".join(f"{k * 7919 % 4000},{k}.00\n" for k in range(4000))
+    path = put(tmp_path, "orders.csv", "id,total\n" + lines + "x,1\n")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one file
+    try:
+        read = {}
+        for name, layout in (("as read", None), ("sorted", Layout(("id",))), ("found", Layout(("total",), ("id",)))):
+            audit = load_csv(spark, path, db, "quarantine", layout=layout)
+            assert (audit.status, audit.rows_loaded, audit.rows_rejected) == ("loaded", 4000, 1)
+            table = spark.table(f"{db}.orders")
+            assert table.schema == declared_schemas()["orders"] and table.agg(F.count_distinct("id")).first()[0] == 4000
+            read[name] = [rows_read(table.filter(f)) for f in ("id >= 1000 AND id < 1200", "id = 77")]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert read["as read"] == [4000, 4000] and max(read["sorted"]) < 1100 and read["found"][1] < 2000
+    assert sweep(spark, db) == []
+    assert load_csv(spark, path, db, layout=Layout(("other",))).status == "failed"
+    audit = load_directory(spark, str(tmp_path / "in"), db, "quarantine", layouts={"orders": Layout(("id",))})
+    assert [r.status for r in audit.collect()] == ["loaded"]

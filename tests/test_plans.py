@@ -58,3 +58,7 @@ def test_groups_are_limited_before_the_shuffle(plan):
 def test_basket_cells_are_their_own_shuffle(plan):
     assert re.search(r"hashpartitioning\(customer_id#\d+L, r#\d+L, c#\d+L, \d+\), REPARTITION_BY_NUM",
                      plan("item_cosine"))
+
+
+def test_two_distinct_counts_do_not_double_the_pairs(plan):
+    assert "Expand" not in plan("matrix_shape")

@@ -50,10 +50,15 @@ def known_pairs(bought: DataFrame) -> DataFrame:
 
 
 def matrix_shape(bought: DataFrame) -> DataFrame:
-    """Rows and columns of the customer x product matrix."""
-    return known_pairs(bought).agg(
-        F.count_distinct("customer_id").alias("customers"),
-        F.count_distinct("product_id").alias("products"))
+    """Rows and columns of the customer x product matrix.
+
+    Two counts of their own: two distinct counts in one aggregation would double every pair before the shuffle.
+    """
+    pairs = written(known_pairs(bought), "pairs")
+    customers, products = (
+        pairs.select(c).filter(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1))) for c in ("customer_id", "product_id"))
+    return bought.sparkSession.range(1).select(
+        customers.scalar().alias("customers"), products.scalar().alias("products"))
 
 
 def _cosine(shared: Column, norm: Column) -> Column:

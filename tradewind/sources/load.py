@@ -113,8 +113,30 @@ def _rejects_change(spark: SparkSession, table: str, path: str, kept: DataFrame
     return Change(table, before, after, made=True)
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How a table's files are ordered, so that filters skip most of them.
+
+    Files hold ranges of the ``sort_by`` columns and are sorted by them, so the smallest and largest values in their footers
+    tell whether a filter on the first of these columns, by range or by value, can match. ``find_by`` columns get Bloom
+    filters, for looking up single values.
+    """
+
+    sort_by: tuple[str, ...] = ()
+    find_by: tuple[str, ...] = ()
+
+
+def _write_laid_out(rows: DataFrame, layout: Layout, path: str) -> None:
+    if layout.sort_by:
+        columns = [F.col(f"`{name}`") for name in layout.sort_by]
+        rows = rows.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    blooms = {f"parquet.bloom.filter.enabled#{name}": "true" for name in layout.find_by}
+    rows.write.options(**blooms).parquet(path)
+
+
 def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "reject",
-             multiline: bool | None = None, scan: CsvScan | None = None, publish: bool = True) -> Audit:
+             multiline: bool | None = None, scan: CsvScan | None = None, publish: bool = True,
+             layout: Layout | None = None) -> Audit:
     """Replace a table's rows by a CSV source, matching columns by normalised name.
 
     ``on_error="reject"`` refuses the whole source when any value does not fit its column;
@@ -123,7 +145,8 @@ def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "rej
     source is parsed once: rows and bad rows are counted while
     the typed rows are written. Only a source with bad rows is read again to keep them. Table and rejects change
     together (see ``publish``); a load of the table that was broken off is ended first. Pass ``scan`` when the source was
-    scanned before, and ``publish=False`` to commit the load but leave the showing to ``publish.recover``.
+    scanned before, and ``publish=False`` to commit the load but leave the showing to ``publish.recover``. With a
+    ``layout`` the rows are written a second time, in its order.
     """
     if on_error not in ("reject", "quarantine"):
         raise ValueError(f"unknown on_error {on_error!r}")
@@ -138,6 +161,8 @@ def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "rej
     if scan is None:
         return Audit(table, "skipped_empty")
     schema = spark.table(target).schema
+    if layout is not None and (other := [c for c in (*layout.sort_by, *layout.find_by) if c not in schema.names]):
+        return Audit(table, "failed", detail=f"{target} has no column {', '.join(other)} to be laid out by")
     unmatched = [raw for raw, name in zip(scan.header, scan.names) if name not in schema.names]
     if len(unmatched) == len(scan.header):
         return Audit(table, "skipped_no_columns", unmatched=unmatched)
@@ -151,8 +176,9 @@ def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "rej
     detail = "quoted line breaks: each file is read by one task" if scan.multiline else ""
     publication = Publication(spark, database, table)
     try:
-        path, rejects_path = publication.begin(table, table + REJECTS_SUFFIX)
-        counted.filter(~is_bad).select(*_typed_columns(schema)).write.parquet(path)
+        path, rejects_path, unsorted = publication.begin(table, table + REJECTS_SUFFIX, f"{table}-unsorted")
+        # A range partitioning reads its rows twice, to sample them first, so rows are parsed and counted before.
+        counted.filter(~is_bad).select(*_typed_columns(schema)).write.parquet(path if layout is None else unsorted)
         rejected = counts.get["bad"]
         if rejected and on_error == "reject":
             publication.undo()
@@ -162,6 +188,8 @@ def load_csv(spark: SparkSession, path: str, database: str, on_error: str = "rej
                 publication.undo()
                 return Audit(table, "failed", detail=f"{rejects} is a table of its own")
             kept.write.parquet(rejects_path)
+        if layout is not None:
+            _write_laid_out(spark.read.schema(schema).parquet(unsorted), layout, path)
         before = Content(details(spark, target)["Location"])
         changes = [Change(target, before, Content(path)), _rejects_change(spark, rejects, rejects_path, kept if rejected else None)]
     except SPARK_ERRORS:
@@ -194,10 +222,11 @@ def _load_each(spark: SparkSession, folder: str, database: str, load: Callable[[
 
 
 def load_directory(spark: SparkSession, folder: str, database: str, on_error: str = "reject",
-                   multiline: bool | None = None) -> DataFrame:
-    """Load every CSV source of a folder; one audit row per source. An error fails only its source."""
-    return _load_each(
-        spark, folder, database, lambda path: load_csv(spark, path, database, on_error, multiline))
+                   multiline: bool | None = None, layouts: dict[str, Layout] | None = None) -> DataFrame:
+    """Load every CSV source of a folder; one audit row per source. An error fails only its source. ``layouts`` are by table
+    name."""
+    return _load_each(spark, folder, database, lambda path: load_csv(
+        spark, path, database, on_error, multiline, layout=(layouts or {}).get(table_name(path))))
 
 
 def ingest_directory(spark: SparkSession, folder: str, database: str, on_error: str = "reject",
