@@ -214,6 +214,9 @@ ORACLE: dict[str, str] = {
     "purchase_pairs": f"""
         SELECT DISTINCT o_custkey AS customer_id, p_partkey AS product_id, p_name AS product_name
         FROM {LINES} WHERE {VALID}""",
+    "purchase_pairs_query": f"""
+        SELECT DISTINCT o_custkey AS customer_id, p_partkey AS product_id, p_name AS product_name
+        FROM {LINES} WHERE {VALID}""",
     "product_names": f"""
         SELECT p_partkey AS product_id, MIN(p_name) AS product_name
         FROM {LINES} WHERE {VALID} GROUP BY p_partkey""",

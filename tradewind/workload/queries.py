@@ -18,6 +18,7 @@ from tradewind.sources.csv_files import list_csv
 from tradewind.sources.infer import column_types
 from tradewind.sources.load import ingest_directory, load_csv, load_directory, read_typed_csv
 from tradewind.sources.publish import recover_database
+from tradewind.sources.query import read_query
 from tradewind.sources.records import split_rows
 from tradewind.workload import staging
 
@@ -61,6 +62,17 @@ def _similar(t: star.Retail) -> DataFrame:
     return recommend.similar_products(bought, t.products, star.PRODUCT_NAME)
 
 
+def queried_pairs(t: star.Retail) -> DataFrame:
+    """Who bought what, as a query over the tables instead of a job."""
+    states = ", ".join(f"'{state}'" for state in VALID)
+    return read_query(
+        t.orders.sparkSession,
+        f"""SELECT DISTINCT o.customer_id, p.id AS product_id, p.name AS product_name
+            FROM {{orders}} o JOIN {{items}} i ON i.order_id = o.id JOIN {{variants}} v ON v.id = i.product_variant_id
+            JOIN {{products}} p ON p.id = v.product_id WHERE o.status IN ({states})""",
+        orders=t.orders, items=t.order_items, variants=t.product_variants, products=t.products)
+
+
 def infer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inferred types of the tables' columns, every cell taken as text."""
     tables = {table: staging.as_text(star.read_table(spark, sf_dir, table)) for table in INFERRED_TABLES}
@@ -194,6 +206,7 @@ QUERIES: dict[str, Query] = {
     "forecast_metrics": _retail(lambda t: demand.forecast_metrics(_monthly(t), star.CUTOFF)),
     # recommendation
     "purchase_pairs": _bought(recommend.purchase_pairs),
+    "purchase_pairs_query": _retail(queried_pairs),
     "product_names": _bought(recommend.product_names),
     "user_item_matrix": _bought(recommend.user_item_matrix),
     "matrix_shape": _bought(recommend.matrix_shape),
