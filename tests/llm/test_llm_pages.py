@@ -47,6 +47,15 @@ def test_warc_of_nothing(spark):
     assert index.count() == 0 and warc.read_records(index).count() == 0
 
 
+def test_reading_tasks_follow_the_archives_bytes(spark, monkeypatch):
+    pages = spark.range(400).selectExpr("id AS page_id", "concat('http://p.com/', id) AS url", "repeat(sha2(string(id), 512), 20) AS html")
+    index = warc.write_archives(pages)
+    size = index.selectExpr("sum(length)").first()[0]
+    monkeypatch.setattr(warc, "TASK_BYTES", size // 7)
+    records = warc.read_records(index)
+    assert records.select(F.spark_partition_id()).distinct().count() in (7, 8) and records.count() == 400
+
+
 def test_ranges_are_joined_up_to_their_limits():
     rows = [("a", 0, 10), ("a", 10, 5), ("a", 15 + warc.GAP_BYTES, 5), ("a", 21 + 2 * warc.GAP_BYTES, 5), ("b", 0, 5),
             ("b", 5, warc.READ_BYTES), ("b", 5 + warc.READ_BYTES, 1)]

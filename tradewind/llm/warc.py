@@ -18,6 +18,7 @@ are not written.
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -34,6 +35,8 @@ from tradewind.session import scratch_path
 MIN_PAYLOAD = 1000
 # One read covers at most so many bytes (or one longer record), and gaps of at most so many.
 READ_BYTES, GAP_BYTES = 8 << 20, 64 << 10
+# Archive bytes that one task reads.
+TASK_BYTES = 16 << 20
 INDEX = pa.schema([
     ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("id", pa.int64()), ("url", pa.string()),
     ("digest", pa.string()), ("record_type", pa.string())])
@@ -181,9 +184,12 @@ def _read(batches: Iterator[pa.RecordBatch], with_payload: bool) -> Iterator[pa.
 def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
     """The records that ``index`` (or what is left of it) names, in no particular order. A revisit has
     the size and digest of the payload it refers to, but no payload. ``with_payload=False`` reads and
-    checks payloads without returning them."""
+    checks payloads without returning them. Tasks read some ``TASK_BYTES`` of archives each."""
     schema = "id long, url string, record_type string, refers_to long, digest string, payload_bytes long, payload binary"
+    wanted = index.select("file", "offset", "length")
+    # Given, because the index that is shuffled is far smaller than the archives that are read by it.
+    tasks = math.ceil((wanted.agg(F.sum("length")).first()[0] or 0) / TASK_BYTES)
     return (
-        index.select("file", "offset", "length").repartitionByRange("file", "offset")
+        wanted.repartitionByRange(max(1, tasks), "file", "offset")
         .sortWithinPartitions("file", "offset")
         .mapInArrow(lambda batches: _read(batches, with_payload), schema))
