@@ -40,7 +40,8 @@ def cut_lines(docs):
         gone = set()
         for at in range(len(counting) - 2):
             window = tuple(lines[k] for k in counting[at:at + 3])
-            if seen.setdefault(window, (id_, text, at)) != (id_, text, at):
+            owner, last = seen.setdefault(window, ((id_, text), at + 2))
+            if owner != (id_, text) or at > last:
                 gone.update(range(counting[at], counting[at + 2] + 1))
         out[id_, text] = None if text is None else "\n".join(line for k, line in enumerate(lines) if k not in gone)
     return [out[d] for d in docs]

@@ -95,6 +95,12 @@ def test_line_dedup(awkward, awkward_rows, nothing):
     assert lines.dedup_lines(nothing).count() == 0
 
 
+def test_line_dedup_keeps_the_first_occurrence_whole(spark):
+    brackets, seven = "}\n}\n}\n}\nsome other line here", "\n".join("x" * 7)
+    docs = spark.createDataFrame([(1, brackets), (2, seven), (3, "y\n}\n}\n}\nz")], "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in lines.dedup_lines(docs).collect()} == {1: brackets, 2: "x\nx\nx", 3: "y\nz"}
+
+
 def test_jaccard_join(awkward, awkward_rows, nothing):
     texts = [r[1] for r in awkward_rows]
     pairs = similar_pairs(texts)

@@ -2,8 +2,8 @@
 
 Every three consecutive lines that hold a word are a window. Windows that occur more than once anywhere
 are found by one aggregation over their hashes; the first occurrence, by document id and line, stays, and
-the lines that later ones cover (blank lines between them included) are cut from their documents. A later
-occurrence that overlaps the first one cuts the lines they share: of four equal lines one is left.
+the lines that later ones cover (blank lines between them included) are cut from their documents. What overlaps the first
+occurrence in its own document is not a later one, so four equal lines stay, and of seven the first three.
 
 Lines are compared exactly, windows by 128 bits of hash. Rows with equal id and text count as one document
 and are treated alike. Null ids come first. Null texts stay null, empty texts and texts of fewer than
@@ -52,12 +52,14 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text
         docs.select(column(id_column).alias("id"), F.xxhash64(column(text)).alias("version"),
                     F.explode(_windows(column(text).cast("string"), window)).alias("w"))
         .select("id", "version", "w.first", "w.last", "w.a", "w.b"), "windows")
-    place = F.struct("id", "version", "first")
+    place = F.struct("id", "version", "first", "last")
     owners = written(
         rows.groupBy("a", "b").agg(F.min(place).alias("owner"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1").drop("n"), "owners")
     # Both sides are read from files, so a hot window's partition can be split.
-    later = rows.join(owners, ["a", "b"]).filter(~place.eqNullSafe(F.col("owner")))
+    of = F.col("owner")
+    overlaps = F.col("id").eqNullSafe(of["id"]) & F.col("version").eqNullSafe(of["version"]) & (F.col("first") <= of["last"])
+    later = rows.join(owners, ["a", "b"]).filter(~overlaps)
     return later.groupBy("id", "version").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 

@@ -89,7 +89,8 @@ WITH l AS (
   FROM counting WINDOW o AS (PARTITION BY doc_id ORDER BY pos)
 ), later AS (
   SELECT doc_id, first, last FROM windows WHERE win IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id NULLS FIRST, first) > 1
+  WINDOW o AS (PARTITION BY win ORDER BY doc_id NULLS FIRST, first)
+  QUALIFY NOT (doc_id IS NOT DISTINCT FROM first_value(doc_id) OVER o AND first <= first_value(last) OVER o)
 ), covered AS (
   SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS pos FROM later
 ), kept AS (
