@@ -281,6 +281,20 @@ def test_whitening(spark, dim, count):
         assert np.allclose([by[k + 1][0]["explained"] for k in range(components)], expected[id_][0][3], rtol=1e-8)
 
 
+def test_whitening_query(spark):
+    """The registered query on its whole table."""
+    vectors = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
+    expected, found = expected_whitening(vectors), whitened(QUERIES["op13_whitening"](spark, SMALL))
+    assert found.keys() == expected.keys() and all(sorted(by) == list(range(1, 17)) for by in found.values())
+    for k in range(16):
+        ours = np.array([found[i][k + 1][0]["whitened"] for i in sorted(found)])
+        theirs = np.array([expected[i][0][2][k] for i in sorted(found)])
+        assert np.abs(ours - np.sign(ours @ theirs) * theirs).max() < 1e-8
+    for id_, by in found.items():
+        assert all((r["n"], r["deviation"]) == expected[id_][0][:2] and r["identity_error"] < 1e-4 for rows in by.values() for r in rows)
+        assert np.allclose([by[k + 1][0]["explained"] for k in range(16)], expected[id_][0][3], rtol=1e-8)
+
+
 def test_whitening_of_awkward_vectors(spark):
     some = [(k, [k / 3.0, (k * k) % 7 / 2.0, -k / 5.0]) for k in range(12)]
     other = [(100 + k, [float(k % 3), k / 64.0]) for k in range(9)]
