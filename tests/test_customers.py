@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import shop
@@ -42,6 +43,22 @@ def test_null_ticket_ranks_first_and_null_customer_drops(spark):
     assert [(r[0], r[3], r[4]) for r in rows] == [(1, None, 2), (2, Decimal("9.00"), 2)]
 
 
+def test_bits_and_distinct_rows_count_alike(spark):
+    """150 categories (three longs), repeated and unknown orders, lines without category, customers without lines."""
+    rng = random.Random(5)
+    orders = [(i % 190, rng.choice([None, *range(1, 12)]), rng.randrange(1, 500) / 100, "2024-01-01",
+               rng.choice(["paid", "paid", "open"])) for i in range(220)] + [(500, 50, 1, "2024-01-01"), (501, 51, 2, "2024-01-01")]
+    items = [(rng.randrange(200), 100 + rng.randrange(400), 1) for _ in range(3000)] + [(501, 100 + 400, 1), (None, 101, 1)]
+    goods = [(p, f"product {p}", 10_000_000 + 3 * (p % 150)) for p in range(400)] + [(400, "loose", None)]
+    data = shop.orders(spark, orders), shop.items(spark, items), *shop.catalog(spark, goods)
+    for least in (0, 1, 90, 120):
+        bits = jobs.elite_customers(*data, min_categories=least, top_n=100)
+        assert shop.tuples(bits) == shop.tuples(jobs.elite_customers(*data, min_categories=least, top_n=100, bit_categories=149))
+    assert {r[0]: r[4] for r in shop.tuples(jobs.elite_customers(*data, min_categories=0, top_n=100))}.get(51) == 0
+    empty = data[0], data[1], data[2], data[3].limit(0)
+    assert shop.tuples(jobs.elite_customers(*empty, min_categories=0)) == []
+
+
 def test_category_threshold(spark):
     orders = shop.orders(spark, [(1, 1, 9, "2024-01-01"), (2, 2, 5, "2024-01-01")])
     items = shop.items(spark, [(1, 101, 1), (2, 101, 1), (2, 102, 1)])

@@ -41,6 +41,13 @@ def test_filters_and_columns_reach_the_scan(plan):
     assert "o_orderdate" not in text and "TakeOrderedAndProject" in text
 
 
+def test_elite_reads_the_orders_once_and_meets_at_the_customer_once(plan):
+    text = plan("elite_customers", large=True)
+    assert len(re.findall(r"Arguments: hashpartitioning\(customer_id#\d+L?, \d+\)", text)) == 1
+    assert not re.search(r"hashpartitioning\(customer_id#\d+L?, [a-z]", text) and "Expand" not in text
+    assert len(re.findall(r"ReadSchema: struct<.*o_custkey", text)) == 1
+
+
 def test_counted_joins_do_not_shuffle_the_lines(plan):
     for name in ("elite_top_category", "product_lines"):
         text = plan(name, large=True)
