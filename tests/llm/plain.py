@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -106,3 +107,35 @@ def copies(rows):
         rate = wanted[source] / sizes[source] if sizes[source] else 0.0
         out.append(int(rate) + (draw(id_, text) < rate - int(rate)))
     return out
+
+
+def _log_softmax(scores):
+    top = max(scores)
+    total = top + math.log(sum(math.exp(x - top) for x in scores))
+    return [x - total for x in scores]
+
+
+def lm_log_prob(buckets, weights, classes, places, side, width, hidden):
+    """Sum of the log-probabilities of a text's words, given as buckets, one word after the other. ``weights``
+    lists embeddings (the last is the padding's), inner weights and bias, and those of classes and places."""
+    at, parts = 0, []
+    span = 2 * side * width
+    for size in ((classes * places + 1) * width, span * hidden, hidden, hidden * classes, classes,
+                 classes * hidden * places, classes * places):
+        parts.append([float(w) for w in weights[at:at + size]])
+        at += size
+    vectors, inner, inner_bias, to_class, class_bias, to_place, place_bias = parts
+    score = 0.0
+    for here, bucket in enumerate(buckets):
+        seen = []
+        for other in [*range(here - side, here), *range(here + 1, here + side + 1)]:
+            word = buckets[other] if 0 <= other < len(buckets) else classes * places
+            seen += vectors[word * width:(word + 1) * width]
+        state = [math.tanh(inner_bias[h] + sum(x * inner[k * hidden + h] for k, x in enumerate(seen))) for h in range(hidden)]
+        own, place = divmod(bucket, places)
+        score += _log_softmax([
+            class_bias[c] + sum(x * to_class[h * classes + c] for h, x in enumerate(state)) for c in range(classes)])[own]
+        score += _log_softmax([
+            place_bias[own * places + p] + sum(x * to_place[(own * hidden + h) * places + p] for h, x in enumerate(state))
+            for p in range(places)])[place]
+    return score

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from plain import base_numbers, copies, cut_lines, groups, keeps, similar_pairs, targets, words
+from plain import base_numbers, copies, cut_lines, groups, keeps, lm_log_prob, similar_pairs, targets, words
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -188,6 +188,24 @@ def test_lm_scores(awkward, awkward_rows, nothing):
     assert lm.score_documents(nothing, shape=shape)[0].count() == 0
 
 
+def test_lm_scores_word_by_word(awkward):
+    shape = lm.Shape(classes=4, places=8, width=3, hidden=5, batch=64, replica_words=500)
+    weights = lm.train(awkward, shape=shape)
+    short = awkward.filter("text IS NULL OR length(text) < 20000")
+    scored, name = lm.score_documents(short, awkward, shape=shape)
+    for row in scored.select("text", name).distinct().collect():
+        buckets = [int(word_hashes(w.encode())[0]) % shape.buckets for w in words(row["text"])]
+        one = lm_log_prob(buckets, weights, 4, 8, 2, 3, 5)
+        assert abs(row[name]["log_prob"] - one) <= 1e-4 * abs(one)
+
+
+def test_lm_shares_hold_all_texts(spark):
+    docs = spark.range(1000).selectExpr("CAST(CAST(id AS STRING) AS BINARY) AS text")
+    for tasks, rounds in ((1, 7), (3, 7), (16, 7), (7, 7), (5, 1)):
+        shares = [[r["text"] for r in s.collect()] for s in lm._shares(docs.repartition(tasks), rounds)]
+        assert len(shares) == rounds and sorted(x for s in shares for x in s) == sorted(str(k).encode() for k in range(1000))
+
+
 def test_lm_gradients():
     shape = lm.Shape(classes=3, places=4, width=2, hidden=3)
     random = np.random.default_rng(0)

@@ -104,58 +104,68 @@ def _examples(shape: Shape, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.stack([padded[k:k + len(words)] for k in offsets], axis=1), words
 
 
-def _softmax(logits: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-probability of each row's target, and the probabilities."""
-    logits -= logits.max(axis=1, keepdims=True)
-    picked = logits[np.arange(len(target)), target]
+def _softmax(logits: np.ndarray, target: np.ndarray, learn: bool) -> np.ndarray:
+    """Log-probability of each column's target; with ``learn`` the logits become the gradient of their sum,
+    with its sign turned."""
+    at = np.arange(len(target))
+    logits -= logits.max(axis=0)
+    picked = logits[target, at]
     np.exp(logits, out=logits)
-    total = logits.sum(axis=1, keepdims=True)
-    logits /= total
-    return picked - np.log(total[:, 0]), logits
+    total = logits.sum(axis=0)
+    if learn:
+        logits /= total
+        logits[target, at] -= 1
+    return picked - np.log(total)
 
 
 def _forward(shape: Shape, net: dict[str, np.ndarray], around: np.ndarray, words: np.ndarray,
              learn: dict[str, np.ndarray] | None = None) -> np.ndarray:
-    """Log-probability of each word; with ``learn`` also the gradients of their mean, written there."""
-    count = len(words)
-    inputs = net["embedding"][around].reshape(count, -1)
-    hidden = np.tanh(inputs @ net["inner"] + net["inner_bias"])
+    """Log-probability of each word; with ``learn`` also the gradients of their mean, written there.
+
+    Words are sorted by class, so that a class is a slice, and stand in columns, so that each step of a
+    softmax runs along the words.
+    """
+    count, learning = len(words), learn is not None
     class_, place = np.divmod(words, shape.places)
-    scores, by_class = _softmax(hidden @ net["to_class"] + net["class_bias"], class_)
-    scores = scores.astype(np.float64)
+    # The sort of small integers takes linear time.
+    order = np.argsort(class_.astype(np.uint16 if shape.classes > 256 else np.uint8), kind="stable")
+    around, class_, place = around[order], class_[order], place[order]
+    ends = np.searchsorted(class_, np.arange(shape.classes + 1))
+    inputs = net["embedding"].take(around, axis=0).reshape(count, -1)
+    hidden = np.tanh(net["inner"].T @ inputs.T + net["inner_bias"][:, None])
+    by_class = net["to_class"].T @ hidden + net["class_bias"][:, None]
+    scores = _softmax(by_class, class_, learning).astype(np.float64)
     back = None
-    if learn is not None:
-        by_class[np.arange(count), class_] -= 1
-        learn["to_class"][:] = hidden.T @ by_class
-        learn["class_bias"][:] = by_class.sum(axis=0)
-        back = by_class @ net["to_class"].T
-    order = np.argsort(class_, kind="stable")
-    ends = np.searchsorted(class_[order], np.arange(shape.classes + 1))
+    if learning:
+        learn["to_class"][:] = hidden @ by_class.T
+        learn["class_bias"][:] = by_class.sum(axis=1)
+        back = net["to_class"] @ by_class
     for c in range(shape.classes):
-        rows = order[ends[c]:ends[c + 1]]
-        if not len(rows):
-            if learn is not None:
+        rows = slice(ends[c], ends[c + 1])
+        seen = hidden[:, rows]
+        if not seen.shape[1]:
+            if learning:
                 learn["to_place"][c] = 0
                 learn["place_bias"][c] = 0
             continue
-        seen = hidden[rows]
-        gained, by_place = _softmax(seen @ net["to_place"][c] + net["place_bias"][c], place[rows])
-        scores[rows] += gained
-        if learn is not None:
-            by_place[np.arange(len(rows)), place[rows]] -= 1
-            learn["to_place"][c] = seen.T @ by_place
-            learn["place_bias"][c] = by_place.sum(axis=0)
-            back[rows] += by_place @ net["to_place"][c].T
-    if learn is not None:
+        by_place = net["to_place"][c].T @ seen + net["place_bias"][c][:, None]
+        scores[rows] += _softmax(by_place, place[rows], learning)
+        if learning:
+            learn["to_place"][c] = seen @ by_place.T
+            learn["place_bias"][c] = by_place.sum(axis=1)
+            back[:, rows] += net["to_place"][c] @ by_place
+    if learning:
         back *= 1 - hidden * hidden
-        learn["inner"][:] = inputs.T @ back
-        learn["inner_bias"][:] = back.sum(axis=0)
-        deep, at = (back @ net["inner"].T).reshape(-1, shape.width), around.reshape(-1)
+        learn["inner"][:] = inputs.T @ back.T
+        learn["inner_bias"][:] = back.sum(axis=1)
+        deep, at = (net["inner"] @ back).reshape(-1, shape.width, count), around.T.reshape(-1)
         for k in range(shape.width):
-            learn["embedding"][:, k] = np.bincount(at, weights=deep[:, k], minlength=shape.buckets + 1)
+            learn["embedding"][:, k] = np.bincount(at, weights=deep[:, k].reshape(-1), minlength=shape.buckets + 1)
         for gradient in learn.values():
             gradient /= count
-    return scores
+    out = np.empty(count)
+    out[order] = scores
+    return out
 
 
 class Replica:
@@ -242,12 +252,18 @@ def rounds_of(shape: Shape, words: int) -> int:
 
 
 def _shares(texts: DataFrame, rounds: int) -> Iterator[DataFrame]:
-    """The texts, dealt in turn to as many shares and written, so that a round reads its own only."""
+    """The texts, dealt to as many shares and written, so that a round reads its own only.
+
+    Tasks are dealt in turn, so each writes one file; only where there are fewer tasks than rounds, their rows
+    are dealt too.
+    """
     if rounds == 1:
         yield texts
         return
     spark, path = texts.sparkSession, scratch_path(texts.sparkSession, "lm-shares")
-    texts.withColumn("share", F.pmod(F.monotonically_increasing_id(), F.lit(rounds))).write.partitionBy("share").parquet(path)
+    each = ceil(rounds / max(1, texts.rdd.getNumPartitions()))
+    dealt = F.spark_partition_id() * each + F.pmod(F.monotonically_increasing_id(), F.lit(each))
+    texts.withColumn("share", F.pmod(dealt, F.lit(rounds))).write.partitionBy("share").parquet(path)
     for share in [r["share"] for r in spark.read.parquet(path).select("share").distinct().orderBy("share").collect()]:
         yield spark.read.schema("text binary").parquet(f"{path}/share={share}")
 
@@ -309,12 +325,13 @@ class Known:
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
         return at, self.words[at] == hashes
 
-    def gained(self, hashes: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-        """Log-probability of each word within its bucket, as if rare words had occurred once."""
+    def gained(self, hashes: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log-probability of each word within its bucket, as if rare words had occurred once, and which are
+        rare."""
         out = -self.totals[buckets]
         at, found = self.places(hashes)
         out[found] += self.logs[at[found]]
-        return out
+        return out, ~found
 
 
 def _known(counts: DataFrame, shape: Shape, common: int) -> tuple[Known, DataFrame, int]:
@@ -340,34 +357,6 @@ def _known(counts: DataFrame, shape: Shape, common: int) -> tuple[Known, DataFra
     return known, over_one.filter(F.col("step") < least), int(totals.sum())
 
 
-def _rare_sums(docs: DataFrame, counts: DataFrame, text: str, known) -> DataFrame:
-    """``(text, gained)``, written: hash of each text, and the sum of the log-counts of its words in ``counts``,
-    which are not among the broadcast ``known``."""
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, waiting = [], 0
-        for batch in batches:
-            for text, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                hashes = word_hashes(value.as_py())
-                words, n = np.unique(hashes[~known.value.places(hashes)[1]], return_counts=True)
-                held.append((np.full(len(words), text), words.view(np.int64), n))
-                waiting += len(words)
-                if waiting >= BLOCK:
-                    yield rows(held)
-                    held, waiting = [], 0
-        if waiting:
-            yield rows(held)
-
-    def rows(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict(dict(zip(("text", "word", "times"), (np.concatenate(p) for p in zip(*held)))))
-
-    body = column(text).cast("string")
-    found = docs.select(F.xxhash64(body).alias("text"), body.cast("binary").alias("body")).mapInArrow(
-        rare, "text long, word long, times long")
-    sums = found.join(counts, "word").groupBy("text").agg(F.sum(F.col("times") * F.log("n")).alias("gained"))
-    copies = docs.groupBy(F.xxhash64(body).alias("text")).agg(F.count(F.lit(1)).alias("copies"))
-    return written(sums.join(copies, "text").select("text", (F.col("gained") / F.col("copies")).alias("gained")), "rare-sums")
-
-
 def _held(shape: Shape, texts: pa.Array) -> Iterator[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]:
     """Examples of consecutive texts with the text's place and the words' hashes, several batches at a time."""
     held, waiting = [], 0
@@ -383,28 +372,76 @@ def _held(shape: Shape, texts: pa.Array) -> Iterator[list[tuple[np.ndarray, np.n
         yield held
 
 
-def log_probability(text: Column, weights, shape: Shape, known=None) -> Column:
-    """Number of words and the sum of their log-probabilities. ``weights`` is a broadcast network; with the
-    broadcast ``known`` words are told apart within their buckets."""
+def _scores(net: dict[str, np.ndarray], shape: Shape, texts: pa.Array,
+            known: Known | None = None) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
+    """Words of each text and the sum of their log-probabilities. With ``known`` words are told apart within
+    their buckets, and the different rare words of the texts follow: their text's place, hash and number."""
+    counts, sums, rare = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts)), []
+    for held in _held(shape, texts):
+        around, words, of, hashes = (np.concatenate(part) for part in zip(*held))
+        for at in range(0, len(words), shape.batch):
+            part = slice(at, at + shape.batch)
+            scores = _forward(shape, net, around[part], words[part])
+            if known is not None:
+                gained, others = known.gained(hashes[part], words[part])
+                scores += gained
+                rare.append((of[part][others], hashes[part][others]))
+            sums += np.bincount(of[part], scores, len(texts))
+        counts += np.bincount(of, minlength=len(texts))
+    if not rare:
+        return counts, sums, (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    of, hashes = (np.concatenate(part) for part in zip(*rare))
+    order = np.lexsort((hashes, of))
+    of, hashes = of[order], hashes[order]
+    first = np.ones(len(of), dtype=bool)
+    first[1:] = (of[1:] != of[:-1]) | (hashes[1:] != hashes[:-1])
+    at = np.flatnonzero(first)
+    return counts, sums, (of[at], hashes[at], np.diff(np.append(at, len(of))))
+
+
+def log_probability(text: Column, weights, shape: Shape) -> Column:
+    """Number of words and the sum of their buckets' log-probabilities. ``weights`` is a broadcast network."""
     @F.arrow_udf("struct<n_words: bigint, log_prob: double>")
     def score(texts: pa.Array) -> pa.Array:
-        net = _views(shape, np.frombuffer(weights.value, dtype=np.float32))
-        counts, sums = [], np.zeros(len(texts))
-        for held in _held(shape, texts):
-            around, words, of, hashes = (np.concatenate(part) for part in zip(*held))
-            for at in range(0, len(words), shape.batch):
-                part = slice(at, at + shape.batch)
-                scores = _forward(shape, net, around[part], words[part])
-                if known is not None:
-                    scores += known.value.gained(hashes[part], words[part])
-                sums += np.bincount(of[part], scores, len(texts))
-            counts += [len(part) for _, part, _, _ in held]
+        counts, sums, _ = _scores(_views(shape, np.frombuffer(weights.value, dtype=np.float32)), shape, texts)
         return pa.StructArray.from_arrays(
             [pa.array(counts, pa.int64()), pa.array(sums, pa.float64())], names=["n_words", "log_prob"])
 
     return score(text.cast("string").cast("binary"))
 
 
+MEASURED = "text long, n_words long, log_prob double, rare array<struct<word: long, times: long>>"
+
+
+def _measured(docs: DataFrame, text: str, shape: Shape, weights, known) -> DataFrame:
+    """``MEASURED`` of every row, written: hash of its text, the number of words, the sum of their
+    log-probabilities as if rare words had occurred once, and its rare words. One pass over the texts."""
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = _views(shape, np.frombuffer(weights.value, dtype=np.float32))
+        for batch in batches:
+            counts, sums, (of, words, times) = _scores(net, shape, batch.column(1), known.value)
+            ends = np.searchsorted(of, np.arange(len(counts) + 1)).astype(np.int32)
+            rare = pa.StructArray.from_arrays([pa.array(words.view(np.int64)), pa.array(times, pa.int64())], names=["word", "times"])
+            yield pa.RecordBatch.from_pydict({
+                "text": batch.column(0), "n_words": pa.array(counts), "log_prob": pa.array(sums),
+                "rare": pa.ListArray.from_arrays(pa.array(ends), rare)})
+
+    body = column(text).cast("string")
+    return written(docs.select(F.xxhash64(body).alias("text"), body.cast("binary").alias("body")).mapInArrow(measure, MEASURED), "measured")
+
+
+def _text_scores(measured: DataFrame, counts: DataFrame) -> DataFrame:
+    """``(text, n_words, log_prob)``, written, one row per text: the log-counts of its rare words in ``counts``
+    are added. Copies of a text add the same, so their sum is divided by their number."""
+    found = measured.select("text", F.explode("rare").alias("rare")).select("text", "rare.*")
+    gained = found.join(counts, "word").groupBy("text").agg(F.sum(F.col("times") * F.log("n")).alias("gained"))
+    texts = measured.groupBy("text").agg(
+        F.max("n_words").alias("n_words"), F.max("log_prob").alias("log_prob"), F.count(F.lit(1)).alias("copies"))
+    gained_once = F.coalesce(F.col("gained") / F.col("copies"), F.lit(0.0))
+    return written(
+        texts.join(gained, "text", "left").select("text", "n_words", (F.col("log_prob") + gained_once).alias("log_prob")), "text-scores")
+
+
 def _with_mean(found: Column, log_prob: Column) -> Column:
     return F.struct(
         found["n_words"].alias("n_words"), log_prob.alias("log_prob"),
@@ -431,12 +468,9 @@ def score_words(docs: DataFrame, train_on: DataFrame | None = None, text: str =
     broadcast, others, total = _known(word_counts(read, text), shape, common)
     known = context.broadcast(broadcast)
     weights = context.broadcast(train(read, text, shape, total).tobytes())
-    name, key, rare = (fresh_name(docs, n) for n in ("lm", "lm_text", "lm_rare"))
-    scored = docs.withColumns({
-        name: log_probability(column(text), weights, shape, known), key: F.xxhash64(column(text).cast("string"))})
+    name, key = (fresh_name(docs, n) for n in ("lm", "lm_text"))
     # Written, so that a text with many copies can be split.
-    sums = _rare_sums(docs, others, text, known).select(F.struct("text", "gained").alias(rare))
-    of, found = column(rare), column(name)
-    log_prob = found["log_prob"] + F.coalesce(of["gained"], F.lit(0.0))
-    return scored.join(sums, column(key) == of["text"], "left").withColumn(
-        name, _with_mean(found, log_prob)).drop(key, rare), name
+    found = _text_scores(_measured(docs, text, shape, weights, known), others)
+    of = found.select(F.col("text").alias(key), F.struct("n_words", "log_prob").alias(name))
+    joined = docs.withColumn(key, F.xxhash64(column(text).cast("string"))).join(of, key)
+    return joined.withColumn(name, _with_mean(column(name), column(name)["log_prob"])).drop(key), name
