@@ -74,6 +74,32 @@ def test_top_n_of_every_product(spark, top_n):
         assert got[a] == list(enumerate(best, start=1))[:top_n]
 
 
+@pytest.mark.parametrize("packed", [0, 10, 1000])
+def test_hot_products_are_counted_alike(spark, packed):
+    """Whatever products count as hot: none, some or all."""
+    rows = skewed(1) + [(1000, 500)]
+    items, expected = brute_force(rows)
+    pairs = jobs.known_pairs(bought(spark, rows))
+    got = {(r.product_a, r.product_b): r.shared / r.norm for r in shared_customers(pairs, 5, packed).collect()}
+    assert got == {(a, b): pytest.approx(s) for (a, b), s in expected.items() if a < b and s > 0}
+    found = {}
+    for r in jobs.similar_products_all(bought(spark, rows), 3, cell=5, packed=packed).orderBy("rank").collect():
+        found.setdefault(r.product_id, []).append(r.similar_id)
+    assert found == {a: sorted((b for b in items if b != a), key=lambda b: (-round(expected[a, b], 12), b))[:3] for a in items}
+
+
+@pytest.mark.parametrize("both", [False, True])
+def test_pairs_are_shuffled_as_arrays_only(spark, both):
+    """Counting, and choosing the best of each product, need no shuffle by pair."""
+    from tradewind.operators.overlap import shared_by_product
+
+    pairs = jobs.known_pairs(bought(spark, skewed(4)))
+    (counted,) = shared_by_product(pairs, both=both)
+    plan = (jobs._best_of_each(counted, 5) if both else counted)._jdf.queryExecution().executedPlan().toString()
+    last = next(line for line in plan.splitlines() if "Exchange" in line)
+    assert "hashpartitioning(product_id" in last and "REPARTITION_BY_NUM" in last and "ids#" in plan
+
+
 def test_similar_to_a_name(spark):
     rows = skewed(2)
     items, expected = brute_force(rows)

@@ -6,6 +6,7 @@ product x product matrices are never built.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import DataFrame
@@ -17,6 +18,9 @@ from tradewind.operators.lineage import written
 CELL = 512
 # Pairs of products one task should form.
 PAIRS_PER_TASK = 1_000_000
+# Customers of a product whose neighbours are packed; a product of more is counted pair by pair, combined before
+# the shuffle.
+PACKED_BUYERS = 100_000
 
 
 def product_buyers(pairs: DataFrame) -> DataFrame:
@@ -52,7 +56,7 @@ def _tasks(pairs: DataFrame) -> int:
 
 
 def _cells(sliced: DataFrame, tasks: int) -> DataFrame:
-    """One sorted array of products per customer and pair of slices.
+    """One array of products per customer and pair of slices, from the least bought to the most.
 
     A basket of one slice is one cell. Of a larger basket, cell (r, c) holds the slices r and c, at
     most about two slices' worth. The work that follows is quadratic in the cell, not in its bytes:
@@ -61,7 +65,7 @@ def _cells(sliced: DataFrame, tasks: int) -> DataFrame:
     """
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("other")
     return (
-        sliced.select("customer_id", "slice", other, F.struct("product_id", "buyers", "slice").alias("p"))
+        sliced.select("customer_id", "slice", other, F.struct("buyers", "product_id", "slice").alias("p"))
         .select("customer_id", F.least("slice", "other").alias("r"),
                 F.greatest("slice", "other").alias("c"), "p")
         .repartition(tasks, "customer_id", "r", "c")
@@ -69,25 +73,63 @@ def _cells(sliced: DataFrame, tasks: int) -> DataFrame:
     )
 
 
-def shared_customers(pairs: DataFrame, cell: int = CELL) -> DataFrame:
-    """``(product_a, product_b, shared, norm)`` for every pair a < b with a customer in common.
+def _neighbours(cells: DataFrame, both: bool) -> DataFrame:
+    """``(product_id, buyers, ids, counts)`` per place of a product in a cell: the products it meets there and
+    their customers, packed in two arrays.
 
-    ``norm`` is the product of both vectors' norms. Each customer's basket is paired with itself in
-    cells of bounded size, so no task holds a whole hot customer; cells off the diagonal pair only
-    products of different slices, so every pair of a customer is counted exactly once.
+    A pair stands with its less bought product, so that few rows meet at a hot one; with ``both``, with either
+    one, and each product meets itself once per customer. Cells off the diagonal pair only products of
+    different slices, so every pair of a customer stands there once.
     """
-    first, second = F.col("first"), F.col("second")
-    met = (
-        _cells(_sliced(pairs, cell), _tasks(pairs))
-        .select("r", "c", "basket", F.posexplode("basket").alias("at", "first"))
-        .select("r", "c", "first", F.explode(
-            F.slice("basket", F.col("at") + 2, F.size("basket"))).alias("second"))
-        .filter((F.col("r") == F.col("c")) | (first["slice"] != second["slice"]))
+    own = F.col("own")
+    met = F.col("basket") if both else F.slice("basket", F.col("at") + 2, F.size("basket"))
+    met = F.when(F.col("r") == F.col("c"), met).otherwise(F.filter(met, lambda p: p["slice"] != own["slice"]))
+    return (
+        cells.select("r", "c", "basket", F.posexplode("basket").alias("at", "own"))
+        .select(own["product_id"].alias("product_id"), own["buyers"].alias("buyers"), met.alias("met"))
+        .filter(F.size("met") > 0)
+        .select("product_id", "buyers", F.col("met.product_id").alias("ids"), F.col("met.buyers").alias("counts"))
     )
-    norm = F.sqrt(first["buyers"].cast("double") * second["buyers"].cast("double"))
+
+
+def _counted(neighbours: DataFrame, tasks: int | None) -> DataFrame:
+    """``(product_id, other_id, shared, norm)`` of neighbours. With ``tasks`` the arrays of a product are dealt
+    to that many tasks and counted there, so a pair is moved as two numbers of an array; without, pairs are
+    counted before and after a shuffle."""
+    if tasks is not None:
+        neighbours = neighbours.repartition(tasks, "product_id")
+    norm = F.sqrt(F.col("buyers").cast("double") * F.get("counts", F.col("at")).cast("double"))
     return (
-        met.select(first["product_id"].alias("product_a"), second["product_id"].alias("product_b"),
-                   norm.alias("norm"))
-        .groupBy("product_a", "product_b")
+        neighbours.select("product_id", "buyers", "counts", F.posexplode("ids").alias("at", "other_id"))
+        .select("product_id", "other_id", norm.alias("norm"))
+        .groupBy("product_id", "other_id")
         .agg(F.count(F.lit(1)).alias("shared"), F.max("norm").alias("norm"))
     )
+
+
+def shared_by_product(pairs: DataFrame, cell: int = CELL, both: bool = True,
+                      packed: int = PACKED_BUYERS) -> list[DataFrame]:
+    """``(product_id, other_id, shared, norm)`` for every pair with a customer in common, in one direction or
+    ``both``; then each product is its own neighbour too. ``norm`` is the product of both vectors' norms.
+
+    A product is in one of the frames only. The first has those of up to ``packed`` customers, each in one
+    task; the second, if there are any others, the hot ones. Each customer's basket is paired with itself in
+    cells of bounded size, so no task holds a whole hot customer.
+    """
+    sliced, tasks = _sliced(pairs, cell), _tasks(pairs)
+    neighbours = _neighbours(_cells(sliced, tasks), both)
+    dealt = 2 * tasks if both else tasks
+    if product_buyers(pairs).filter(F.col("buyers") > packed).isEmpty():
+        return [_counted(neighbours, dealt)]
+    neighbours = _neighbours(written(_cells(sliced, tasks), "cells"), both)
+    return [_counted(neighbours.filter(F.col("buyers") <= packed), dealt),
+            _counted(neighbours.filter(F.col("buyers") > packed), None)]
+
+
+def shared_customers(pairs: DataFrame, cell: int = CELL, packed: int = PACKED_BUYERS) -> DataFrame:
+    """``(product_a, product_b, shared, norm)`` for every pair a < b with a customer in common; ``norm`` is
+    the product of both vectors' norms."""
+    counted = reduce(DataFrame.unionByName, shared_by_product(pairs, cell, both=False, packed=packed))
+    return counted.select(
+        F.least("product_id", "other_id").alias("product_a"), F.greatest("product_id", "other_id").alias("product_b"),
+        "shared", "norm")

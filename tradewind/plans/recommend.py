@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.operators.joins import join_counted
 from tradewind.operators.lineage import written
-from tradewind.operators.overlap import CELL, product_buyers, shared_customers
+from tradewind.operators.overlap import (
+    CELL, PACKED_BUYERS, product_buyers, shared_by_product, shared_customers,
+)
 from tradewind.operators.ranking import top_n_per_group
 from tradewind.plans.orders import VALID_STATUS, order_lines
 
@@ -136,7 +140,19 @@ def similar_products(bought: DataFrame, products: DataFrame, product_name: str,
             F.bround(-F.col("hit.below"), SCORE_DIGITS).alias("cosine_similarity")))
 
 
-def similar_products_all(bought: DataFrame, top_n: int = 5, cell: int = CELL) -> DataFrame:
+def _best_of_each(counted: DataFrame, top_n: int) -> DataFrame:
+    """``(product_id, best)``: the ``top_n`` neighbours of each product as an array, the best first.
+
+    A product stands first among its neighbours, so that one without any other has an empty array.
+    """
+    score, itself = _cosine(F.col("shared"), F.col("norm")), F.col("other_id") == F.col("product_id")
+    order = [itself.desc(), F.desc("score"), F.asc("other_id")]
+    nearest = top_n_per_group(counted.withColumn("score", score), ["product_id"], order, top_n + 1)
+    hit = F.when(~itself, F.struct((-F.col("score")).alias("below"), F.col("other_id").alias("similar_id")))
+    return nearest.groupBy("product_id").agg(F.sort_array(F.collect_list(hit)).alias("best"))
+
+
+def similar_products_all(bought: DataFrame, top_n: int = 5, cell: int = CELL, packed: int = PACKED_BUYERS) -> DataFrame:
     """The ``top_n`` most similar products of every product.
 
     A product with fewer than ``top_n`` related products is filled up with score 0 in id order. The
@@ -144,24 +160,18 @@ def similar_products_all(bought: DataFrame, top_n: int = 5, cell: int = CELL) ->
     enough of them are left.
     """
     pairs = written(known_pairs(bought), "pairs")
-    scored = shared_customers(pairs, cell).withColumn(
-        "score", _cosine(F.col("shared"), F.col("norm")))
-    a, b = F.col("product_a"), F.col("product_b")
-    directed = scored.select(F.explode(F.array(
-        F.struct(a.alias("product_id"), b.alias("similar_id"), "score"),
-        F.struct(b.alias("product_id"), a.alias("similar_id"), "score"))).alias("edge")).select("edge.*")
-    order = [F.desc("score"), F.asc("similar_id")]
-    related = top_n_per_group(directed, ["product_id"], order, top_n).drop("rank")
-
-    sold = product_buyers(pairs).select("product_id")
     first_ids = (
-        sold.orderBy("product_id").limit(top_n + 1)
+        product_buyers(pairs).select("product_id").orderBy("product_id").limit(top_n + 1)
         .agg(F.collect_list("product_id").alias("ids")).scalar())
-    unrelated = (
-        sold.select("product_id", F.explode(first_ids).alias("similar_id"), F.lit(0.0).alias("score"))
-        .filter(F.col("product_id") != F.col("similar_id")))
-    filled = related.unionByName(unrelated).groupBy("product_id", "similar_id").agg(
-        F.max("score").alias("score"))
-    return top_n_per_group(filled, ["product_id"], order, top_n).select(
-        "product_id", "rank", "similar_id",
-        F.bround("score", SCORE_DIGITS).alias("cosine_similarity"))
+    best = reduce(DataFrame.unionByName, [
+        _best_of_each(counted, top_n) for counted in shared_by_product(pairs, cell, packed=packed)])
+    # Filled up as arrays, a product at a time, so that only the best are held and nothing is shuffled again.
+    unrelated = F.transform(
+        F.filter("first_ids", lambda id_: (id_ != F.col("product_id")) & ~F.array_contains("best.similar_id", id_)),
+        lambda id_: F.struct(F.lit(-0.0).alias("below"), id_.alias("similar_id")))
+    return (
+        best.withColumn("first_ids", first_ids)
+        .withColumn("best", F.slice(F.concat("best", unrelated), 1, top_n))
+        .select("product_id", F.posexplode("best").alias("above", "hit"))
+        .select("product_id", (F.col("above") + 1).alias("rank"), F.col("hit.similar_id").alias("similar_id"),
+                F.bround(-F.col("hit.below"), SCORE_DIGITS).alias("cosine_similarity")))
