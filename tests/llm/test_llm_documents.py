@@ -173,6 +173,27 @@ def test_encoding_and_decoding(awkward, awkward_rows, nothing):
     assert nothing.withColumn("ids", bpe.encode(F.col("text"), LOWER)).count() == 0
 
 
+def test_words_in_use_outlive_a_full_table(monkeypatch):
+    """A table of known words stays in bounds, and a word met all the time is encoded once."""
+    monkeypatch.setattr(bpe, "KNOWN_RUNS", 50)
+    library, coder, encoded = Tokenizer.from_file(LOWER), bpe.Transducer(LOWER), Counter()
+    short = coder._short_word
+    monkeypatch.setattr(coder, "_short_word", lambda word: encoded.update([word]) or short(word))
+    for k in range(60):
+        text = " ".join(f"often often, {a}{b}{k % 7}x-{a}{b}" for a in "abcde" for b in "fghij"[:1 + k % 5])
+        assert coder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(coder.known) <= 50 and len(coder.earlier) <= 50
+    assert encoded["often"] == 1
+
+
+def test_decoding_of_awkward_lists(spark):
+    rows = [(1, [5, 900, 40]), (2, []), (3, None), (4, [10**9]), (5, [77] * 9000)]
+    ids = spark.createDataFrame(rows, "id long, ids array<int>").coalesce(1)
+    got = {r["id"]: r["text"] for r in ids.select("id", bpe.decode(F.col("ids"), LOWER).alias("text")).collect()}
+    machine = bpe.Decoder(LOWER)
+    assert got == {id_: machine.text(list_ or ()) for id_, list_ in rows} and got[2] == got[3] == ""
+
+
 def test_lm_scores(awkward, awkward_rows, nothing):
     shape = lm.Shape(classes=4, places=8, width=3, hidden=5, batch=64, replica_words=500)
     scored, name = lm.score_documents(awkward, shape=shape)

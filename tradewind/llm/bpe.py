@@ -36,11 +36,11 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.tokens import SPACE, byte_letters
 
-# Entries of the tables of known runs, beginnings of words and token pairs, per Python worker; a full table
-# starts anew.
-KNOWN_RUNS = 400_000
-KNOWN_STARTS = 300_000
-KNOWN_PAIRS = 300_000
+# Entries of the tables of known runs and words (each of two generations), beginnings of words and token pairs,
+# per Python worker; a full table starts anew, and known runs in use pass to the next generation.
+KNOWN_RUNS = 150_000
+KNOWN_STARTS = 200_000
+KNOWN_PAIRS = 200_000
 # Characters of the longest run that is remembered.
 KNOWN_LENGTH = 64
 # Characters of a text that are normalised at once; cuts fall before white space.
@@ -88,7 +88,10 @@ class Transducer:
         pattern = before[0]["pattern"]["Regex"].replace(r"\s", SPACE)
         self.words = regex.compile(pattern)
         self.letters = byte_letters()
-        self.known: dict[str, array] = {}
+        self.code = {token: array("i", [id_]).tobytes() for token, id_ in self.vocab.items()}
+        self.same = {token: token for token in self.vocab}
+        self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
         self.fits: dict[tuple[str, str], bool] = {}
         self.states: dict[str, str] = {}
         self.whole: dict[str, bool] = {}
@@ -182,8 +185,8 @@ class Transducer:
         while known and word[:known] not in states:
             known -= 1
         for place in range(known + 1, size):
-            states[word[:place]] = self._last(word, place, "", lambda at: states[word[:at]])
-        token = self._last(word, size, self.end, lambda at: states[word[:at]])
+            states[word[:place]] = self._last_known(word, place, word[:place], states)
+        token = self._last_known(word, size, word + self.end, states)
         tokens, place = [token], size + len(self.end) - len(token)
         while place:
             token = states[word[:place]]
@@ -191,6 +194,26 @@ class Transducer:
             place -= len(token)
         return tokens[::-1]
 
+    def _last_known(self, word: str, place: int, upto: str, states: dict[str, str]) -> str:
+        """``_last`` of a word from its start, ``upto`` with its ending, when the states of all places before
+        are known."""
+        fits, same = self.fits, self.same
+        likely = place - 1 - len(states[word[:place - 1]]) if place > 1 else 0
+        token = same.get(upto[likely:])
+        start = likely
+        # The likely start, then the others, which are for the longest tokens first.
+        others = iter(range(max(0, place - self.lookahead), place))
+        while True:
+            if token is not None:
+                left = states[word[:start]] if start else ""
+                fit = fits.get((left, token))
+                if self._stands(left, token) if fit is None else fit:
+                    return token
+            start = next(others, None)
+            if start is None:
+                raise ValueError(f"no token ends at {word[place - 1]!r}")
+            token = same.get(upto[start:])
+
     def _chain(self, last: list[str], place: int) -> tuple[list[int], list[str]]:
         """Borders and tokens of the encoding up to ``place``."""
         borders, tokens = [place], []
@@ -210,19 +233,37 @@ class Transducer:
         border = max(shared)
         return border, self._chain(last, border)[1]
 
-    def _word(self, word: str) -> Iterator[int]:
+    def _word(self, word: str) -> bytes:
         if not (word.isascii() and word.isprintable()):
             word = "".join(map(self.letters.__getitem__, word.encode("utf-8", "replace")))
         found = self._short_word(word) if len(word) < 4 * self.lookahead else self.tokens(word)
-        return map(self.vocab.__getitem__, found)
+        return b"".join(map(self.code.__getitem__, found))
+
+    def _found(self, run: str, make: Callable[[str], bytes]) -> bytes:
+        """Token ids of a run or word; a word's are those of a run of it alone."""
+        found = self.known.get(run)
+        if found is None:
+            found = self.earlier.get(run)
+            if found is None:
+                found = make(run)
+            if len(run) <= KNOWN_LENGTH:
+                if len(self.known) >= KNOWN_RUNS:
+                    self.known, self.earlier = {}, self.known
+                self.known[run] = found
+        return found
 
-    def _run(self, run: str) -> array:
+    def _run(self, run: str) -> bytes:
         """Token ids of what stands between white space."""
-        return array("i", [id_ for word in self.words.findall(run) for id_ in self._word(word)])
+        if run.isascii() and run.isalpha():
+            return self._word(run)
+        words = self.words.findall(run)
+        if len(words) == 1:
+            return self._word(words[0])
+        return b"".join([self._found(word, self._word) for word in words])
 
     def ids(self, text: str) -> array:
         """Token ids of a whole text."""
-        out, known = array("i"), self.known
+        out = array("i")
         for part in self.at_special.split(text):
             if part in self.special:
                 out.append(self.special[part])
@@ -230,15 +271,11 @@ class Transducer:
             for piece in _slices(part):
                 normal = _lower(unicodedata.normalize("NFC", piece) if not piece.isascii() else piece)
                 # No word reaches across white space; ``split`` would also cut at the separators.
-                for run in RUNS.findall(normal) if SEPARATORS.search(normal) else normal.split():
-                    found = known.get(run)
-                    if found is None:
-                        found = self._run(run)
-                        if len(run) <= KNOWN_LENGTH:
-                            if len(known) >= KNOWN_RUNS:
-                                known = self.known = {}
-                            known[run] = found
-                    out.extend(found)
+                runs = RUNS.findall(normal) if SEPARATORS.search(normal) else normal.split()
+                found = list(map(self.known.get, runs))
+                if None in found:
+                    found = [self._found(run, self._run) if ids is None else ids for run, ids in zip(runs, found)]
+                out.frombytes(b"".join(found))
         return out
 
 
@@ -299,7 +336,14 @@ def decode(ids: Column, path: str) -> Column:
     """Text of token ids under the vocabulary file ``path``."""
     @F.arrow_udf("string")
     def decoded(lists: pa.Array) -> pa.Array:
-        return pa.array([decoder(path).text(value.values.to_numpy(zero_copy_only=False).tolist()
-                                            if value.is_valid else ()) for value in lists], pa.string())
+        # Written one behind the other, so that a batch's texts are held once.
+        texts, ends = bytearray(), array("q", [0])
+        for value in lists:
+            if value.is_valid:
+                for part in decoder(path).stream(value.values.to_numpy(zero_copy_only=False).tolist()):
+                    texts += part.encode("utf-8")
+            ends.append(len(texts))
+        long = pa.LargeStringArray.from_buffers(len(lists), pa.py_buffer(ends), pa.py_buffer(texts))
+        return long.cast(pa.string())
 
     return decoded(ids)
