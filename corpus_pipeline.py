@@ -38,10 +38,10 @@ def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Token ids of each document, and a digest of the text they decode to. Other columns than those of
     ``documents`` end here."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    encoded = docs.select("doc_id", "lang", "source", bpe.encode(F.col("text"), vocabulary).alias("token_ids"))
-    return encoded.withColumns({
-        "n_tokens": F.size("token_ids").cast("long"),
-        "decoded_sha256": F.sha2(bpe.decode(F.col("token_ids"), vocabulary).cast("binary"), 256)})
+    coded = bpe.encode_and_decode(F.col("text"), vocabulary)
+    return docs.select("doc_id", "lang", "source", coded.alias("coded")).select(
+        "doc_id", "lang", "source", F.col("coded.ids").alias("token_ids"),
+        F.size("coded.ids").cast("long").alias("n_tokens"), F.sha2(F.col("coded.text").cast("binary"), 256).alias("decoded_sha256"))
 
 
 STAGES = [

@@ -1,5 +1,6 @@
 """Operators on documents against plain versions, on awkward rows."""
 
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -9,7 +10,7 @@ from plain import base_numbers, copies, cut_lines, groups, keeps, lm_log_prob, s
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from conftest import prose
+from conftest import SMALL, prose
 from tradewind.llm import bpe, jaccard, lines, lm, mixing, quality, tokens
 from tradewind.llm.hashing import word_hashes
 
@@ -186,6 +187,51 @@ def test_words_in_use_outlive_a_full_table(monkeypatch):
     assert encoded["often"] == 1
 
 
+def test_different_words_take_steps_together(monkeypatch):
+    """Short words are not encoded one by one, and long ones, special strings and blocks make no difference."""
+    random_ = random.Random(4)
+    letters = "abcdeilnorst'sé€ﬁ0._<|>\x1c\x85 \n" * 2 + "AΣöß日😀"
+    texts = ["".join(random_.choices(letters, k=random_.randint(0, 400))) for _ in range(150)]
+    texts[7:7] = ["", " \n", "<|endoftext|>", "a<|ENDOFTEXT|>b<|endoftext|><|startoftext|>c", "x" * 127 + " " + "y" * 128 + " " + "ab" * 900, "don't I'LL ''s"]
+    library, coder, alone = Tokenizer.from_file(LOWER), bpe.Transducer(LOWER), []
+    library.no_padding()
+    library.no_truncation()
+    word = coder._word
+    monkeypatch.setattr(coder, "_word", lambda one: alone.append(one) or word(one))
+    expected = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    for block, together in ((bpe.BLOCK, True), (3000, False), (1, False)):
+        monkeypatch.setattr(bpe, "BLOCK", block)
+        alone.clear()
+        values, ends = coder.encoded([*texts, None])
+        assert [values[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [*expected, []]
+        assert not together or all(len(one.encode()) >= 128 for one in alone)
+
+
+def test_encoding_with_decoding_is_one_encoding(spark, awkward, capsys):
+    """The query and the pipeline's stage encode a text once for its ids and its decoded text."""
+    import corpus_pipeline
+    from tradewind.llm.queries import QUERIES
+
+    for df in (QUERIES["op6_bpe"](spark, SMALL), corpus_pipeline.encode_documents(spark, awkward, SMALL)):
+        capsys.readouterr()
+        df.explain("formatted")
+        plan = capsys.readouterr().out
+        assert plan.count("coded(") == 1 and "pythonUDF1" not in plan, plan
+    both = awkward.select("text", bpe.encode_and_decode(F.col("text"), LOWER).alias("coded")).select("text", "coded.*")
+    ids = bpe.encode(F.col("text"), LOWER)
+    apart = awkward.select("text", ids.alias("ids"), bpe.decode(ids, LOWER).alias("back"))
+    assert Counter(map(str, map(tuple, both.collect()))) == Counter(map(str, map(tuple, apart.collect())))
+
+
+def test_token_pairs_that_share_a_place(monkeypatch):
+    """What is known of pairs stays right when nearly every pair takes another's place."""
+    monkeypatch.setattr(bpe, "KNOWN_FITS", 3)
+    library, coder = Tokenizer.from_file(LOWER), bpe.Transducer(LOWER)
+    text = " ".join(prose(k, 20) for k in range(20)) + " " + " ".join(f"word{chr(97 + k % 26)}ing{chr(97 + k // 26)}s" for k in range(400))
+    for _ in range(2):
+        assert coder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_decoding_of_awkward_lists(spark):
     rows = [(1, [5, 900, 40]), (2, []), (3, None), (4, [10**9]), (5, [77] * 9000)]
     ids = spark.createDataFrame(rows, "id long, ids array<int>").coalesce(1)

@@ -5,7 +5,9 @@ token of the encoding of the word up to there: the one token that ends there, en
 behind the token before it as the merges would leave the two. The longest token of the merge list bounds
 how far back a later symbol can reach: whatever follows, one of the last ``lookahead`` places is a token
 border, so the tokens that all of these agree on are final and are emitted. Memory is a few windows,
-however long the word.
+however long the word. Words that end before the first window is full take each step together with all
+different words of their texts: the candidates for a place's last token, longest first, are what an automaton of
+all tokens has read there.
 
 Decoding is a state machine from bytes to text that holds back an incomplete character until the bytes
 that complete it have come.
@@ -36,19 +38,23 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.tokens import SPACE, byte_letters
 
-# Entries of the tables of known runs and words (each of two generations), beginnings of words and token pairs,
-# per Python worker; a full table starts anew, and known runs in use pass to the next generation.
-KNOWN_RUNS = 150_000
-KNOWN_STARTS = 200_000
+# Entries of the tables of known words (of two generations) and of token pairs, per Python worker; a full table of
+# pairs starts anew, and known words in use pass to the next generation.
+KNOWN_RUNS = 50_000
 KNOWN_PAIRS = 200_000
-# Characters of the longest run that is remembered.
+# Places for what is known of token pairs in `Steps`, as a power of two; a new pair takes the place of another.
+KNOWN_FITS = 20
+# Bytes of words that are encoded at once, and the least and the most different words that take steps together.
+BLOCK = 1 << 21
+FEW_WORDS = 64
+MANY_WORDS = 1 << 14
+# Characters of the longest word that is remembered.
 KNOWN_LENGTH = 64
 # Characters of a text that are normalised at once; cuts fall before white space.
 SLICE = 1 << 16
 INFINITY = float("inf")
+LINE_BREAK, SPECIAL = b"\n "
 SPACES = re.compile(f"[{SPACE}]+")
-RUNS = re.compile(f"[^{SPACE}]+")
-SEPARATORS = re.compile("[\\x1c-\\x1f]")
 
 
 def _lower(text: str) -> str:
@@ -87,15 +93,16 @@ class Transducer:
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         pattern = before[0]["pattern"]["Regex"].replace(r"\s", SPACE)
         self.words = regex.compile(pattern)
+        # The same for lower-case ASCII, which ``re`` splits in less than half the time.
+        self.ascii_words = re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"))
         self.letters = byte_letters()
         self.code = {token: array("i", [id_]).tobytes() for token, id_ in self.vocab.items()}
-        self.same = {token: token for token in self.vocab}
         self.known: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
         self.fits: dict[tuple[str, str], bool] = {}
-        self.states: dict[str, str] = {}
         self.whole: dict[str, bool] = {}
         self.spines: tuple[dict, dict] = {}, {}
+        self.steps = Steps(self)
 
     def _spine(self, token: str, side: int) -> list[tuple[str, float]]:
         """What stands at one border of ``token`` (0: left, 1: right) while it is merged, from the whole
@@ -176,43 +183,8 @@ class Transducer:
             yield from self._chain(last, len(window))[1]
 
     def _short_word(self, word: str) -> list[str]:
-        """``tokens`` of a word that ends before the window is full, from what is known of its beginning:
-        the last token up to a place depends on nothing behind it."""
-        states, size = self.states, len(word)
-        if len(states) >= KNOWN_STARTS:
-            states = self.states = {}
-        known = size - 1
-        while known and word[:known] not in states:
-            known -= 1
-        for place in range(known + 1, size):
-            states[word[:place]] = self._last_known(word, place, word[:place], states)
-        token = self._last_known(word, size, word + self.end, states)
-        tokens, place = [token], size + len(self.end) - len(token)
-        while place:
-            token = states[word[:place]]
-            tokens.append(token)
-            place -= len(token)
-        return tokens[::-1]
-
-    def _last_known(self, word: str, place: int, upto: str, states: dict[str, str]) -> str:
-        """``_last`` of a word from its start, ``upto`` with its ending, when the states of all places before
-        are known."""
-        fits, same = self.fits, self.same
-        likely = place - 1 - len(states[word[:place - 1]]) if place > 1 else 0
-        token = same.get(upto[likely:])
-        start = likely
-        # The likely start, then the others, which are for the longest tokens first.
-        others = iter(range(max(0, place - self.lookahead), place))
-        while True:
-            if token is not None:
-                left = states[word[:start]] if start else ""
-                fit = fits.get((left, token))
-                if self._stands(left, token) if fit is None else fit:
-                    return token
-            start = next(others, None)
-            if start is None:
-                raise ValueError(f"no token ends at {word[place - 1]!r}")
-            token = same.get(upto[start:])
+        """``tokens`` of a word that ends before the window is full."""
+        return list(self.tokens(word))
 
     def _chain(self, last: list[str], place: int) -> tuple[list[int], list[str]]:
         """Borders and tokens of the encoding up to ``place``."""
@@ -239,44 +211,197 @@ class Transducer:
         found = self._short_word(word) if len(word) < 4 * self.lookahead else self.tokens(word)
         return b"".join(map(self.code.__getitem__, found))
 
-    def _found(self, run: str, make: Callable[[str], bytes]) -> bytes:
-        """Token ids of a run or word; a word's are those of a run of it alone."""
-        found = self.known.get(run)
+    def _found(self, word: str) -> bytes:
+        """Token ids of a word that may have been met before."""
+        found = self.known.get(word)
         if found is None:
-            found = self.earlier.get(run)
+            found = self.earlier.get(word)
             if found is None:
-                found = make(run)
-            if len(run) <= KNOWN_LENGTH:
+                found = self._word(word)
+            if len(word) <= KNOWN_LENGTH:
                 if len(self.known) >= KNOWN_RUNS:
                     self.known, self.earlier = {}, self.known
-                self.known[run] = found
+                self.known[word] = found
         return found
 
-    def _run(self, run: str) -> bytes:
-        """Token ids of what stands between white space."""
-        if run.isascii() and run.isalpha():
-            return self._word(run)
-        words = self.words.findall(run)
-        if len(words) == 1:
-            return self._word(words[0])
-        return b"".join([self._found(word, self._word) for word in words])
-
-    def ids(self, text: str) -> array:
-        """Token ids of a whole text."""
-        out = array("i")
+    def _different(self, symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of different words, one behind the other but in any order, and where each word's are."""
+        order = np.argsort(-sizes, kind="stable")
+        # A few words are not worth the steps together.
+        together = (sizes < 4 * self.lookahead) & (symbols[starts] != SPECIAL) & (len(sizes) >= FEW_WORDS)
+        values, slots, done = [], np.zeros((len(sizes), 2), dtype=np.int64), 0
+        for word in np.flatnonzero(~together).tolist():
+            name = symbols[starts[word]:starts[word] + sizes[word]].tobytes().decode()
+            ids = np.frombuffer(self._found(name), dtype=np.int32) if name[0] != " " else [self.special[name[1:]]]
+            values.append(np.asarray(ids, dtype=np.int32))
+            slots[word] = done, done + len(ids)
+            done += len(ids)
+        order = order[together[order]]
+        for at in range(0, len(order), MANY_WORDS):
+            some = order[at:at + MANY_WORDS]
+            ids, borders = self.steps.tokens(symbols, starts[some], sizes[some])
+            values.append(ids)
+            slots[some, 0], slots[some, 1] = done + borders[:-1], done + borders[1:]
+            done += len(ids)
+        return np.concatenate(values), slots
+
+    def _lines(self, lines: bytearray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of words that end in line breaks, and the borders between the words."""
+        if not lines:
+            return np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
+        offsets = np.append(0, np.flatnonzero(np.frombuffer(lines, dtype=np.uint8) == LINE_BREAK) + 1)
+        words = pa.Array.from_buffers(
+            pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(lines)]).dictionary_encode()
+        _, offsets, symbols = words.dictionary.buffers()
+        offsets = np.frombuffer(offsets, dtype=np.int64)[:len(words.dictionary) + 1]
+        values, slots = self._different(np.frombuffer(symbols, dtype=np.uint8), offsets[:-1], np.diff(offsets) - 1)
+        starts, ends = slots[words.indices.to_numpy()].T
+        borders = np.append(0, np.cumsum(ends - starts))
+        return values[np.repeat(starts - borders[:-1], ends - starts) + np.arange(borders[-1])], borders
+
+    def _split(self, text: str) -> Iterator[list[str]]:
+        """Words of a slice of the text, or a special string behind a blank, which no word has."""
         for part in self.at_special.split(text):
             if part in self.special:
-                out.append(self.special[part])
+                yield [" " + part]
                 continue
             for piece in _slices(part):
-                normal = _lower(unicodedata.normalize("NFC", piece) if not piece.isascii() else piece)
-                # No word reaches across white space; ``split`` would also cut at the separators.
-                runs = RUNS.findall(normal) if SEPARATORS.search(normal) else normal.split()
-                found = list(map(self.known.get, runs))
-                if None in found:
-                    found = [self._found(run, self._run) if ids is None else ids for run, ids in zip(runs, found)]
-                out.frombytes(b"".join(found))
-        return out
+                if piece.isascii():
+                    yield self.ascii_words.findall(piece.lower())
+                else:
+                    yield self.words.findall(_lower(unicodedata.normalize("NFC", piece)))
+
+    def encoded(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of whole texts, one behind the other, and the borders between the texts."""
+        values, ends, done = [], [np.zeros(1, dtype=np.int64)], 0
+
+        def write() -> None:
+            nonlocal done
+            found, borders = self._lines(lines)
+            values.append(found)
+            ends.append(done + borders[np.array(text_ends, dtype=np.int64)])
+            done += len(found)
+
+        lines, count, text_ends = bytearray(), 0, []
+        for text in texts:
+            for words in self._split(text or ""):
+                if words:
+                    lines += "\n".join([*words, ""]).encode("utf-8", "replace")
+                    count += len(words)
+                if len(lines) >= BLOCK:
+                    write()
+                    lines, count, text_ends = bytearray(), 0, []
+            text_ends.append(count)
+        write()
+        return np.concatenate(values), np.concatenate(ends)
+
+    def ids(self, text: str) -> np.ndarray:
+        """Token ids of a whole text."""
+        return self.encoded([text])[0]
+
+
+class Steps:
+    """A transducer's steps, taken by many words at once.
+
+    The automaton's node at a place is the longest beginning of a token that ends there. ``longest`` and
+    ``at_end`` have the longest token that ends there, inside a word and at its end, and ``shorter`` the next one
+    of the same kind. Nodes that no symbol leads on from share the row of the node they fall back to.
+    """
+
+    def __init__(self, coder: Transducer):
+        size, byte = max(coder.vocab.values()) + 1, {letter: b for b, letter in coder.letters.items()}
+        self.coder, self.none = coder, size
+        self.names = [""] * size
+        self.length = np.zeros(size, dtype=np.int64)
+        following: list[dict[int, int]] = [{}]
+        own: dict[bool, dict[int, int]] = {False: {}, True: {}}
+        for token, id_ in coder.vocab.items():
+            if not coder._alone(token):
+                continue
+            plain, node = token.removesuffix(coder.end), 0
+            for letter in plain:
+                child = following[node].setdefault(byte[letter], len(following))
+                if child == len(following):
+                    following.append({})
+                node = child
+            own[plain != token][node] = id_
+            self.names[id_], self.length[id_] = token, len(plain)
+        self.next = np.zeros((sum(map(bool, following)), 256), dtype=np.int32)
+        self.row, self.longest, self.at_end = (np.zeros(len(following), dtype=np.int32) for _ in range(3))
+        self.shorter = np.full(size, -1, dtype=np.int32)
+        back, queue, rows = [0] * len(following), [0], 0
+        for node in queue:
+            less = back[node]
+            for table, ids in ((self.longest, own[False]), (self.at_end, own[True])):
+                shorter = table[less] if node else -1
+                table[node] = ids.get(node, shorter)
+                if node in ids:
+                    self.shorter[ids[node]] = shorter
+            before = self.next[self.row[less]]
+            if not following[node]:
+                self.row[node] = self.row[less]
+                continue
+            self.row[node], rows = rows, rows + 1
+            here = self.next[self.row[node]]
+            if node:
+                here[:] = before
+            for symbol, child in following[node].items():
+                back[child] = int(before[symbol]) if node else 0
+                here[symbol] = child
+                queue.append(child)
+        self.fits = np.full(1 << KNOWN_FITS, -1, dtype=np.int64)
+
+    def _fit(self, left: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Whether the merges leave each token as it is behind the left one."""
+        pair = left.astype(np.int64) * (self.none + 1) + token
+        place = (pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - KNOWN_FITS)
+        known = self.fits[place]
+        fit = (known & 1).astype(bool)
+        unknown = np.flatnonzero(known >> 1 != pair)
+        if len(unknown):
+            pairs, first, which = np.unique(pair[unknown], return_index=True, return_inverse=True)
+            found = np.array([
+                a == self.none or not self.coder._crossed(self.names[a], self.names[b])
+                for a, b in zip(*(part.tolist() for part in np.divmod(pairs, self.none + 1)))])
+            fit[unknown] = found[which]
+            self.fits[place[unknown[first]]] = pairs << 1 | found
+        return fit
+
+    def tokens(self, symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of the words at ``starts`` in ``symbols``, which come by falling size, and the borders between
+        the words."""
+        count, most = len(sizes), int(sizes[0])
+        last = np.full((most + 1, count), self.none, dtype=np.int32)  # the last token up to each place
+        row = np.zeros(count, dtype=np.int32)
+        inside = np.searchsorted(-sizes, -np.arange(most + 2), side="right")  # words of so many symbols or more
+        for place in range(1, most + 1):
+            live, longer = inside[place], inside[place + 1]
+            node = self.next[row[:live], symbols[starts[:live] + (place - 1)]]
+            row = self.row[node]
+            token = self.longest[node]
+            token[longer:] = self.at_end[node[longer:]]
+            open_, tried = np.arange(live), token
+            while True:
+                fit = self._fit(last[place - self.length[tried], open_], tried)
+                if fit.all():
+                    break
+                open_ = open_[~fit]
+                tried = self.shorter[tried[~fit]]
+                if (tried < 0).any():
+                    raise ValueError("no token ends at a symbol")
+                token[open_] = tried
+            last[place, :live] = token
+        where, place, found = np.arange(count), sizes, []
+        while len(where):
+            token = last[place, where]
+            found.append((where, token))
+            place = place - self.length[token]
+            where, place = where[place > 0], place[place > 0]
+        borders = np.append(0, np.cumsum(np.bincount(np.concatenate([of for of, _ in found]), minlength=count)))
+        values = np.empty(borders[-1], dtype=np.int32)
+        for k, (of, token) in enumerate(found):
+            values[borders[of + 1] - 1 - k] = token
+        return values, borders
 
 
 class Decoder:
@@ -318,16 +443,28 @@ def decoder(path: str) -> Decoder:
     return Decoder(path)
 
 
+def _encoded(texts: pa.Array, path: str) -> pa.Array:
+    values, ends = transducer(path).encoded(value.as_py() for value in texts)
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
+
+
+def _decoded(lists: pa.Array, path: str) -> pa.Array:
+    # Written one behind the other, so that a batch's texts are held once.
+    texts, ends = bytearray(), array("q", [0])
+    for value in lists:
+        if value.is_valid:
+            for part in decoder(path).stream(value.values.to_numpy(zero_copy_only=False).tolist()):
+                texts += part.encode("utf-8")
+        ends.append(len(texts))
+    long = pa.LargeStringArray.from_buffers(len(lists), pa.py_buffer(ends), pa.py_buffer(texts))
+    return long.cast(pa.string())
+
+
 def encode(text: Column, path: str) -> Column:
     """Token ids of ``text`` under the vocabulary file ``path``, which every executor can read."""
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
-        values, ends = array("i"), array("i", [0])
-        for value in texts:
-            values.extend(transducer(path).ids(value.as_py() or ""))
-            ends.append(len(values))
-        return pa.ListArray.from_arrays(
-            pa.array(np.frombuffer(ends, dtype=np.int32)), pa.array(np.frombuffer(values, dtype=np.int32)))
+        return _encoded(texts, path)
 
     return encoded(text)
 
@@ -336,14 +473,17 @@ def decode(ids: Column, path: str) -> Column:
     """Text of token ids under the vocabulary file ``path``."""
     @F.arrow_udf("string")
     def decoded(lists: pa.Array) -> pa.Array:
-        # Written one behind the other, so that a batch's texts are held once.
-        texts, ends = bytearray(), array("q", [0])
-        for value in lists:
-            if value.is_valid:
-                for part in decoder(path).stream(value.values.to_numpy(zero_copy_only=False).tolist()):
-                    texts += part.encode("utf-8")
-            ends.append(len(texts))
-        long = pa.LargeStringArray.from_buffers(len(lists), pa.py_buffer(ends), pa.py_buffer(texts))
-        return long.cast(pa.string())
+        return _decoded(lists, path)
 
     return decoded(ids)
+
+
+def encode_and_decode(text: Column, path: str) -> Column:
+    """``(ids, text)``: ``encode`` of ``text`` and ``decode`` of that. Of the two columns beside each other Spark
+    would make two, the second with an encoding of its own."""
+    @F.arrow_udf("struct<ids: array<int>, text: string>")
+    def coded(texts: pa.Array) -> pa.Array:
+        ids = _encoded(texts, path)
+        return pa.StructArray.from_arrays([ids, _decoded(ids, path)], names=["ids", "text"])
+
+    return coded(text)

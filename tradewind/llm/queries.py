@@ -51,9 +51,9 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    encoded = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), path).alias("ids"))
-    decoded = encoded.withColumn("text", bpe.decode(F.col("ids"), path))
-    return decoded.select(
+    coded = bpe.encode_and_decode(F.col("text"), path)
+    encoded = table(spark, sf_dir, "documents").select("doc_id", coded.alias("coded")).select("doc_id", "coded.*")
+    return encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
