@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from plain import base_numbers, copies, cut_lines, groups, keeps, lm_log_prob, similar_pairs, targets, words
 from pyspark.sql import functions as F
@@ -266,6 +267,37 @@ def test_lm_scores_word_by_word(awkward):
         assert abs(row[name]["log_prob"] - one) <= 1e-4 * abs(one)
 
 
+def test_lm_hashes_short_texts_together(awkward_rows, monkeypatch):
+    """The words and neighbours of consecutive texts are those of each alone, and short texts share a call."""
+    texts, calls, together = [r[1] for r in awkward_rows] * 3, [], lm.text_hashes
+    monkeypatch.setattr(lm, "text_hashes", lambda some: calls.append(len(some)) or together(some))
+    shape, column = lm.Shape(side=3), pa.array([t if t is None else t.encode() for t in texts], pa.binary())
+    for size in (1 << 18, 1):
+        monkeypatch.setattr(lm, "TOGETHER", size)
+        calls.clear()
+        around, found, counts = [], [], []
+        for hashes, some in lm._hashed(column):
+            counts += some.tolist()
+            for whole, part in zip((around, found), lm._examples(shape, hashes, some)):
+                whole.append(part)
+        assert counts == [len(words(t)) for t in texts] and sum(calls) == len(texts)
+        assert size == 1 or len(calls) <= len(texts) / 5
+        one = [lm.examples(shape, (t or "").encode()) for t in texts]
+        assert (np.concatenate(around) == np.concatenate([a for a, _ in one])).all()
+        assert (np.concatenate(found) == np.concatenate([f for _, f in one])).all()
+        assert all(f.tolist() == (word_hashes((t or "").encode()) % np.uint64(shape.buckets)).tolist() for t, (_, f) in zip(texts, one))
+
+
+def test_lm_finds_common_words_by_leading_bits():
+    random_ = np.random.default_rng(2)
+    close = np.arange(40, dtype=np.uint64) * np.uint64(3) + np.uint64(2**40)  # all of the same leading bits
+    some = np.unique(np.concatenate([random_.integers(0, 2**64, 500, dtype=np.uint64), close]))
+    asked = np.concatenate([some, some + np.uint64(1), random_.integers(0, 2**64, 500, dtype=np.uint64), np.array([0, 2**64 - 1], dtype=np.uint64)])
+    for known in (some, some[:1], some[-1:], close, np.append(some, np.uint64(2**64 - 1)), some[:0]):
+        at, found = lm.Known(known, np.zeros(len(known)), np.zeros(1)).places(asked)
+        assert (found == np.isin(asked, known)).all() and (not len(known) or (known[at[found]] == asked[found]).all())
+
+
 def test_lm_shares_hold_all_texts(spark):
     docs = spark.range(1000).selectExpr("CAST(CAST(id AS STRING) AS BINARY) AS text")
     for tasks, rounds in ((1, 7), (3, 7), (16, 7), (7, 7), (5, 1)):

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 
 # Bytes of a text that are hashed at once; a piece ends at a blank, so a longer word makes a longer piece.
-PIECE = 1 << 20
+PIECE = 1 << 16
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_NUMBER = np.arange(1, 257, dtype=np.uint64)  # of each byte
 _powers = (np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64))
 
 
@@ -33,7 +34,8 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
-def _pieces(data: bytes) -> Iterator[np.ndarray]:
+def _pieces(data: bytes) -> Iterator[tuple[int, np.ndarray]]:
+    """Where each piece starts, and its bytes."""
     symbols = np.frombuffer(data, dtype=np.uint8)
     start = 0
     while start < len(symbols):
@@ -44,24 +46,37 @@ def _pieces(data: bytes) -> Iterator[np.ndarray]:
                 end += int(blanks[0])
                 break
             end = min(end + PIECE, len(symbols))
-        yield symbols[start:end]
+        yield start, symbols[start:end]
         start = end
 
 
-def word_hashes(data: bytes | None) -> np.ndarray:
-    """A 64-bit hash of each word of a text in UTF-8, in order. Words are runs of anything but blanks; a
-    word's hash depends on its bytes alone. Null has no words."""
-    found = []
-    for symbols in _pieces(data or b""):
-        inside = np.zeros(len(symbols) + 2, dtype=np.int8)
-        inside[1:-1] = ~_BLANK[symbols]
-        edge = np.diff(inside)
-        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+def _hashed(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word starts, and its hash."""
+    places, found = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
+    for at, symbols in _pieces(data):
+        inside = np.zeros(len(symbols) + 2, dtype=bool)
+        np.logical_not(_BLANK[symbols], out=inside[1:-1])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
         power, inverse = _power_tables(len(symbols) + 1)
         sums = np.zeros(len(symbols) + 1, dtype=np.uint64)
-        np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * power[:len(symbols)], out=sums[1:])
+        np.cumsum(_NUMBER[symbols] * power[:len(symbols)], out=sums[1:])
+        places.append(starts + at)
         found.append(mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)))
-    return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
+    return np.concatenate(places), np.concatenate(found)
+
+
+def word_hashes(data: bytes | None) -> np.ndarray:
+    """A 64-bit hash of each word of a text in UTF-8, in order. Words are runs of anything but blanks; a
+    word's hash depends on its bytes alone. Null has no words."""
+    return _hashed(data or b"")[1]
+
+
+def text_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``word_hashes`` of several texts, one behind the other, and the number of words of each."""
+    starts, hashes = _hashed(b" ".join(texts))
+    ends = np.cumsum([len(text) + 1 for text in texts], dtype=np.int64)
+    return hashes, np.diff(np.searchsorted(starts, ends), prepend=0)
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:

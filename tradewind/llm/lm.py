@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from math import ceil, sqrt
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import column, fresh_name, importable, word_count
-from tradewind.llm.hashing import word_hashes
+from tradewind.llm.hashing import text_hashes
 from tradewind.operators.lineage import written
 from tradewind.session import scratch_path
 
@@ -41,6 +42,10 @@ from tradewind.session import scratch_path
 COMMON = 65_536
 # Words that are counted at once.
 BLOCK = 1 << 20
+# Leading bits of hashes by which common words are looked up.
+LEADING = 17
+# Bytes of texts whose words are hashed at once.
+TOGETHER = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -93,15 +98,34 @@ def _views(shape: Shape, weights: np.ndarray) -> dict[str, np.ndarray]:
 
 def examples(shape: Shape, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """Each word's neighbours, and the words, as buckets."""
-    return _examples(shape, word_hashes(text))
+    return _examples(shape, *text_hashes([text or b""]))
 
 
-def _examples(shape: Shape, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _examples(shape: Shape, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``examples`` of several texts, which have so many words each."""
     words = (hashes % np.uint64(shape.buckets)).astype(np.int32)
-    padded = np.full(len(words) + 2 * shape.side, shape.buckets, dtype=np.int32)
-    padded[shape.side:shape.side + len(words)] = words
-    offsets = [k for k in range(2 * shape.side + 1) if k != shape.side]
-    return np.stack([padded[k:k + len(words)] for k in offsets], axis=1), words
+    # Padding stands before the first text, between the texts and behind the last.
+    at = np.arange(len(words)) + np.repeat(shape.side * np.arange(len(counts)), counts)
+    padded = np.full(len(words) + shape.side * (len(counts) + 1), shape.buckets, dtype=np.int32)
+    padded[at + shape.side] = words
+    around = np.empty((len(words), 2 * shape.side), dtype=np.int32)
+    for k in range(2 * shape.side):
+        around[:, k] = padded[at + k + (k >= shape.side)]
+    return around, words
+
+
+def _hashed(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the words of consecutive texts, and the number of words of each; some texts at a time, so that
+    short ones do not cost a call each."""
+    held, waiting = [], 0
+    for value in texts:
+        held.append(value.as_py() or b"")
+        waiting += len(held[-1])
+        if waiting >= TOGETHER:
+            yield text_hashes(held)
+            held, waiting = [], 0
+    if held:
+        yield text_hashes(held)
 
 
 def _softmax(logits: np.ndarray, target: np.ndarray, learn: bool) -> np.ndarray:
@@ -133,12 +157,13 @@ def _forward(shape: Shape, net: dict[str, np.ndarray], around: np.ndarray, words
     ends = np.searchsorted(class_, np.arange(shape.classes + 1))
     inputs = net["embedding"].take(around, axis=0).reshape(count, -1)
     hidden = np.tanh(net["inner"].T @ inputs.T + net["inner_bias"][:, None])
-    by_class = net["to_class"].T @ hidden + net["class_bias"][:, None]
+    by_class = net["to_class"].T @ hidden
+    by_class += net["class_bias"][:, None]
     scores = _softmax(by_class, class_, learning).astype(np.float64)
     back = None
     if learning:
-        learn["to_class"][:] = hidden @ by_class.T
-        learn["class_bias"][:] = by_class.sum(axis=1)
+        np.matmul(hidden, by_class.T, out=learn["to_class"])
+        by_class.sum(axis=1, out=learn["class_bias"])
         back = net["to_class"] @ by_class
     for c in range(shape.classes):
         rows = slice(ends[c], ends[c + 1])
@@ -148,19 +173,20 @@ def _forward(shape: Shape, net: dict[str, np.ndarray], around: np.ndarray, words
                 learn["to_place"][c] = 0
                 learn["place_bias"][c] = 0
             continue
-        by_place = net["to_place"][c].T @ seen + net["place_bias"][c][:, None]
+        by_place = net["to_place"][c].T @ seen
+        by_place += net["place_bias"][c][:, None]
         scores[rows] += _softmax(by_place, place[rows], learning)
         if learning:
-            learn["to_place"][c] = seen @ by_place.T
-            learn["place_bias"][c] = by_place.sum(axis=1)
+            np.matmul(seen, by_place.T, out=learn["to_place"][c])
+            by_place.sum(axis=1, out=learn["place_bias"][c])
             back[:, rows] += net["to_place"][c] @ by_place
     if learning:
         back *= 1 - hidden * hidden
         learn["inner"][:] = inputs.T @ back.T
         learn["inner_bias"][:] = back.sum(axis=1)
-        deep, at = (net["inner"] @ back).reshape(-1, shape.width, count), around.T.reshape(-1)
-        for k in range(shape.width):
-            learn["embedding"][:, k] = np.bincount(at, weights=deep[:, k].reshape(-1), minlength=shape.buckets + 1)
+        deep, at = (net["inner"] @ back).reshape(-1, shape.width, count).transpose(1, 0, 2), around.T.reshape(-1).astype(np.intp)
+        for k, part in enumerate(np.ascontiguousarray(deep, dtype=np.float64).reshape(shape.width, -1)):
+            learn["embedding"][:, k] = np.bincount(at, weights=part, minlength=shape.buckets + 1)
         for gradient in learn.values():
             gradient /= count
     out = np.empty(count)
@@ -213,17 +239,18 @@ def _trainer(shape: Shape, state):
         begin = np.frombuffer(state.value, dtype=np.float32)
         replica = Replica(shape, begin)
         for batch in batches:
-            for value in batch.column(0):
-                around, words = examples(shape, value.as_py())
+            for hashes, counts in _hashed(batch.column(0)):
+                around, words = _examples(shape, hashes, counts)
                 done = 0
-                while done < len(words):  # a long text goes on in the next replica
-                    room = shape.replica_words - replica.words - replica.waiting
-                    replica.feed(around[done:done + room], words[done:done + room])
-                    done += room
-                    if replica.words + replica.waiting >= shape.replica_words:
-                        replica.train()
-                        yield _rows(replica)
-                        replica = Replica(shape, begin)
+                for end in np.cumsum(counts).tolist():
+                    while done < end:  # a long text goes on in the next replica
+                        upto = min(end, done + shape.replica_words - replica.words - replica.waiting)
+                        replica.feed(around[done:upto], words[done:upto])
+                        done = upto
+                        if replica.words + replica.waiting >= shape.replica_words:
+                            replica.train()
+                            yield _rows(replica)
+                            replica = Replica(shape, begin)
         replica.train()
         if replica.words:
             yield _rows(replica)
@@ -291,8 +318,8 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(word, n, step)``, written: hash and occurrences of every word, and a step that grows with ``n``."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, waiting = [], 0
-        for value in (value for batch in batches for value in batch.column(0)):
-            held.append(word_hashes(value.as_py()))
+        for hashes, _ in (some for batch in batches for some in _hashed(batch.column(0))):
+            held.append(hashes)
             waiting += len(held[-1])
             if waiting >= BLOCK:
                 yield rows(held)
@@ -318,11 +345,24 @@ class Known:
     logs: np.ndarray
     totals: np.ndarray
 
+    @cached_property
+    def _firsts(self) -> np.ndarray:
+        """How many words have smaller leading bits than each value of these."""
+        return np.searchsorted(self.words >> np.uint64(64 - LEADING), np.arange(1 << LEADING, dtype=np.uint64)).astype(np.int32)
+
     def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where each hash would stand among the common words, and whether it does."""
         if not len(self.words):
             return np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes), dtype=bool)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        last = len(self.words) - 1
+        # Hashes are spread evenly, so few words share their leading bits.
+        at = np.minimum(self._firsts[hashes >> np.uint64(64 - LEADING)], last)
+        before = np.flatnonzero(self.words[at] < hashes)
+        while len(before):
+            at[before] += 1
+            before = before[at[before] <= last]
+            before = before[self.words[at[before]] < hashes[before]]
+        at = np.minimum(at, last)
         return at, self.words[at] == hashes
 
     def gained(self, hashes: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -359,12 +399,12 @@ def _known(counts: DataFrame, shape: Shape, common: int) -> tuple[Known, DataFra
 
 def _held(shape: Shape, texts: pa.Array) -> Iterator[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]:
     """Examples of consecutive texts with the text's place and the words' hashes, several batches at a time."""
-    held, waiting = [], 0
-    for place, value in enumerate(texts):
-        hashes = word_hashes(value.as_py())
-        around, words = _examples(shape, hashes)
-        held.append((around, words, np.full(len(words), place), hashes))
+    held, waiting, place = [], 0, 0
+    for hashes, counts in _hashed(texts):
+        around, words = _examples(shape, hashes, counts)
+        held.append((around, words, np.repeat(np.arange(place, place + len(counts)), counts), hashes))
         waiting += len(words)
+        place += len(counts)
         if waiting >= 8 * shape.batch:
             yield held
             held, waiting = [], 0
