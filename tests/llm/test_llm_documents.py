@@ -305,6 +305,50 @@ def test_lm_shares_hold_all_texts(spark):
         assert len(shares) == rounds and sorted(x for s in shares for x in s) == sorted(str(k).encode() for k in range(1000))
 
 
+def test_lm_shares_are_cut_finely(spark):
+    """A round's share of a few large tasks has a file for each replica, so that no core waits for another."""
+    docs = spark.range(1200).selectExpr("CAST(CAST(id AS STRING) AS BINARY) AS text")
+    for tasks, rounds, pieces in ((4, 3, 12), (5, 4, 16), (2, 3, 9), (8, 3, 9)):
+        shares = list(lm._shares(docs.repartition(tasks), rounds, pieces))
+        found = [[r["text"] for r in s.collect()] for s in shares]
+        assert len(shares) == rounds and sorted(x for s in found for x in s) == sorted(str(k).encode() for k in range(1200))
+        assert all(len(s.inputFiles()) >= min(tasks, pieces // rounds) for s in shares)
+        assert max(map(len, found)) <= 2 * min(map(len, found))
+
+
+def test_lm_deals_files_by_replicas(spark, monkeypatch):
+    """Training asks for as many files as there are replicas to train."""
+    asked, shares = [], lm._shares
+    monkeypatch.setattr(lm, "_shares", lambda texts, rounds, pieces: asked.append((rounds, pieces)) or shares(texts, rounds, pieces))
+    docs = spark.createDataFrame([(k, "a b c d e f g h i j") for k in range(80)], "doc_id long, text string").repartition(3)
+    lm.train(docs, shape=lm.Shape(classes=2, places=4, batch=16, replica_words=50))
+    assert asked == [(4, 16)]
+
+
+def test_lm_large_weights():
+    """Logits whose exponentials would not fit, or just fit, score as in plain Python."""
+    shape = lm.Shape(classes=3, places=4, width=2, hidden=3)
+    random = np.random.default_rng(6)
+    around, found = random.integers(0, 13, (40, 4)), random.integers(0, 12, 40)
+    for factor in (1, 30, 100, 1000):
+        weights = (lm.start(shape) + random.normal(0, 0.5, shape.size)).astype(np.float32) * np.float32(factor)
+        net = lm._views(shape, weights)
+        learn = lm._views(shape, np.zeros(shape.size, dtype=np.float32))
+        exact = lm._forward(shape, {k: v.astype(np.float64) for k, v in net.items()}, around, found)
+        for got in (lm._forward(shape, net, around, found), lm._forward(shape, net, around, found, learn)):
+            assert np.allclose(got, exact, rtol=1e-4, atol=1e-4 * factor)
+        assert all(np.isfinite(g).all() for g in learn.values())
+    buckets = found.tolist()
+    text_around = np.array([[buckets[p] if 0 <= p < 40 else 12 for p in (k - 2, k - 1, k + 1, k + 2)] for k in range(40)])
+    one = lm_log_prob(buckets, weights, 3, 4, 2, 2, 3)
+    assert abs(lm._forward(shape, net, text_around, found).sum() - one) <= 1e-3 * abs(one)
+
+
+def test_words_end_at_blanks_only():
+    blanks = {byte for byte in range(256) if len(word_hashes(b"a" + bytes([byte]) + b"a")) == 2}
+    assert blanks == {0x20, *range(0x09, 0x0E)}
+
+
 def test_lm_gradients():
     shape = lm.Shape(classes=3, places=4, width=2, hidden=3)
     random = np.random.default_rng(0)

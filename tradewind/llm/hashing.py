@@ -10,9 +10,6 @@ import numpy as np
 PIECE = 1 << 16
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_BLANK = np.zeros(256, dtype=bool)
-_BLANK[[0x20, *range(0x09, 0x0E)]] = True
-_NUMBER = np.arange(1, 257, dtype=np.uint64)  # of each byte
 _powers = (np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64))
 
 
@@ -34,6 +31,11 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
+def _blank(symbols: np.ndarray) -> np.ndarray:
+    """Whether each byte is a space or one of the five from the tab to the return."""
+    return (symbols == 0x20) | (symbols - np.uint8(0x09) < 5)
+
+
 def _pieces(data: bytes) -> Iterator[tuple[int, np.ndarray]]:
     """Where each piece starts, and its bytes."""
     symbols = np.frombuffer(data, dtype=np.uint8)
@@ -41,7 +43,7 @@ def _pieces(data: bytes) -> Iterator[tuple[int, np.ndarray]]:
     while start < len(symbols):
         end = min(start + PIECE, len(symbols))
         while end < len(symbols):
-            blanks = np.flatnonzero(_BLANK[symbols[end:end + PIECE]])
+            blanks = np.flatnonzero(_blank(symbols[end:end + PIECE]))
             if len(blanks):
                 end += int(blanks[0])
                 break
@@ -55,12 +57,15 @@ def _hashed(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     places, found = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
     for at, symbols in _pieces(data):
         inside = np.zeros(len(symbols) + 2, dtype=bool)
-        np.logical_not(_BLANK[symbols], out=inside[1:-1])
+        np.logical_not(_blank(symbols), out=inside[1:-1])
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[::2], edges[1::2]
         power, inverse = _power_tables(len(symbols) + 1)
         sums = np.zeros(len(symbols) + 1, dtype=np.uint64)
-        np.cumsum(_NUMBER[symbols] * power[:len(symbols)], out=sums[1:])
+        terms = symbols.astype(np.uint64)
+        terms += np.uint64(1)
+        terms *= power[:len(symbols)]
+        np.cumsum(terms, out=sums[1:])
         places.append(starts + at)
         found.append(mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)))
     return np.concatenate(places), np.concatenate(found)

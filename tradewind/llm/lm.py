@@ -46,6 +46,14 @@ BLOCK = 1 << 20
 LEADING = 17
 # Bytes of texts whose words are hashed at once.
 TOGETHER = 1 << 18
+# Logits up to which sums of exponentials and of their products stay far within the numbers of 32 bits.
+EXPONENT = 60
+
+
+def _hold_memory() -> None:
+    """Let each step use the memory of the step before. glibc gives freed memory back to the system beyond limits
+    that it raises to the largest block freed so far, if that is not over 32 MB."""
+    np.empty(30 << 20, dtype=np.uint8)
 
 
 @dataclass(frozen=True)
@@ -128,60 +136,74 @@ def _hashed(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield text_hashes(held)
 
 
-def _softmax(logits: np.ndarray, target: np.ndarray, learn: bool) -> np.ndarray:
-    """Log-probability of each column's target; with ``learn`` the logits become the gradient of their sum,
-    with its sign turned."""
-    at = np.arange(len(target))
-    logits -= logits.max(axis=0)
-    picked = logits[target, at]
+def _exponentials(logits: np.ndarray, bound: float, target: np.ndarray, picked: np.ndarray, total: np.ndarray) -> None:
+    """Of each row of logits, none of which is further from 0 than ``bound``: the one at its target (a place in
+    the flattened logits), and the total of the exponentials that the logits become."""
+    if not bound < EXPONENT:
+        logits -= logits.max(axis=1)[:, None]
+    np.take(logits, target, out=picked, mode="clip")
     np.exp(logits, out=logits)
-    total = logits.sum(axis=0)
-    if learn:
-        logits /= total
-        logits[target, at] -= 1
-    return picked - np.log(total)
+    np.matmul(logits, np.ones(logits.shape[1], dtype=logits.dtype), out=total)
+
+
+def _with_bias(weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights with their bias as one more row, and how far from 0 sums of them can be whose factors are
+    between -1 and 1."""
+    both = np.concatenate((weights, bias[..., None, :]), axis=-2)
+    return both, np.abs(both).sum(axis=-2).max(axis=-1)
 
 
 def _forward(shape: Shape, net: dict[str, np.ndarray], around: np.ndarray, words: np.ndarray,
              learn: dict[str, np.ndarray] | None = None) -> np.ndarray:
     """Log-probability of each word; with ``learn`` also the gradients of their mean, written there.
 
-    Words are sorted by class, so that a class is a slice, and stand in columns, so that each step of a
-    softmax runs along the words.
+    Words are sorted by class, so that a class is a slice. Biases are weights of a last hidden value that is 1,
+    and exponentials are divided by their totals only where they have been summed up to fewer numbers.
     """
     count, learning = len(words), learn is not None
     class_, place = np.divmod(words, shape.places)
     # The sort of small integers takes linear time.
     order = np.argsort(class_.astype(np.uint16 if shape.classes > 256 else np.uint8), kind="stable")
-    around, class_, place = around[order], class_[order], place[order]
+    around, class_, place = around.take(order, axis=0), class_.take(order), place.take(order)
     ends = np.searchsorted(class_, np.arange(shape.classes + 1))
+    at = np.arange(count)
+    target_class, target_place = at * shape.classes + class_, (at - ends[class_]) * shape.places + place
     inputs = net["embedding"].take(around, axis=0).reshape(count, -1)
-    hidden = np.tanh(net["inner"].T @ inputs.T + net["inner_bias"][:, None])
-    by_class = net["to_class"].T @ hidden
-    by_class += net["class_bias"][:, None]
-    scores = _softmax(by_class, class_, learning).astype(np.float64)
-    back = None
+    hidden = np.empty((shape.hidden + 1, count), dtype=inputs.dtype)
+    state = np.matmul(net["inner"].T, inputs.T, out=hidden[:-1])
+    state += net["inner_bias"][:, None]
+    np.tanh(state, out=state)
+    hidden[-1] = 1
+    to_class, bound = _with_bias(net["to_class"], net["class_bias"])
+    to_place, bounds = _with_bias(net["to_place"], net["place_bias"])
+    (picked, picked_place), (total, total_place) = (np.empty((2, count), dtype=inputs.dtype) for _ in range(2))
+    by_class = hidden.T @ to_class
+    _exponentials(by_class, bound, target_class, picked, total)
     if learning:
-        np.matmul(hidden, by_class.T, out=learn["to_class"])
-        by_class.sum(axis=1, out=learn["class_bias"])
-        back = net["to_class"] @ by_class
-    for c in range(shape.classes):
-        rows = slice(ends[c], ends[c + 1])
-        seen = hidden[:, rows]
-        if not seen.shape[1]:
-            if learning:
-                learn["to_place"][c] = 0
-                learn["place_bias"][c] = 0
+        by_class.reshape(-1)[target_class] -= total
+        grown_class, grown = (hidden / total) @ by_class, np.zeros_like(to_place)
+        back, back_place = net["to_class"] @ by_class.T, np.empty_like(state)
+        back /= total
+    for c, (start_, end) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+        if start_ == end:
             continue
-        by_place = net["to_place"][c].T @ seen
-        by_place += net["place_bias"][c][:, None]
-        scores[rows] += _softmax(by_place, place[rows], learning)
+        seen, target, own = hidden[:, start_:end], target_place[start_:end], total_place[start_:end]
+        by_place = seen.T @ to_place[c]
+        _exponentials(by_place, bounds[c], target, picked_place[start_:end], own)
         if learning:
-            np.matmul(seen, by_place.T, out=learn["to_place"][c])
-            by_place.sum(axis=1, out=learn["place_bias"][c])
-            back[:, rows] += net["to_place"][c] @ by_place
+            by_place.reshape(-1)[target] -= own
+            np.matmul(seen / own, by_place, out=grown[c])
+            np.matmul(net["to_place"][c], by_place.T, out=back_place[:, start_:end])
+    scores = (picked - np.log(total)).astype(np.float64)
+    scores += picked_place - np.log(total_place)
     if learning:
-        back *= 1 - hidden * hidden
+        learn["to_class"][:], learn["class_bias"][:] = grown_class[:-1], grown_class[-1]
+        learn["to_place"][:], learn["place_bias"][:] = grown[:, :-1], grown[:, -1]
+        back_place /= total_place
+        back += back_place
+        state *= state
+        np.subtract(1, state, out=state)
+        back *= state
         learn["inner"][:] = inputs.T @ back.T
         learn["inner_bias"][:] = back.sum(axis=1)
         deep, at = (net["inner"] @ back).reshape(-1, shape.width, count).transpose(1, 0, 2), around.T.reshape(-1).astype(np.intp)
@@ -219,8 +241,11 @@ class Replica:
         self.held, self.waiting = [], 0
         for at in range(0, len(words), self.shape.batch):
             _forward(self.shape, self.net, around[at:at + self.shape.batch], words[at:at + self.shape.batch], self.learn)
-            self.squares += self.gradient ** 2
-            self.weights -= self.shape.rate * self.gradient / np.sqrt(self.squares)
+            step = np.square(self.gradient)
+            self.squares += step
+            np.sqrt(self.squares, out=step)
+            np.divide(np.multiply(self.gradient, self.shape.rate, out=self.gradient), step, out=step)
+            self.weights -= step
         self.words += len(words)
 
 
@@ -236,6 +261,7 @@ def _rows(replica: Replica) -> pa.RecordBatch:
 
 def _trainer(shape: Shape, state):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _hold_memory()
         begin = np.frombuffer(state.value, dtype=np.float32)
         replica = Replica(shape, begin)
         for batch in batches:
@@ -278,17 +304,18 @@ def rounds_of(shape: Shape, words: int) -> int:
     return max(1, ceil(sqrt(words / shape.replica_words)))
 
 
-def _shares(texts: DataFrame, rounds: int) -> Iterator[DataFrame]:
+def _shares(texts: DataFrame, rounds: int, pieces: int = 1) -> Iterator[DataFrame]:
     """The texts, dealt to as many shares and written, so that a round reads its own only.
 
-    Tasks are dealt in turn, so each writes one file; only where there are fewer tasks than rounds, their rows
-    are dealt too.
+    Tasks are dealt in turn, so each writes one file; where there are fewer tasks than rounds or ``pieces``, their
+    rows are dealt too. So there are that many files or more, as long as a share has one of each task at most, and
+    a round is cut finely enough to keep all cores busy.
     """
     if rounds == 1:
         yield texts
         return
     spark, path = texts.sparkSession, scratch_path(texts.sparkSession, "lm-shares")
-    each = ceil(rounds / max(1, texts.rdd.getNumPartitions()))
+    each = ceil(max(rounds, pieces) / max(1, texts.rdd.getNumPartitions()))
     dealt = F.spark_partition_id() * each + F.pmod(F.monotonically_increasing_id(), F.lit(each))
     texts.withColumn("share", F.pmod(dealt, F.lit(rounds))).write.partitionBy("share").parquet(path)
     for share in [r["share"] for r in spark.read.parquet(path).select("share").distinct().orderBy("share").collect()]:
@@ -303,7 +330,7 @@ def train(docs: DataFrame, text: str = "text", shape: Shape = Shape(), words: in
         words = docs.select(F.sum(word_count(column(text).cast("string")))).first()[0] or 0
     state = np.concatenate([start(shape), np.full(shape.size, 1e-6, dtype=np.float32)])
     texts = docs.select(column(text).cast("string").cast("binary").alias("text"))
-    for share in _shares(texts, rounds_of(shape, words)):
+    for share in _shares(texts, rounds_of(shape, words), ceil(words / shape.replica_words)):
         begin = context.broadcast(state.tobytes())
         replicas = share.mapInArrow(_trainer(shape, begin), REPLICAS)
         averaged = replicas.repartition(shape.blocks, "block").mapInArrow(_average, REPLICAS)
@@ -317,6 +344,7 @@ def train(docs: DataFrame, text: str = "text", shape: Shape = Shape(), words: in
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(word, n, step)``, written: hash and occurrences of every word, and a step that grows with ``n``."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _hold_memory()
         held, waiting = [], 0
         for hashes, _ in (some for batch in batches for some in _hashed(batch.column(0))):
             held.append(hashes)
@@ -457,6 +485,7 @@ def _measured(docs: DataFrame, text: str, shape: Shape, weights, known) -> DataF
     """``MEASURED`` of every row, written: hash of its text, the number of words, the sum of their
     log-probabilities as if rare words had occurred once, and its rare words. One pass over the texts."""
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _hold_memory()
         net = _views(shape, np.frombuffer(weights.value, dtype=np.float32))
         for batch in batches:
             counts, sums, (of, words, times) = _scores(net, shape, batch.column(1), known.value)
